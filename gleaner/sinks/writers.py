@@ -107,9 +107,12 @@ def write_dataset_analytics(tallied: DataFrame, path: str, top_n: int = 20) -> s
 
 
 def write_role_analytics(tallied: DataFrame, path: str, top_n: int = 20) -> str:
-    """One document per role, in a folder ``role=<name>`` (escaped, so names cannot collide)."""
-    documents = aggregation_documents(tallied, top_n)
-    documents.repartition("role").write.mode("overwrite").partitionBy("role").json(path)
+    """One document per role, in one folder per role.
+
+    The folder name is an escaped copy of ``role``, so names cannot collide,
+    and the document keeps the role as it is (a folder cannot be named ``""``).
+    """
+    _write_per_role(aggregation_documents(tallied, top_n), path)
     return path
 
 
@@ -120,7 +123,11 @@ def write_global_rules(rules: DataFrame, path: str) -> str:
 
 def write_role_rules(rules: DataFrame, path: str) -> str:
     """Rules in one folder per role; ``role`` is part of each rule as well."""
-    placed = rules.withColumn("for_role", F.col("role")).repartition("for_role")
-    placed.write.mode("overwrite").partitionBy("for_role").json(path)
+    _write_per_role(rules, path)
     return path
 
+
+def _write_per_role(df: DataFrame, path: str) -> None:
+    placed = df.withColumn("for_role", F.col("role")).repartition("for_role")
+    placed.write.mode("overwrite").partitionBy("for_role").json(path)
+
