@@ -27,7 +27,7 @@ KEPT_SYMBOLS = r"\-.+#"
 
 def has_text(column: Column) -> Column:
     """True for a value that is neither null nor blank (never null itself)."""
-    return F.coalesce(column.rlike(NOT_SPACE), F.lit(False))
+    return F.coalesce(column.cast("string").rlike(NOT_SPACE), F.lit(False))
 
 
 def strip(column: Column) -> Column:

@@ -84,7 +84,8 @@ def _extract_by_join(
     copies are matched together, and duplicate ids do no harm.
     """
     text = F.col(text_column) if case_sensitive else F.lower(text_column)
-    keyed = df.withColumn("_digest", F.unhex(F.md5(text)))
+    # Never null, so that the join does not test it for null (and clean each text twice for that).
+    keyed = df.withColumn("_digest", F.coalesce(F.md5(text), F.lit("")))
     patterns = vocabulary.select(
         "pattern",
         "canonical",
@@ -104,13 +105,9 @@ def _extract_by_join(
     if not lengths:
         return df.withColumn("extracted_skills", F.array().cast("array<string>"))
 
-    documents = keyed.filter(F.col(text_column) != "").select("_digest", text.alias("_text"))
-    pieces = _pieces(documents, lengths, shape.symbols)
-    if lengths == [1] and remove_duplicates:
-        # Nothing overlaps and only the first place counts: combine before any shuffle.
-        pieces = pieces.groupBy("_digest", "piece").agg(
-            F.min("start").alias("start"), F.first("runs").alias("runs"), F.first("last").alias("last")
-        )
+    documents = keyed.select("_digest", text.alias("_text"))
+    first_places_do = lengths == [1] and remove_duplicates and not shape.symbols
+    pieces = _words(documents) if first_places_do else _pieces(documents, lengths, shape.symbols)
     hits = _look_up(pieces, patterns, shape.bytes)
     if shape.symbols:
         # A symbol at the edge needs a word character next to it: not the end of the text.
@@ -118,14 +115,15 @@ def _extract_by_join(
             (~F.col("_opens") | (F.col("start") > 0))
             & (~F.col("_closes") | (F.col("start") + F.col("runs") < F.col("last")))
         )
-    hits = hits.groupBy("_digest", "start", "runs").agg(F.first("canonical").alias("canonical"))
+    # One set per text, combined before the shuffle: copies of a text add nothing to it.
+    per_text = hits.groupBy("_digest").agg(
+        F.collect_set(F.struct("start", "runs", "canonical")).alias("_hits")
+    )
     if lengths != [1]:
-        hits = _drop_overlaps(hits)
-    # One document's hits per group, whatever the number of copies.
-    found = hits.groupBy("_digest").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("start", "canonical"))), lambda h: h["canonical"]
-        ).alias("_found")
+        per_text = _drop_overlaps(per_text)
+    found = per_text.select(
+        "_digest",
+        F.transform(F.array_sort("_hits"), lambda hit: hit["canonical"]).alias("_found"),
     )
     if remove_duplicates:
         found = found.withColumn("_found", F.array_distinct("_found"))
@@ -138,6 +136,14 @@ def _extract_by_join(
     )
 
 
+def _words(documents: DataFrame) -> DataFrame:
+    """The distinct words of each text in order of appearance, in the form of :func:`_pieces`."""
+    words = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"{WORD}++"), F.lit(0)))
+    return documents.select("_digest", F.posexplode(words).alias("start", "piece")).withColumn(
+        "runs", F.lit(1)
+    )
+
+
 def _pieces(documents: DataFrame, lengths: list[int], symbols: bool) -> DataFrame:
     """``(_digest, start, runs, last, piece)``: the run-aligned pieces of each text."""
     split = documents.select(
@@ -178,44 +184,51 @@ def _look_up(pieces: DataFrame, patterns: DataFrame, vocabulary_bytes: int) -> D
     return salted.join(copies.hint("merge"), ["piece", "_salt"]).drop("_salt")
 
 
-def _drop_overlaps(hits: DataFrame) -> DataFrame:
+def _drop_overlaps(per_text: DataFrame) -> DataFrame:
     """Keep the leftmost hits, the longest first, that do not overlap.
 
     Hits that touch no other hit are kept as they are.  Only inside a cluster
-    of overlapping hits are they walked through from left to right.
+    of overlapping hits are they walked through from left to right.  All steps
+    work per text on data already partitioned by text: nothing is shuffled.
     """
     end = F.col("start") + F.col("runs")
     in_text = Window.partitionBy("_digest").orderBy("start", F.desc("runs"))
     before = in_text.rowsBetween(Window.unboundedPreceding, -1)
-    clustered = (
-        hits.withColumn("_reach", F.max(end).over(before))
+    clusters = (
+        per_text.select("_digest", F.inline("_hits"))
+        .withColumn("_reach", F.max(end).over(before))
         .withColumn("_new", F.when(F.col("start") < F.col("_reach"), 0).otherwise(1))
         .withColumn("_cluster", F.sum("_new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("_digest", "_cluster")
+        .agg(F.collect_list(F.struct("start", "runs", "canonical")).alias("hits"))
     )
-    clusters = clustered.groupBy("_digest", "_cluster").agg(
-        F.array_sort(
-            F.collect_list(F.struct("start", (-F.col("runs")).alias("neg_runs"), "canonical"))
-        ).alias("hits")
+    # Leftmost first, and at one place the longest first.
+    ordered = F.array_sort(
+        "hits",
+        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(
+            b["runs"] - a["runs"]
+        ),
     )
 
     def walk(state: Column, hit: Column) -> Column:
         return F.when(
             hit["start"] >= state["end"],
             F.struct(
-                (hit["start"] - hit["neg_runs"]).alias("end"),
+                (hit["start"] + hit["runs"]).alias("end"),
                 F.concat(state["kept"], F.array(hit)).alias("kept"),
             ),
         ).otherwise(state)
 
-    no_hits = F.slice("hits", 1, 0)
     kept = F.when(F.size("hits") == 1, F.col("hits")).otherwise(
         F.aggregate(
-            "hits",
-            F.struct(F.lit(0).alias("end"), no_hits.alias("kept")),
+            ordered,
+            F.struct(F.lit(0).alias("end"), F.slice("hits", 1, 0).alias("kept")),
             walk,
             lambda state: state["kept"],
         )
     )
-    return clusters.select("_digest", F.explode(kept).alias("hit")).select(
-        "_digest", "hit.start", "hit.canonical"
+    return (
+        clusters.select("_digest", kept.alias("kept"))
+        .groupBy("_digest")
+        .agg(F.flatten(F.collect_list("kept")).alias("_hits"))
     )

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions.characters import NOT_SPACE
 from gleaner.functions.cleaning import has_text
 from gleaner.session import shared_folder
 
@@ -69,9 +70,12 @@ def number_rows(
     partitions; only one row per partition passes through a single task.
     """
     shared_folder(df.sparkSession)
-    if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     place = F.monotonically_increasing_id()
+    if order_by:
+        # Rows with equal keys keep their order, and many of them can be split up.
+        order = [*order_by, "_arrival"]
+        df = df.withColumn("_arrival", place)
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order).drop("_arrival")
     placed = df.checkpoint().withColumns(
         {
             "_part": F.shiftright(place, _PARTITION_BITS),
@@ -102,7 +106,7 @@ def duplicate_ids(df: DataFrame, id_column: str = "job_id") -> DataFrame:
 def valid_rows(df: DataFrame, text_column: str) -> DataFrame:
     """Rows whose text is neither null nor blank."""
     text = F.col(text_column)
-    return df.filter(text.isNotNull() & has_text(text))
+    return df.filter(text.isNotNull() & text.cast("string").rlike(NOT_SPACE))
 
 
 def skipped_rows(df: DataFrame, text_column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def add_terms(dictionary: DataFrame, terms: Sequence[str], category: str = "cust
     if category not in CATEGORIES:
         raise ValueError(f"unknown category '{category}', expected one of {CATEGORIES}")
     rows = [(term.lower(), category) for term in terms]
-    extra = dictionary.sparkSession.createDataFrame(rows, "term string, category string")
+    extra = _small_table(dictionary.sparkSession, rows, ("term", "category"))
     return dictionary.select("term", "category").unionByName(extra)
 
 
@@ -163,7 +164,7 @@ def longest_first(vocabulary: DataFrame) -> DataFrame:
 def dictionary_from_lists(spark: SparkSession, terms: dict[str, Sequence[str]]) -> DataFrame:
     """A dictionary table from ``category -> terms``."""
     rows = [(term, category) for category, listed in terms.items() for term in listed]
-    return spark.createDataFrame(rows, "term string, category string")
+    return _small_table(spark, rows, ("term", "category"))
 
 
 def variations_from_map(spark: SparkSession, mapping: dict[str, Sequence[str]]) -> DataFrame:
@@ -172,4 +173,11 @@ def variations_from_map(spark: SparkSession, mapping: dict[str, Sequence[str]])
     for canonical, listed in mapping.items():
         for variation in listed or [None]:
             rows.append((str(canonical), variation, len(rows)))
-    return spark.createDataFrame(rows, "canonical string, variation string, pos int")
+    return _small_table(spark, rows, ("canonical", "variation", "pos"))
+
+
+def _small_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """A table whose size Spark knows: it plans joins with it as broadcasts by itself."""
+    schema = pa.schema([(name, pa.int32() if name == "pos" else pa.string()) for name in names])
+    columns = [[row[i] for row in rows] for i in range(len(names))]
+    return spark.createDataFrame(pa.table(columns, schema=schema))

@@ -12,7 +12,7 @@ from gleaner.functions.cleaning import clean_text, has_text
 from gleaner.functions.scalars import normalize_role, round2
 from gleaner.operators.extraction import extract_terms
 from gleaner.operators.frequencies import dataset_summary, tally
-from gleaner.operators.rows import add_row_ids, clean_stats, validate_columns
+from gleaner.operators.rows import add_row_ids, clean_stats, valid_rows, validate_columns
 from gleaner.operators.rules import global_rules, rules
 from gleaner.operators.vocabulary import match_vocabulary
 from gleaner.session import shared_folder
@@ -50,10 +50,10 @@ def extraction_result(
     validate_columns(df, text_column, id_column, title_column)
     vocabulary = match_vocabulary(dictionary, variations, normalize=normalize)
     if id_column:
-        df = add_row_ids(df, id_column)
-    df = df.withColumn("_has_text", has_text(F.col(text_column)))
-    if id_column:
-        df = df.filter("_has_text")
+        df = valid_rows(add_row_ids(df, id_column), text_column)
+    else:
+        # Ids count all rows: those without text leave after they were numbered.
+        df = df.withColumn("_has_text", has_text(F.col(text_column)))
     df = clean_text(
         df,
         text_column,
@@ -72,11 +72,11 @@ def extraction_result(
         matcher=matcher,
     )
     if keep is not None:
-        kept = [*keep, "extracted_skills", "skill_count", "_has_text"]
-        df = df.select(*dict.fromkeys((["job_id"] if id_column else []) + kept))
-    if not id_column:
-        df = add_row_ids(df, prefix=id_prefix, order_by=order_by).filter("_has_text")
-    return df.drop("_has_text")
+        own = "job_id" if id_column else "_has_text"
+        df = df.select(*dict.fromkeys([own, *keep, "extracted_skills", "skill_count"]))
+    if id_column:
+        return df
+    return add_row_ids(df, prefix=id_prefix, order_by=order_by).filter("_has_text").drop("_has_text")
 
 
 def extraction_report(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,7 +107,8 @@ def route_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str
     """File names by encoding (one driver row per file, as any list of inputs)."""
     routes: dict[str, list[str]] = {"UTF-8": [], "ISO-8859-1": []}
     for row in file_encodings(spark, paths).collect():
-        routes[row.encoding].append(row.file)
+        # The file column is a URL; reader paths are plain.
+        routes[row.encoding].append(unquote(row.file))
     if not any(routes.values()):
         routes["UTF-8"] = [paths] if isinstance(paths, str) else list(paths)
     return routes

@@ -1,0 +1,118 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from gleaner.operators import extraction
+from gleaner.operators.extraction import extract_terms
+from gleaner.operators.vocabulary import dictionary_from_lists, match_vocabulary, variations_from_map
+from pyspark.sql import functions as F
+from tests import model
+
+TERMS = [
+    "c++", "c#", ".net", "asp.net", ".net core", "a.i.", "ci-cd", "ai", "the", "the and", "and the",
+    "and the and", "of the", "ring", "small ring", "small", "b.net", "++", "js", "x y z",
+]
+VOCABULARY = {term: term for term in TERMS} | {"js": "javascript", "the and": "conjunction"}
+TEXTS = [
+    "c++ dev", "c++11 c++", "vb.net .net asp.net core", ".net", "x.net core", "a.i.x a.i. ai",
+    "ai² ai", "the and the and the and", "of the and the", "small ring ring smallring",
+    "JS js Js", "CI-CD ci cd", "", None, "x y z x y x y z", "a++b", "no terms here",
+    "thé the", "Small\tring",
+]
+
+
+def table(spark, vocabulary):
+    return spark.createDataFrame(list(vocabulary.items()), "pattern string, canonical string")
+
+
+def run(df, vocabulary, **options):
+    rows = extract_terms(df, vocabulary, "text", **options).orderBy("id").collect()
+    assert all(row.skill_count == len(row.extracted_skills) for row in rows)
+    return [row.extracted_skills for row in rows]
+
+
+def expected(values, vocabulary, **options):
+    return [model.match(text, vocabulary, **options) if text else [] for text in values]
+
+
+@pytest.mark.parametrize("matcher", ["pattern", "join"])
+@pytest.mark.parametrize("distinct", [True, False])
+@pytest.mark.parametrize("case_sensitive", [True, False])
+def test_both_matchers_follow_the_model(spark, texts, matcher, distinct, case_sensitive):
+    found = run(
+        texts(*TEXTS),
+        table(spark, VOCABULARY),
+        matcher=matcher,
+        remove_duplicates=distinct,
+        case_sensitive=case_sensitive,
+    )
+    assert found == expected(TEXTS, VOCABULARY, distinct=distinct, case_sensitive=case_sensitive)
+
+
+@pytest.mark.parametrize("matcher", ["pattern", "join"])
+def test_single_words(spark, texts, matcher):
+    vocabulary = {"the": "the", "ring": "band", "small": "small", "js": "javascript"}
+    found = run(texts(*TEXTS), table(spark, vocabulary), matcher=matcher)
+    assert found == expected(TEXTS, vocabulary)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.text(alphabet="ab.+ -_", min_size=1, max_size=6), min_size=1, max_size=15, unique=True),
+    st.lists(st.text(alphabet="ab.+ -_", max_size=40), min_size=1, max_size=30),
+)
+def test_random_vocabularies(spark, texts, terms, values):
+    vocabulary = {term: term for term in terms}
+    patterns, df = table(spark, vocabulary), texts(*values)
+    wanted = expected(values, vocabulary, distinct=False)
+    assert run(df, patterns, matcher="pattern", remove_duplicates=False) == wanted
+    assert run(df, patterns, matcher="join", remove_duplicates=False) == wanted
+
+
+def test_shuffled_vocabulary_join(spark, texts, monkeypatch):
+    monkeypatch.setattr(extraction, "BROADCAST_BYTES", 0)
+    values = [*TEXTS, *["the small ring"] * 50]
+    assert run(texts(*values), table(spark, VOCABULARY), matcher="join") == expected(values, VOCABULARY)
+
+
+def test_large_vocabulary_switches_to_the_join(spark, texts, monkeypatch):
+    monkeypatch.setattr(extraction, "PATTERN_TERMS", 3)
+    patterns = table(spark, VOCABULARY)
+    assert extraction.collect_vocabulary(patterns) is None
+    assert run(texts(*TEXTS), patterns) == expected(TEXTS, VOCABULARY)
+    with pytest.raises(ValueError):
+        run(texts(*TEXTS), patterns, matcher="pattern")
+
+
+@pytest.mark.parametrize("matcher", ["auto", "join"])
+def test_empty_vocabulary(spark, texts, matcher):
+    patterns = spark.createDataFrame([], "pattern string, canonical string")
+    assert run(texts("a b", None), patterns, matcher=matcher) == [[], []]
+
+
+def test_pattern_plan_has_no_shuffle(spark, texts):
+    df = extract_terms(texts(*TEXTS), VOCABULARY, "text")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_pattern_size_hardly_changes_the_result_for_many_terms(spark, texts):
+    vocabulary = {f"term{i}": f"term{i}" for i in range(5000)}
+    found = run(texts("term4999 x term1 term term49990"), vocabulary)
+    assert found == [["term4999", "term1"]]
+
+
+def test_variation_is_reported_as_canonical(spark, texts):
+    dictionary = dictionary_from_lists(spark, {"technical": ["Python", "JavaScript"]})
+    variations = variations_from_map(spark, {"JavaScript": ["JS", "node"], "react.js": ["reactjs"]})
+    patterns = match_vocabulary(dictionary, variations)
+    values = ["JS and Node and python", "reactjs react.js"]
+    assert run(texts(*values), patterns) == [["javascript", "python"], ["react.js", "javascript"]]
+    plain = match_vocabulary(dictionary, variations, normalize=False)
+    assert run(texts(*values), plain) == [["python"], []]
+
+
+def test_terms_broken_by_cleaning_cannot_match(spark, texts):
+    patterns = {"a/b testing": "a/b testing"}
+    cleaned = texts("a/b testing").withColumn("text", F.regexp_replace("text", "/", " "))
+    assert run(cleaned, patterns) == [[]]

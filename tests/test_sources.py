@@ -1,0 +1,177 @@
+import zipfile
+from xml.sax.saxutils import escape
+
+import pytest
+
+from gleaner.sources import dictionaries, documents
+from gleaner.sources.workbook import read_excel
+
+
+@pytest.fixture
+def write(tmp_path):
+    def make(name, content, encoding="utf-8"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content.encode(encoding))
+        return str(path)
+
+    return make
+
+
+def workbook(path, sheets):
+    """A minimal .xlsx: ``sheets`` maps names to rows; texts are shared or inline by turns."""
+    shared: list[str] = []
+
+    def cell(row, column, value):
+        place = f"{chr(ord('A') + column)}{row}"
+        if value is None:
+            return ""
+        if isinstance(value, bool):
+            return f'<c r="{place}" t="b"><v>{int(value)}</v></c>'
+        if isinstance(value, (int, float)):
+            return f'<c r="{place}"><v>{value}</v></c>'
+        if column % 2:
+            return f'<c r="{place}" t="inlineStr"><is><t>{escape(value)}</t></is></c>'
+        shared.append(value)
+        return f'<c r="{place}" t="s"><v>{len(shared) - 1}</v></c>'
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006/relationships"
+    with zipfile.ZipFile(path, "w") as book:
+        listed = links = ""
+        for i, (name, rows) in enumerate(sheets.items(), 1):
+            listed += f'<sheet name="{name}" sheetId="{i}" r:id="rId{i}"/>'
+            links += f'<Relationship Id="rId{i}" Type="{office}/worksheet" Target="worksheets/sheet{i}.xml"/>'
+            body = "".join(
+                f'<row r="{r}">{"".join(cell(r, c, v) for c, v in enumerate(values))}</row>'
+                for r, values in enumerate(rows, 1)
+            )
+            book.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{body}</sheetData></worksheet>")
+        book.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{office}"><sheets>{listed}</sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{package}">{links}</Relationships>')
+        items = "".join(f"<si><t>{escape(text)}</t></si>" for text in shared)
+        book.writestr("xl/sharedStrings.xml", f"<sst {main}>{items}</sst>")
+    return str(path)
+
+
+def test_csv_with_quotes_and_line_breaks(spark, write):
+    path = write("in.csv", 'job_id,job_title,description\n1,A,"two\nlines, ""quoted"""\n2,B,plain\n3,C,NA\n')
+    df = documents.read_documents(spark, path)
+    assert df.columns == ["job_id", "job_title", "description"]
+    assert [tuple(r) for r in df.orderBy("job_id").collect()] == [
+        ("1", "A", 'two\nlines, "quoted"'), ("2", "B", "plain"), ("3", "C", None),
+    ]
+
+
+def test_na_values_can_be_chosen(spark, write):
+    path = write("in.csv", "a,b\nNA,-\nnull,x\n")
+    rows = documents.read_csv(spark, path, na_values=["-"]).collect()
+    assert [tuple(r) for r in rows] == [("NA", None), ("null", "x")]
+
+
+def test_encodings_are_chosen_per_file(spark, write, tmp_path):
+    write("many files/a.csv", "id,text\n1,café\n")
+    write("many files/b.csv", "id,text\n2,café\n", "latin-1")
+    write("many files/c.csv", "id,text\n3,cafe\n")
+    df = documents.read_csv(spark, str(tmp_path / "many files"))
+    assert {tuple(r) for r in df.collect()} == {("1", "café"), ("2", "café"), ("3", "cafe")}
+    encodings = documents.file_encodings(spark, str(tmp_path / "many files")).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.encoding) for r in encodings) == [
+        ("a.csv", "UTF-8"), ("b.csv", "ISO-8859-1"), ("c.csv", "UTF-8"),
+    ]
+
+
+def test_explicit_encoding(spark, write):
+    path = write("in.csv", "text\ncafé\n", "utf-16")
+    assert documents.read_csv(spark, path, encoding="UTF-16").first().text == "café"
+
+
+def test_unknown_extension(spark):
+    with pytest.raises(ValueError, match="Unsupported file format: '.pdf'"):
+        documents.read_documents(spark, "in.pdf")
+
+
+def test_json_and_parquet(spark, write, tmp_path):
+    path = write("in.jsonl", '{"text": "a"}\n{"text": "b"}\n')
+    df = documents.read_documents(spark, path)
+    assert df.count() == 2
+    df.write.parquet(str(tmp_path / "in.parquet"))
+    assert documents.read_documents(spark, str(tmp_path / "in.parquet")).count() == 2
+
+
+def test_row_count_estimate(spark, write):
+    path = write("in.csv", "a\n1\n2\n3\n")
+    assert documents.row_count_estimate(spark, path).first().rows == 3
+
+
+def test_spread_only_widens_small_inputs(spark):
+    assert documents.spread(spark.range(10).coalesce(1), 3).rdd.getNumPartitions() == 3
+    wide = spark.range(10).repartition(5)
+    assert documents.spread(wide, 3) is wide
+
+
+def test_term_list(spark, write):
+    path = write("terms.txt", "# comment\nPython\n  SQL \n\npython\n #x\nC#\n")
+    terms = dictionaries.read_terms(spark, path, "technical")
+    assert sorted(tuple(r) for r in terms.collect()) == [
+        ("c#", "technical"), ("python", "technical"), ("python", "technical"), ("sql", "technical"),
+    ]
+
+
+def test_missing_term_list_is_empty(spark, write, tmp_path):
+    path = write("terms.txt", "a\n")
+    dictionary = dictionaries.read_dictionary(
+        spark, {"technical": path, "soft": str(tmp_path / "none.txt"), "custom": None}
+    )
+    assert [tuple(r) for r in dictionary.collect()] == [("a", "technical")]
+
+
+def test_maps(spark, write, tmp_path):
+    yaml = write("map.yaml", "JavaScript:\n  - JS\n  - ECMAScript\nEmpty:\n# comment\nGo: [golang]\n")
+    json = write("map.json", '{"mgmt": "management"}')
+    assert dictionaries.read_map(spark, yaml) == {
+        "JavaScript": ["JS", "ECMAScript"], "Empty": None, "Go": ["golang"],
+    }
+    assert dictionaries.read_map(spark, json) == {"mgmt": "management"}
+    assert dictionaries.read_map(spark, str(tmp_path / "none.yaml")) == {}
+    assert dictionaries.read_map(spark, None) == {}
+    assert dictionaries.read_map(spark, write("empty.yaml", "")) == {}
+    variations = dictionaries.read_variations(spark, yaml).orderBy("pos").collect()
+    assert [tuple(r) for r in variations] == [
+        ("JavaScript", "JS", 0), ("JavaScript", "ECMAScript", 1), ("Empty", None, 2), ("Go", "golang", 3),
+    ]
+    assert dictionaries.read_variations(spark, None).count() == 0
+
+
+SHEETS = {
+    "Jobs": [
+        ["job_id", "job_title", "description"],
+        [1, "Data <Engineer>", "needs Python & SQL"],
+        [2, None, "plain"],
+        [None, None, None],
+        [3, "x", True],
+    ],
+    "Other": [["a"], ["b"]],
+}
+
+
+def test_workbook(spark, tmp_path):
+    path = workbook(tmp_path / "in.xlsx", SHEETS)
+    df = documents.read_documents(spark, path)
+    assert df.columns == ["job_id", "job_title", "description"]
+    assert [tuple(r) for r in df.collect()] == [
+        ("1", "Data <Engineer>", "needs Python & SQL"), ("2", None, "plain"), ("3", "x", "True"),
+    ]
+    assert read_excel(spark, path, "Other").collect() == [("b",)]
+    assert read_excel(spark, path, 1).columns == ["a"]
+    with pytest.raises(Exception, match="no sheet 'None such'"):
+        read_excel(spark, path, "None such").collect()
+
+
+def test_folder_of_workbooks_is_one_task_each(spark, tmp_path):
+    for i in range(3):
+        workbook(tmp_path / f"{i}.xlsx", {"S": [["n"], [i]]})
+    df = read_excel(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(r.n for r in df.collect()) == ["0", "1", "2"]
