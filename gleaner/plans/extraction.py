@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from gleaner.functions.cleaning import clean_text, has_text
 from gleaner.functions.scalars import normalize_role, round2
 from gleaner.operators.extraction import extract_terms
-from gleaner.operators.frequencies import dataset_summary, tally
-from gleaner.operators.rows import add_row_ids, clean_stats, valid_rows, validate_columns
+from gleaner.operators.frequencies import tally
+from gleaner.operators.rows import add_row_ids, valid_rows, validate_columns
 from gleaner.operators.rules import global_rules, rules
 from gleaner.operators.vocabulary import match_vocabulary
 from gleaner.session import shared_folder
@@ -80,20 +80,36 @@ def extraction_result(
 
 
 def extraction_report(
-    df: DataFrame, text_column: str, dictionary: DataFrame, variations: DataFrame | None = None, **options
+    df: DataFrame,
+    text_column: str,
+    dictionary: DataFrame,
+    variations: DataFrame | None = None,
+    *,
+    abbreviations: Mapping[str, str] | None = None,
+    matcher: str = "auto",
 ) -> DataFrame:
-    """One row: records processed and skipped, terms found, distinct terms, mean per record."""
-    df = df.withColumn("_row_id", F.lit(0))
-    result = extraction_result(
-        df, text_column, dictionary, variations, id_column="_row_id", keep=[], **options
-    )
-    skipped = clean_stats(df, text_column).select(F.col("skipped_null") + F.col("skipped_empty"))
-    return dataset_summary(tally(result)).select(
-        F.col("total_jds_processed").alias("records_processed"),
-        skipped.scalar().alias("records_skipped"),
-        F.col("total_skill_extractions").alias("total_skills"),
-        F.col("unique_skills_extracted").alias("unique_skills"),
-        round2(F.col("avg_skills_per_jd")).alias("avg_skills_per_jd"),
+    """One row: records processed and skipped, terms found, distinct terms, mean per record.
+
+    Skipped rows take part as documents without a term count, so that all
+    numbers come from one pass over the texts.
+    """
+    validate_columns(df, text_column)
+    kept = has_text(F.col(text_column)).alias("_has_text")
+    rows = clean_text(df.select(text_column, kept), text_column, abbreviations=abbreviations)
+    rows = extract_terms(
+        rows, match_vocabulary(dictionary, variations), lowered=True, matcher=matcher
+    ).withColumn("skill_count", F.when(F.col("_has_text"), F.col("skill_count")))
+    docs, is_document = F.col("docs"), F.col("skill").isNull()
+    processed = F.coalesce(F.sum(F.when(is_document & F.col("size").isNotNull(), docs)), F.lit(0))
+    total = F.coalesce(F.sum(F.col("size") * docs), F.lit(0))
+    return tally(rows).agg(
+        processed.alias("records_processed"),
+        F.coalesce(F.sum(F.when(is_document & F.col("size").isNull(), docs)), F.lit(0)).alias(
+            "records_skipped"
+        ),
+        total.alias("total_skills"),
+        F.count("skill").alias("unique_skills"),
+        round2(F.when(processed > 0, total / processed).otherwise(0.0)).alias("avg_skills_per_jd"),
     )
 
 
