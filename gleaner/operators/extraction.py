@@ -106,8 +106,12 @@ def _extract_by_join(
         return df.withColumn("extracted_skills", F.array().cast("array<string>"))
 
     documents = keyed.select("_digest", text.alias("_text"))
-    first_places_do = lengths == [1] and remove_duplicates and not shape.symbols
-    pieces = _words(documents) if first_places_do else _pieces(documents, lengths, shape.symbols)
+    if shape.symbols:
+        pieces = _run_pieces(documents, lengths)
+    elif lengths == [1] and remove_duplicates:
+        pieces = _distinct_words(documents)
+    else:
+        pieces = _word_pieces(documents, lengths)
     hits = _look_up(pieces, patterns, shape.bytes)
     if shape.symbols:
         # A symbol at the edge needs a word character next to it: not the end of the text.
@@ -136,42 +140,59 @@ def _extract_by_join(
     )
 
 
-def _words(documents: DataFrame) -> DataFrame:
-    """The distinct words of each text in order of appearance, in the form of :func:`_pieces`."""
+def _distinct_words(documents: DataFrame) -> DataFrame:
+    """``(_digest, start, runs, piece)``: the words of each text in order of first appearance."""
     words = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"{WORD}++"), F.lit(0)))
     return documents.select("_digest", F.posexplode(words).alias("start", "piece")).withColumn(
         "runs", F.lit(1)
     )
 
 
-def _pieces(documents: DataFrame, lengths: list[int], symbols: bool) -> DataFrame:
-    """``(_digest, start, runs, last, piece)``: the run-aligned pieces of each text."""
+def _word_pieces(documents: DataFrame, lengths: list[int]) -> DataFrame:
+    """``(_digest, start, runs, piece)``: pieces that begin and end with a word.
+
+    One pattern per length lists the pieces starting at the first, second, ...
+    word, so the pieces at one place in these lists start with the same word.
+    """
+
+    def of_length(n: int) -> Column:
+        following = f"(?:{NOT_WORD}++{WORD}++)" + "{%d}" % (n // 2)
+        pattern = f"{WORD}++" if n == 1 else f"(?<!{WORD})(?=({WORD}++{following}))"
+        return F.regexp_extract_all("_text", F.lit(pattern), F.lit(0 if n == 1 else 1)).alias(f"of{n}")
+
+    at_word = F.posexplode(F.arrays_zip(*[of_length(n) for n in lengths])).alias("_word", "_at")
+    by_length = F.array(
+        *[F.struct(F.lit(n).alias("runs"), F.col(f"_at.of{n}").alias("piece")) for n in lengths]
+    )
+    return documents.select("_digest", at_word).select(
+        "_digest", (F.col("_word") * 2).alias("start"), F.inline(by_length)
+    )
+
+
+def _run_pieces(documents: DataFrame, lengths: list[int]) -> DataFrame:
+    """``(_digest, start, runs, piece, last)``: pieces starting and ending anywhere between runs.
+
+    ``last`` is the number of runs of the text.
+    """
     split = documents.select(
         "_digest", F.regexp_extract_all("_text", F.lit(RUNS), F.lit(0)).alias("_run")
     ).withColumn("last", F.size("_run"))
-    # Word runs are every other run; only patterns with outer symbols start elsewhere.
-    first = F.lit(0) if symbols else F.when(F.get("_run", F.lit(0)).rlike(WORD), 0).otherwise(1)
-    step = 1 if symbols else 2
 
     def of_length(n: int) -> Column:
-        starts = F.when(
-            F.col("last") >= first + n, F.sequence(first, F.col("last") - n, F.lit(step))
-        ).otherwise(F.array().cast("array<int>"))
-
-        def piece(start: Column) -> Column:
-            # Not slice(): it copies the whole array for every piece.
-            return F.concat(*[F.get("_run", start + k) for k in range(n)])
-
+        starts = F.when(F.col("last") >= n, F.sequence(F.lit(0), F.col("last") - n)).otherwise(
+            F.array().cast("array<int>")
+        )
+        # Not slice(): it copies the whole array for every piece.
         return F.transform(
             starts,
             lambda start: F.struct(
-                start.alias("start"), F.lit(n).alias("runs"), piece(start).alias("piece")
+                start.alias("start"),
+                F.lit(n).alias("runs"),
+                F.concat(*[F.get("_run", start + k) for k in range(n)]).alias("piece"),
             ),
         )
 
-    return split.select(
-        "_digest", "last", F.inline(F.concat(*[of_length(n) for n in lengths]))
-    )
+    return split.select("_digest", "last", F.inline(F.concat(*[of_length(n) for n in lengths])))
 
 
 def _look_up(pieces: DataFrame, patterns: DataFrame, vocabulary_bytes: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.characters import NOT_SPACE
@@ -36,7 +36,7 @@ def add_row_ids(
     id_column: str | None = None,
     *,
     prefix: str = "jd",
-    order_by: Sequence[str | Column] | None = None,
+    order_by: Sequence[str] | None = None,
     offset: int = 0,
 ) -> DataFrame:
     """Add ``job_id``: the id column as text, or ``prefix_001``, ``prefix_002``, ...
@@ -60,7 +60,7 @@ def number_rows(
     number: str,
     total: str,
     *,
-    order_by: Sequence[str | Column] | None = None,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add consecutive numbers from 1 and the row count, without one global sort task.
 

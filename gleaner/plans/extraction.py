@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.cleaning import clean_text, has_text
@@ -27,7 +27,7 @@ def extraction_result(
     *,
     id_column: str | None = None,
     id_prefix: str = "jd",
-    order_by: Sequence[str | Column] | None = None,
+    order_by: Sequence[str] | None = None,
     title_column: str | None = None,
     keep: Sequence[str] | None = None,
     abbreviations: Mapping[str, str] | None = None,
@@ -72,11 +72,16 @@ def extraction_result(
         matcher=matcher,
     )
     if keep is not None:
-        own = "job_id" if id_column else "_has_text"
-        df = df.select(*dict.fromkeys([own, *keep, "extracted_skills", "skill_count"]))
+        own = ["job_id"] if id_column else ["_has_text", *(order_by or [])]
+        df = df.select(*dict.fromkeys([*own, *keep, "extracted_skills", "skill_count"]))
     if id_column:
         return df
-    return add_row_ids(df, prefix=id_prefix, order_by=order_by).filter("_has_text").drop("_has_text")
+    if order_by:
+        # Range partitioning samples its input first: do not extract twice for that.
+        df = stored(df)
+    df = add_row_ids(df, prefix=id_prefix, order_by=order_by).filter("_has_text")
+    passing = [name for name in order_by or [] if keep is not None and name not in keep]
+    return df.drop("_has_text", *passing)
 
 
 def extraction_report(
