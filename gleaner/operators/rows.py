@@ -37,17 +37,23 @@ def add_row_ids(
     *,
     prefix: str = "jd",
     order_by: Sequence[str] | None = None,
+    file_order: bool = False,
     offset: int = 0,
 ) -> DataFrame:
     """Add ``job_id``: the id column as text, or ``prefix_001``, ``prefix_002``, ...
 
     An existing id column needs neither a shuffle nor a job: prefer it on
-    large tables.  Generated ids follow ``order_by``, or else the order of the
-    scan, and are padded to one width for the whole table (3 digits at least).
+    large tables.  Generated ids follow the place in the parquet files read
+    (``file_order``, no shuffle either), or ``order_by``, or else the order of
+    the scan.  They are padded to one width for the whole table (3 digits at
+    least).
     """
     if id_column and id_column in df.columns:
         return df.withColumn("job_id", F.col(id_column).cast("string"))
-    numbered = number_rows(df, "_number", "_total", order_by=order_by)
+    if file_order:
+        numbered = number_file_rows(df, "_number", "_total")
+    else:
+        numbered = number_rows(df, "_number", "_total", order_by=order_by)
     number = (F.col("_number") + offset).cast("string")
     width = F.greatest(F.lit(3), F.length((F.col("_total") + offset).cast("string")))
     return numbered.withColumn(
@@ -55,6 +61,24 @@ def add_row_ids(
     ).drop("_number", "_total")
 
 
+def number_file_rows(df: DataFrame, number: str, total: str) -> DataFrame:
+    """Add consecutive numbers from 1 in file order, and the row count, to a parquet scan.
+
+    A row's place in its file is known to the scan.  Only the rows per file
+    are counted (from the file footers); files follow each other by name.
+    """
+    file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    sizes = df.groupBy(file.alias("_file")).agg(F.count("*").alias("_size"))
+    # One row per file, as in the file listing the driver holds anyway.
+    starts = F.broadcast(_starts(sizes, "_file", total))
+    return (
+        df.withColumns({"_file": file, "_place": place})
+        .join(starts, "_file")
+        .withColumn(number, F.col("_start") + F.col("_place") + 1)
+        .drop("_file", "_place", "_start")
+    )
+
+
 def number_rows(
     df: DataFrame,
     number: str,
@@ -82,21 +106,26 @@ def number_rows(
             "_place": place.bitwiseAND((1 << _PARTITION_BITS) - 1),
         }
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    starts = sizes.select(
-        "_part",
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
-        F.sum("_size").over(Window.partitionBy()).alias(total),
-    )
     # One row per partition: bounded by the number of tasks, not by the data.
+    starts = F.broadcast(_starts(sizes, "_part", total))
     return (
-        placed.join(F.broadcast(starts), "_part")
+        placed.join(starts, "_part")
         .withColumn(number, F.col("_start") + F.col("_place") + 1)
         .drop("_part", "_place", "_start")
     )
 
 
+def _starts(sizes: DataFrame, key: str, total: str) -> DataFrame:
+    """The rows before each part, and the rows of all parts."""
+    earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        key,
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_size").over(Window.partitionBy()).alias(total),
+    )
+
+
 def duplicate_ids(df: DataFrame, id_column: str = "job_id") -> DataFrame:
     """One row: how many rows repeat the id of another row."""
     per_id = df.groupBy(id_column).agg(F.count("*").alias("copies"))

@@ -227,6 +227,12 @@ def row_ids_generated(spark, folder):
     return rows.add_row_ids(keys, order_by=["doc_id"]).select("doc_id", "job_id")
 
 
+@query
+def row_ids_file_order(spark, folder):
+    numbered = rows.add_row_ids(table(spark, folder, "documents"), file_order=True)
+    return numbered.select("doc_id", "job_id")
+
+
 @query
 def row_ids_existing(spark, folder):
     return rows.add_row_ids(table(spark, folder, "conversations"), "conv_id").select(
@@ -671,6 +677,19 @@ def extraction_report(spark, folder):
     )
 
 
+@query
+def extraction_result_file_order(spark, folder):
+    result = extraction.extraction_result(
+        table(spark, folder, "documents"),
+        "text",
+        document_dictionary(spark),
+        document_variations(spark),
+        file_order=True,
+        id_prefix="doc",
+    )
+    return shown(result, "job_id", "source")
+
+
 # Streams --------------------------------------------------------------------
 
 

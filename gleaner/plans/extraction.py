@@ -28,6 +28,7 @@ def extraction_result(
     id_column: str | None = None,
     id_prefix: str = "jd",
     order_by: Sequence[str] | None = None,
+    file_order: bool = False,
     title_column: str | None = None,
     keep: Sequence[str] | None = None,
     abbreviations: Mapping[str, str] | None = None,
@@ -43,14 +44,17 @@ def extraction_result(
     """Add ``job_id``, ``processed_text``, ``extracted_skills`` and ``skill_count``.
 
     Rows without text are dropped, after ids were given.  With an id column
-    this is one projection over the scan, without a shuffle.  ``keep`` names
-    the columns to carry on; generated ids move the rows once, so a narrow
-    ``keep`` saves moving the texts.
+    this is one projection over the scan, without a shuffle; ids in
+    ``file_order`` of parquet files add only a broadcast of the file sizes.
+    ``keep`` names the columns to carry on; ids by ``order_by`` or scan order
+    move the rows, so a narrow ``keep`` saves moving the texts.
     """
     validate_columns(df, text_column, id_column, title_column)
     vocabulary = match_vocabulary(dictionary, variations, normalize=normalize)
-    if id_column:
-        df = valid_rows(add_row_ids(df, id_column), text_column)
+    early_ids = bool(id_column) or file_order
+    if early_ids:
+        df = add_row_ids(df, id_column, prefix=id_prefix, file_order=file_order)
+        df = valid_rows(df, text_column)
     else:
         # Ids count all rows: those without text leave after they were numbered.
         df = df.withColumn("_has_text", has_text(F.col(text_column)))
@@ -72,9 +76,9 @@ def extraction_result(
         matcher=matcher,
     )
     if keep is not None:
-        own = ["job_id"] if id_column else ["_has_text", *(order_by or [])]
+        own = ["job_id"] if early_ids else ["_has_text", *(order_by or [])]
         df = df.select(*dict.fromkeys([*own, *keep, "extracted_skills", "skill_count"]))
-    if id_column:
+    if early_ids:
         return df
     if order_by:
         # Range partitioning samples its input first: do not extract twice for that.

@@ -162,6 +162,16 @@ GAPPY = """(SELECT * REPLACE (CASE WHEN doc_id % 7 = 0 THEN NULL
     WHEN doc_id % 11 = 0 THEN '  ' || chr(9) ELSE text END AS text) FROM documents)"""
 NO_TEXT = f"(text IS NULL OR {single_spaces('text')} = '')"
 
+
+
+def numbered(source: str, prefix: str = "jd") -> str:
+    """Documents with generated ids in the order of their keys."""
+    return f"""(SELECT *, '{prefix}_' || lpad(CAST(number AS VARCHAR),
+        CAST(greatest(3, length(CAST(total AS VARCHAR))) AS INTEGER), '0') AS job_id
+        FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS number, count(*) OVER () AS total
+              FROM {source}))"""
+
+
 # Roles and statistics -------------------------------------------------------
 
 
@@ -258,11 +268,6 @@ def distinct_words(source: str) -> str:
 RULES_ONE = f"SELECT * EXCLUDE (role) FROM ({rules(DOCUMENTS, repr('all'))})"
 FREQUENCIES = f"SELECT skill, count FROM ({stats(DOCUMENTS, repr('all'))})"
 REPORT = extracted("doc_id", f"(SELECT * FROM {GAPPY} WHERE NOT {NO_TEXT})", abbreviate=True)
-RESULT_ROWS = f"""(SELECT *, 'jd_' || lpad(CAST(number AS VARCHAR),
-    CAST(greatest(3, length(CAST(total AS VARCHAR))) AS INTEGER), '0') AS job_id
-    FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS number, count(*) OVER () AS total
-          FROM {GAPPY}))"""
-
 ORACLE: dict[str, str] = {
     # Cleaning
     "clean_text": f"SELECT doc_id, {cleaned('text')} AS processed_text FROM documents",
@@ -290,10 +295,9 @@ ORACLE: dict[str, str] = {
     "skipped_sample": f"""SELECT CAST(doc_id AS VARCHAR) AS job_id FROM {GAPPY} WHERE {NO_TEXT}
         ORDER BY 1 LIMIT 10""",
     # Ids and output columns
-    "row_ids_generated": """SELECT doc_id, 'jd_' || lpad(CAST(number AS VARCHAR),
-        CAST(greatest(3, length(CAST(total AS VARCHAR))) AS INTEGER), '0') AS job_id
-        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS number,
-              count(*) OVER () AS total FROM documents)""",
+    "row_ids_generated": f"SELECT doc_id, job_id FROM {numbered('documents')}",
+    # The rows of the file lie in the order of their keys.
+    "row_ids_file_order": f"SELECT doc_id, job_id FROM {numbered('documents')}",
     "row_ids_existing": """SELECT CAST(conv_id AS VARCHAR) AS job_id, turn, role
         FROM conversations""",
     "duplicate_ids": """SELECT count(*) - count(DISTINCT conv_id) AS duplicate_count
@@ -413,7 +417,10 @@ ORACLE: dict[str, str] = {
     # End to end
     "extraction_result": shown(
         "job_id, doc_id",
-        extracted("job_id, doc_id", f"(SELECT * FROM {RESULT_ROWS} WHERE NOT {NO_TEXT})", abbreviate=True),
+        extracted("job_id, doc_id", f"(SELECT * FROM {numbered(GAPPY)} WHERE NOT {NO_TEXT})", abbreviate=True),
+    ),
+    "extraction_result_file_order": shown(
+        "job_id, source", extracted("job_id, source", numbered("documents", "doc"))
     ),
     "extraction_report": f"""
         SELECT count(*) AS records_processed,

@@ -28,6 +28,16 @@ def test_generated_ids_in_scan_order(spark, tmp_path):
     assert all(row.text == f"row {int(row.job_id[3:])}" for row in numbered.collect())
 
 
+def test_generated_ids_in_file_order(spark, tmp_path):
+    path = str(tmp_path / "in")
+    df = spark.range(0, 5000, 1, 7).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    df.write.option("parquet.block.size", 4096).parquet(path)
+    numbered = rows.add_row_ids(spark.read.parquet(path), file_order=True)
+    assert all(int(row.job_id[3:]) == row.id + 1 for row in numbered.collect())
+    plan = numbered.filter("text is not null")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning") == 1
+
+
 def test_offset_continues_the_numbers(spark):
     numbered = rows.add_row_ids(spark.range(30).coalesce(1), order_by=["id"], offset=90)
     assert ids(numbered, "id")[0] == "jd_091"
