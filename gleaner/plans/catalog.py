@@ -25,6 +25,7 @@ from gleaner.plans.sample_terms import (
 )
 from gleaner.session import shared_folder
 from gleaner.sinks import writers
+from gleaner.sources import dictionaries
 from gleaner.sources import documents as sources
 from gleaner.streaming import extraction as streaming
 
@@ -49,12 +50,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gappy_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of which some lost their text."""
-    key = F.col("doc_id")
-    return documents(spark, folder).withColumn(
-        "text",
-        F.when(key % 7 == 0, F.lit(None)).when(key % 11 == 0, F.lit("  \t")).otherwise(F.col("text")),
+    """All documents, and rows without text: the labels, whose text is null or blank."""
+    label = table(spark, folder, "labels")
+    without_text = label.select(
+        (-1 - F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("quality") == 1, F.lit("  \t")).alias("text"),
+        F.lit("").alias("lang"),
+        F.lit("label").alias("source"),
+        F.lit(0).cast("bigint").alias("n_chars"),
     )
+    return documents(spark, folder).unionByName(without_text)
 
 
 def document_dictionary(spark: SparkSession) -> DataFrame:
@@ -299,7 +304,19 @@ def match_vocabulary(spark, folder):
 @query
 def longest_first_vocabulary(spark, folder):
     patterns = vocabulary.match_vocabulary(part_dictionary(spark, folder))
-    return vocabulary.longest_first(patterns).limit(20).select("pattern")
+    return vocabulary.longest_first(patterns).select("pattern", F.length("pattern").alias("length"))
+
+
+@query
+def term_list_scan(spark, folder):
+    """Part names as a term list with comments, blanks and mixed case, read back."""
+    path = fresh_path(spark, "terms")
+    lines = F.array(
+        F.concat(F.lit("# "), F.col("p_type")), F.concat(F.lit("  "), F.initcap("p_name")), F.lit(" ")
+    )
+    table(spark, folder, "part").select(F.explode(lines)).write.text(path)
+    read = dictionaries.read_dictionary(spark, {"custom": path, "soft": f"{path}/missing"})
+    return vocabulary.dictionary_stats(read)
 
 
 # Extraction -----------------------------------------------------------------
@@ -414,13 +431,13 @@ def extraction_stats(spark, folder):
 
 
 def uneven_role() -> Column:
-    """Languages with spellings, gaps and blanks as a role column has them."""
-    key = F.col("doc_id")
+    """Languages with spellings, gaps and blanks, as a role column has them."""
+    source = F.col("source")
     return (
-        F.when(key % 13 == 0, F.lit(None))
-        .when(key % 17 == 0, F.lit(""))
-        .when(key % 19 == 0, F.lit("  "))
-        .when(key % 5 == 0, F.concat(F.lit(" "), F.upper("lang"), F.lit("\t")))
+        F.when(source == "src3", F.lit(None))
+        .when(source == "src5", F.lit(""))
+        .when(source == "src7", F.lit("  "))
+        .when(source.isin("src11", "src13"), F.concat(F.lit(" "), F.upper("lang"), F.lit("\t")))
         .otherwise(F.col("lang"))
     )
 
@@ -620,9 +637,9 @@ def role_analytics_roundtrip(spark, folder):
 def na_values(spark, folder):
     """Spellings of a missing value become null, other text stays."""
     path = fresh_path(spark, "csv")
-    key = F.col("doc_id")
-    noted = F.when(key % 3 == 0, "NA").when(key % 5 == 0, "n/a").when(key % 7 == 0, "nap").otherwise("")
-    written = table(spark, folder, "documents").select("doc_id", noted.alias("note"), "lang")
+    source = F.col("source")
+    noted = F.when(source == "src1", "NA").when(source == "src2", "n/a").when(source == "src3", "nap")
+    written = table(spark, folder, "documents").select("doc_id", noted.otherwise("").alias("note"), "lang")
     written.write.csv(path, header=True)
     back = sources.read_documents(spark, path, "csv")
     return back.select(F.col("doc_id").cast("bigint"), "note", "lang")
@@ -641,6 +658,23 @@ def encoding_routing(spark, folder):
     return back.select(F.col("doc_id").cast("bigint"), "text")
 
 
+@query
+def read_by_format(spark, folder):
+    """One table through the JSON, parquet and CSV readers."""
+    path = fresh_path(spark, "formats")
+    kept = table(spark, folder, "documents").select("doc_id", "text")
+    kept.write.json(f"{path}/in.json")
+    kept.write.parquet(f"{path}/in.parquet")
+    kept.write.csv(f"{path}/in.csv", header=True, escape='"')
+    read = [
+        sources.read_documents(spark, f"{path}/in.{kind}").select(
+            F.lit(kind).alias("format"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"
+        )
+        for kind in ("json", "parquet", "csv")
+    ]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 @query
 def row_count_estimate(spark, folder):
     path = fresh_path(spark, "csv")

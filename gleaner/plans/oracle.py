@@ -158,8 +158,8 @@ PARTS = extracted(
     terms=PART_TERMS,
     variations=PART_VARIATIONS,
 )
-GAPPY = """(SELECT * REPLACE (CASE WHEN doc_id % 7 = 0 THEN NULL
-    WHEN doc_id % 11 = 0 THEN '  ' || chr(9) ELSE text END AS text) FROM documents)"""
+GAPPY = """(SELECT doc_id, text, lang, source, n_chars FROM documents UNION ALL
+    SELECT -1 - doc_id, CASE WHEN quality = 1 THEN '  ' || chr(9) END, '', 'label', 0 FROM labels)"""
 NO_TEXT = f"(text IS NULL OR {single_spaces('text')} = '')"
 
 
@@ -187,9 +187,9 @@ def role_case(role: str) -> str:
     return f"CASE WHEN {role} IS NULL OR {role} = '' THEN 'Unknown'{cases} ELSE {stripped} END"
 
 
-UNEVEN_ROLE = """CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN ''
-    WHEN doc_id % 19 = 0 THEN '  ' WHEN doc_id % 5 = 0 THEN ' ' || upper(lang) || chr(9)
-    ELSE lang END"""
+UNEVEN_ROLE = """CASE WHEN source = 'src3' THEN NULL WHEN source = 'src5' THEN ''
+    WHEN source = 'src7' THEN '  '
+    WHEN source IN ('src11', 'src13') THEN ' ' || upper(lang) || chr(9) ELSE lang END"""
 ROLES = f"SELECT * REPLACE ({role_case('role')} AS role) FROM (SELECT *, {UNEVEN_ROLE} AS role FROM ({DOCUMENTS}))"
 
 
@@ -322,8 +322,11 @@ ORACLE: dict[str, str] = {
     "dictionary_strangers": f"""{distinct_words("conversations")}
         AND word NOT IN ({distinct_words("benchmark")})""",
     "match_vocabulary": VOCABULARY,
-    "longest_first_vocabulary": f"""SELECT DISTINCT lower(term) AS pattern FROM ({PART_DICTIONARY})
-        ORDER BY length(pattern) DESC, pattern LIMIT 20""",
+    "longest_first_vocabulary": f"""SELECT DISTINCT lower(term) AS pattern,
+        length(lower(term)) AS length FROM ({PART_DICTIONARY})""",
+    "term_list_scan": """SELECT unnest(['custom', 'all']) AS category,
+        count(DISTINCT lower(p_name)) AS terms,
+        count(*) - count(DISTINCT lower(p_name)) AS duplicates_removed FROM part""",
     # Extraction
     "extract_terms_pattern": shown("job_id", DOCUMENTS),
     "extract_terms_join": shown("job_id", DOCUMENTS),
@@ -410,8 +413,10 @@ ORACLE: dict[str, str] = {
         FROM ({summary(ROLES, "role")}) LEFT JOIN (
             SELECT role, string_agg(skill, '|' ORDER BY place) AS top_skills
             FROM ({stats(ROLES)}) WHERE place <= 3 GROUP BY role) USING (role)""",
-    "na_values": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN NULL
-        WHEN doc_id % 7 = 0 THEN 'nap' END AS note, lang FROM documents""",
+    "na_values": """SELECT doc_id, CASE WHEN source = 'src3' THEN 'nap' END AS note, lang
+        FROM documents""",
+    "read_by_format": """SELECT format, doc_id, text FROM documents,
+        (VALUES ('json'), ('parquet'), ('csv')) AS formats(format)""",
     "encoding_routing": "SELECT doc_id, text FROM documents",
     "row_count_estimate": "SELECT count(*) AS rows FROM orders",
     # End to end
