@@ -41,10 +41,14 @@ def terms_regex(terms: Iterable[str]) -> str:
 
 
 def _branches(node: dict) -> str:
+    literal = ""
+    while len(node) == 1 and _END not in node:
+        ((char, node),) = node.items()
+        literal += quote(char)
     options = [quote(char) + _branches(node[char]) for char in sorted(node) if char != _END]
     if _END in node:
         options.append(node[_END])
-    return options[0] if len(options) == 1 else "(?:" + "|".join(options) + ")"
+    return literal + (options[0] if len(options) == 1 else "(?:" + "|".join(options) + ")")
 
 
 def find_terms(

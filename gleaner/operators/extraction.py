@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from gleaner.functions.characters import NOT_WORD, RUNS, WORD
 from gleaner.functions.matching import find_terms
 
-# Largest vocabulary kept as one literal pattern: entries and characters.
+# Largest vocabulary kept as one literal pattern: terms, their characters together, and the
+# longest term (terms that are prefixes of one another nest as deep as they are long).
 PATTERN_TERMS = 20_000
 PATTERN_CHARS = 600_000
+PATTERN_DEPTH = 200
 # Largest vocabulary (estimated bytes) that is broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Parts one text piece is spread over in the shuffled join: common words are hot keys.
@@ -29,9 +31,10 @@ SALTS = 32
 def collect_vocabulary(vocabulary: DataFrame) -> dict[str, str] | None:
     """The vocabulary as a dict if it is small enough for one pattern, else None."""
     rows = vocabulary.select("pattern", "canonical").limit(PATTERN_TERMS + 1).collect()
-    if len(rows) > PATTERN_TERMS or sum(len(r.pattern) for r in rows) > PATTERN_CHARS:
+    lengths = [len(row.pattern) for row in rows]
+    if len(rows) > PATTERN_TERMS or sum(lengths) > PATTERN_CHARS or max(lengths, default=0) > PATTERN_DEPTH:
         return None
-    return {r.pattern: r.canonical for r in rows}
+    return {row.pattern: row.canonical for row in rows}
 
 
 def extract_terms(

@@ -48,31 +48,40 @@ def all_groups(tallied: DataFrame) -> DataFrame:
     )
 
 
-def term_stats(tallied: DataFrame, top_n: int = 20) -> DataFrame:
-    """``(role, skill, count, percentage, rank, total_jds)``, one row per role and term.
-
-    ``percentage`` is unrounded.  ``rank`` is null outside the first ``top_n``;
-    ties rank in term order.
-    """
+def _placed(tallied: DataFrame) -> DataFrame:
+    """The tally with the documents of the role (``total_jds``) and the place of each term."""
     in_role = Window.partitionBy("role")
     is_term = F.col("skill").isNotNull()
-    counted = tallied.select(
+    return tallied.select(
         "role",
         "skill",
-        F.col("docs").alias("count"),
+        "size",
+        "docs",
         F.coalesce(F.sum(F.when(~is_term, F.col("docs"))).over(in_role), F.lit(0)).alias("total_jds"),
-        # The marker rows sort behind all terms and never take a rank.
+        # The marker rows sort behind all terms.
         F.row_number()
         .over(in_role.orderBy(is_term.desc(), F.desc("docs"), "skill"))
         .alias("place"),
     )
-    return counted.filter("skill is not null").select(
-        "role",
-        "skill",
-        "count",
-        percentage(F.col("count"), F.col("total_jds")).alias("percentage"),
-        F.when(F.col("place") <= top_n, F.col("place")).alias("rank"),
-        "total_jds",
+
+
+def term_stats(tallied: DataFrame, top_n: int = 20) -> DataFrame:
+    """``(role, skill, count, percentage, rank, total_jds)``, one row per role and term.
+
+    ``percentage`` is unrounded.  ``rank`` is null outside the first ``top_n``;
+    ties rank in term order.
+    """
+    return (
+        _placed(tallied)
+        .filter("skill is not null")
+        .select(
+            "role",
+            "skill",
+            F.col("docs").alias("count"),
+            percentage(F.col("docs"), F.col("total_jds")).alias("percentage"),
+            F.when(F.col("place") <= top_n, F.col("place")).alias("rank"),
+            "total_jds",
+        )
     )
 
 
@@ -116,18 +125,24 @@ def group_summary(tallied: DataFrame) -> DataFrame:
     )
 
 
-def dataset_summary(tallied: DataFrame) -> DataFrame:
-    """One row over all documents; zeros for an empty table."""
-    median = F.percentile("size", F.lit(0.5), F.when(F.col("skill").isNull(), F.col("docs")).otherwise(0))
-    return all_groups(tallied).agg(
+def _summary() -> list[Column]:
+    frequency = F.when(F.col("skill").isNull(), F.col("docs")).otherwise(0)
+    return [
         _documents().alias("total_jds_processed"),
         F.count("skill").alias("unique_skills_extracted"),
         _mentions().alias("total_skill_extractions"),
         _mean_size().alias("avg_skills_per_jd"),
-        F.coalesce(round2(median), F.lit(0.0)).alias("median_skills_per_jd"),
+        F.coalesce(round2(F.percentile("size", F.lit(0.5), frequency)), F.lit(0.0)).alias(
+            "median_skills_per_jd"
+        ),
         F.coalesce(F.max("size"), F.lit(0)).alias("max_skills_in_single_jd"),
         F.coalesce(F.min("size"), F.lit(0)).alias("min_skills_in_single_jd"),
-    )
+    ]
+
+
+def dataset_summary(tallied: DataFrame) -> DataFrame:
+    """One row over all documents; zeros for an empty table."""
+    return all_groups(tallied).agg(*_summary())
 
 
 def extraction_stats(df: DataFrame, text_column: str = "processed_text") -> DataFrame:
@@ -141,41 +156,61 @@ def extraction_stats(df: DataFrame, text_column: str = "processed_text") -> Data
     )
 
 
-def aggregation_documents(tallied: DataFrame, top_n: int = 20) -> DataFrame:
+def _term_lists(top_n: int) -> list[Column]:
+    """All terms in alphabetical order, and the first ``top_n`` by rank."""
+    is_term = F.col("skill").isNotNull()
+    count = F.col("docs").alias("count")
+    share = percentage(F.col("docs"), F.col("total_jds"))
+    term = F.struct("skill", count, share.alias("percentage"))
+    ranked = F.struct("place", "skill", count, round2(share).alias("percentage"))
+    return [
+        F.array_sort(F.collect_list(F.when(is_term, term))).alias("terms"),
+        F.array_sort(F.collect_list(F.when(is_term & (F.col("place") <= top_n), ranked))).alias("ranked"),
+    ]
+
+
+def _frequency_map() -> Column:
+    return F.map_from_entries(F.transform("terms", lambda t: F.struct(t["skill"], t["count"])))
+
+
+def _percentage_map() -> Column:
+    return F.map_from_entries(F.transform("terms", lambda t: F.struct(t["skill"], t["percentage"])))
+
+
+def _ranking() -> Column:
+    return F.transform("ranked", lambda t: F.struct(t["skill"], t["count"], t["percentage"]))
+
+
+def role_documents(tallied: DataFrame, top_n: int = 20) -> DataFrame:
     """One nested row per role: totals, frequencies, percentages and ranking.
 
     The maps hold one entry per term of the vocabulary found in the role, so
     their size does not depend on the number of documents.
     """
-    stats = term_stats(tallied, top_n)
-    by_term = F.array_sort(F.collect_list(F.struct("skill", "count", "percentage")))
-    ranked = F.array_sort(
-        F.collect_list(
-            F.when(
-                F.col("rank").isNotNull(),
-                F.struct("rank", "skill", "count", round2(F.col("percentage")).alias("percentage")),
-            )
-        )
+    totals = [
+        _documents().alias("total_jds"),
+        F.count("skill").alias("unique_skills"),
+        _mean_size().alias("avg_skills_per_jd"),
+    ]
+    grouped = _placed(tallied).groupBy("role").agg(*totals, *_term_lists(top_n))
+    return grouped.select(
+        "role",
+        "total_jds",
+        "unique_skills",
+        _frequency_map().alias("skill_frequencies"),
+        _percentage_map().alias("skill_percentages"),
+        _ranking().alias("top_skills"),
+        "avg_skills_per_jd",
     )
-    nested = stats.groupBy("role").agg(by_term.alias("terms"), ranked.alias("ranked"))
-    empty = F.array().cast("array<struct<skill:string,count:bigint,percentage:double>>")
-    terms = F.coalesce("terms", empty)
-    return (
-        group_summary(tallied)
-        .join(nested, "role", "left")
-        .select(
-            "role",
-            "total_jds",
-            "unique_skills",
-            F.map_from_entries(
-                F.transform(terms, lambda t: F.struct(t["skill"], t["count"]))
-            ).alias("skill_frequencies"),
-            F.map_from_entries(
-                F.transform(terms, lambda t: F.struct(t["skill"], t["percentage"]))
-            ).alias("skill_percentages"),
-            F.coalesce(
-                F.transform("ranked", lambda t: F.struct(t["skill"], t["count"], t["percentage"])), empty
-            ).alias("top_skills"),
-            "avg_skills_per_jd",
-        )
+
+
+def dataset_document(tallied: DataFrame, top_n: int = 20) -> DataFrame:
+    """One nested row: summary, ranking, all frequencies and percentages."""
+    grouped = _placed(all_groups(tallied)).agg(*_summary(), *_term_lists(top_n))
+    summary = F.struct(*[name for name in grouped.columns if name not in ("terms", "ranked")])
+    return grouped.select(
+        summary.alias("summary"),
+        _ranking().alias("skill_rankings"),
+        _frequency_map().alias("all_skill_frequencies"),
+        _percentage_map().alias("all_skill_percentages"),
     )

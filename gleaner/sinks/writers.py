@@ -12,11 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.operators.frequencies import (
-    aggregation_documents,
-    all_groups,
-    dataset_summary,
-)
+from gleaner.operators.frequencies import dataset_document, role_documents
 from gleaner.operators.rows import format_results
 
 logger = logging.getLogger(__name__)
@@ -86,21 +82,6 @@ def write_all(
     return written
 
 
-def dataset_document(tallied: DataFrame, top_n: int = 20) -> DataFrame:
-    """One nested row: summary, ranking, all frequencies and percentages."""
-    whole = all_groups(tallied)
-    nested = aggregation_documents(whole, top_n)
-    # Both sides are one row of the group "all".
-    summary = dataset_summary(whole)
-    summary = summary.select(F.lit("all").alias("role"), F.struct(*summary.columns).alias("summary"))
-    return summary.join(nested, "role", "left").select(
-        "summary",
-        F.col("top_skills").alias("skill_rankings"),
-        F.col("skill_frequencies").alias("all_skill_frequencies"),
-        F.col("skill_percentages").alias("all_skill_percentages"),
-    )
-
-
 def write_dataset_analytics(tallied: DataFrame, path: str, top_n: int = 20) -> str:
     dataset_document(tallied, top_n).write.mode("overwrite").json(path)
     return path
@@ -112,7 +93,7 @@ def write_role_analytics(tallied: DataFrame, path: str, top_n: int = 20) -> str:
     The folder name is an escaped copy of ``role``, so names cannot collide,
     and the document keeps the role as it is (a folder cannot be named ``""``).
     """
-    _write_per_role(aggregation_documents(tallied, top_n), path)
+    _write_per_role(role_documents(tallied, top_n), path)
     return path
 
 

@@ -116,3 +116,18 @@ def test_terms_broken_by_cleaning_cannot_match(spark, texts):
     patterns = {"a/b testing": "a/b testing"}
     cleaned = texts("a/b testing").withColumn("text", F.regexp_replace("text", "/", " "))
     assert run(cleaned, patterns) == [[]]
+
+
+def test_deeply_nested_terms(spark, texts):
+    nested = {"a" * n: "a" * n for n in range(1, 201)}
+    text = " ".join("a" * n for n in (200, 3, 201, 150))
+    patterns = table(spark, nested)
+    assert extraction.collect_vocabulary(patterns) is not None
+    assert run(texts(text), patterns) == [["a" * 200, "aaa", "a" * 150]]
+
+
+def test_a_very_long_term_goes_to_the_join(spark, texts):
+    long = "x" * 3000
+    patterns = table(spark, {long: long, "y": "y"})
+    assert extraction.collect_vocabulary(patterns) is None
+    assert run(texts(f"y {long} z"), patterns) == [["y", long]]

@@ -84,6 +84,20 @@ def test_empty_table_gives_zeros(spark):
     assert f.term_stats(f.tally(empty)).count() == 0
 
 
+def test_dataset_document_of_an_empty_table(spark):
+    document = f.dataset_document(f.tally(table(spark, DOCUMENTS).limit(0))).first()
+    assert set(document.summary.asDict().values()) == {0}
+    assert document.skill_rankings == [] and document.all_skill_frequencies == {}
+
+
+@pytest.mark.parametrize("make", [f.dataset_document, f.role_documents, f.term_stats, f.dataset_summary])
+def test_documents_are_read_once(spark, make, tmp_path):
+    path = str(tmp_path / "in")
+    table(spark, DOCUMENTS).write.parquet(path)
+    plan = make(f.tally(spark.read.parquet(path), "role"))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("FileScan") == 1
+
+
 def test_extraction_stats_leave_out_empty_texts(spark):
     df = spark.createDataFrame(
         [("a b", ["a", "b"]), ("", []), ("x", []), (None, [])],
@@ -118,8 +132,8 @@ def test_percentages_round_half_to_even(spark):
     assert all(math.isclose(r.p, round(r.n / r.total * 100, 2), abs_tol=1e-9) for r in found)
 
 
-def test_aggregation_documents(spark):
-    found = {r.role: r for r in f.aggregation_documents(f.tally(table(spark, DOCUMENTS), "role"), 1).collect()}
+def test_role_documents(spark):
+    found = {r.role: r for r in f.role_documents(f.tally(table(spark, DOCUMENTS), "role"), 1).collect()}
     assert found["fr"].skill_frequencies == {"b": 2, "c": 2}
     assert found["fr"].skill_percentages == {"b": 100.0, "c": 100.0}
     assert [tuple(t) for t in found["en"].top_skills] == [("a", 2, 66.67)]
