@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
 PATTERNS = 450
-RUNS = 3
+RUNS = 2
 
 HEADLINES = (
     "clean_text",

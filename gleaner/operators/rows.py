@@ -24,11 +24,11 @@ def validate_columns(
     title_column: str | None = None,
 ) -> None:
     """Raise ``ValueError`` when a required column is missing."""
-    for label, name in (("Text", text_column), ("ID", id_column)):
+    for use, name in (("text", text_column), ("id", id_column)):
         if name and name not in df.columns:
-            raise ValueError(f"{label} column '{name}' not found. Available columns: {df.columns}")
+            raise ValueError(f"no {use} column '{name}' among {df.columns}")
     if title_column and title_column not in df.columns:
-        logger.warning("Title column '%s' not found; titles will be empty.", title_column)
+        logger.warning("no title column '%s' among %s", title_column, df.columns)
 
 
 def add_row_ids(

@@ -78,7 +78,7 @@ def write_all(
         elif kind == "json":
             written[kind] = write_json(df, path, columns, title_column=title_column)
         else:
-            logger.warning("Unknown output format: %s", kind)
+            logger.warning("cannot write format %s, left out", kind)
     return written
 
 

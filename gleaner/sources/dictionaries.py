@@ -27,7 +27,7 @@ def read_terms(spark: SparkSession, path: str, category: str = "custom") -> Data
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        logger.error("Term file not found: %s", path)
+        logger.error("no term list at %s", path)
         return spark.createDataFrame([], "term string, category string")
     return (
         lines.select(F.lower(strip(F.col("value"))).alias("term"))
@@ -57,7 +57,7 @@ def read_map(spark: SparkSession, path: str | None) -> dict:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        logger.warning("Map file not found: %s", path)
+        logger.warning("no map file at %s", path)
         return {}
     if content is None:
         return {}

@@ -29,7 +29,7 @@ def file_format(path: str) -> str:
     """The reader for a path, by its extension."""
     suffix = PurePosixPath(path).suffix.lower()
     if suffix not in FORMATS:
-        raise ValueError(f"Unsupported file format: '{suffix}'. Supported: {sorted(FORMATS)}")
+        raise ValueError(f"cannot read '{suffix}' files, only {sorted(FORMATS)}")
     return FORMATS[suffix]
 
 

@@ -72,7 +72,9 @@ class WorkbookReader(DataSourceReader):
 
 
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
 
 
 def _rows(path: str, sheet: str) -> Iterator[list[str | None]]:

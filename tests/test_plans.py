@@ -63,7 +63,7 @@ def test_with_an_id_column_nothing_is_shuffled(jobs, dictionary, variations):
 
 
 def test_missing_text_column(jobs, dictionary):
-    with pytest.raises(ValueError, match="Text column 'jd' not found"):
+    with pytest.raises(ValueError, match="no text column 'jd'"):
         extraction_result(jobs, "jd", dictionary)
 
 

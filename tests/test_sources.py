@@ -88,7 +88,7 @@ def test_explicit_encoding(spark, write):
 
 
 def test_unknown_extension(spark):
-    with pytest.raises(ValueError, match="Unsupported file format: '.pdf'"):
+    with pytest.raises(ValueError, match="cannot read '.pdf' files"):
         documents.read_documents(spark, "in.pdf")
 
 
@@ -165,6 +165,7 @@ def test_workbook(spark, tmp_path):
     ]
     assert read_excel(spark, path, "Other").collect() == [("b",)]
     assert read_excel(spark, path, 1).columns == ["a"]
+    assert read_excel(spark, f"file:{path}").count() == read_excel(spark, f"file://{path}").count() == 3
     with pytest.raises(Exception, match="no sheet 'None such'"):
         read_excel(spark, path, "None such").collect()
 
