@@ -89,44 +89,34 @@ def _extract_by_join(
     text = F.col(text_column) if case_sensitive else F.lower(text_column)
     # Never null, so that the join does not test it for null (and clean each text twice for that).
     keyed = df.withColumn("_digest", F.coalesce(F.md5(text), F.lit("")))
-    patterns = vocabulary.select(
-        "pattern",
-        "canonical",
-        F.size(F.regexp_extract_all("pattern", F.lit(RUNS), F.lit(0))).alias("_runs"),
-        F.col("pattern").rlike(f"^{NOT_WORD}").alias("_opens"),
-        F.col("pattern").rlike(rf"{NOT_WORD}\z").alias("_closes"),
+    patterns = vocabulary.select("pattern", "canonical")
+    kind = F.struct(
+        F.size(F.regexp_extract_all("pattern", F.lit(RUNS), F.lit(0))).alias("runs"),
+        F.col("pattern").rlike(f"^{NOT_WORD}").alias("opens"),
     )
     # A handful of values however large the vocabulary is.
     shape = patterns.agg(
-        F.collect_set("_runs").alias("lengths"),
-        F.coalesce(F.bool_or(F.col("_opens") | F.col("_closes")), F.lit(False)).alias("symbols"),
+        F.array_sort(F.collect_set(kind)).alias("kinds"),
         F.coalesce(F.sum(F.octet_length("pattern") + F.octet_length("canonical") + 64), F.lit(0)).alias(
             "bytes"
         ),
     ).first()
-    lengths = sorted(shape.lengths)
-    if not lengths:
+    kinds = [(runs, opens) for runs, opens in shape.kinds]
+    if not kinds:
         return df.withColumn("extracted_skills", F.array().cast("array<string>"))
 
     documents = keyed.select("_digest", text.alias("_text"))
-    if shape.symbols:
-        pieces = _run_pieces(documents, lengths)
-    elif lengths == [1] and remove_duplicates:
+    single_words = kinds == [(1, False)]
+    if single_words and remove_duplicates:
         pieces = _distinct_words(documents)
     else:
-        pieces = _word_pieces(documents, lengths)
+        pieces = _pieces(documents, kinds)
     hits = _look_up(pieces, patterns, shape.bytes)
-    if shape.symbols:
-        # A symbol at the edge needs a word character next to it: not the end of the text.
-        hits = hits.filter(
-            (~F.col("_opens") | (F.col("start") > 0))
-            & (~F.col("_closes") | (F.col("start") + F.col("runs") < F.col("last")))
-        )
     # One set per text, combined before the shuffle: copies of a text add nothing to it.
     per_text = hits.groupBy("_digest").agg(
         F.collect_set(F.struct("start", "runs", "canonical")).alias("_hits")
     )
-    if lengths != [1]:
+    if not single_words:
         per_text = _drop_overlaps(per_text)
     found = per_text.select(
         "_digest",
@@ -151,56 +141,48 @@ def _distinct_words(documents: DataFrame) -> DataFrame:
     )
 
 
-def _word_pieces(documents: DataFrame, lengths: list[int]) -> DataFrame:
-    """``(_digest, start, runs, piece)``: pieces that begin and end with a word.
+def _pieces(documents: DataFrame, kinds: list[tuple[int, bool]]) -> DataFrame:
+    """``(_digest, start, runs, piece)``: the pieces of each text that a pattern could equal.
 
-    One pattern per length lists the pieces starting at the first, second, ...
-    word, so the pieces at one place in these lists start with the same word.
+    A kind is the number of runs and whether the first run is one of symbols.
+    Word number i of the text is run 2i, the symbols behind it are run 2i + 1.
+    For each kind one expression lists the pieces starting at word (or behind
+    word) 0, 1, ...; only the last places lack a piece, so a place in the list
+    is the number of the word.
     """
-
-    def of_length(n: int) -> Column:
-        following = f"(?:{NOT_WORD}++{WORD}++)" + "{%d}" % (n // 2)
-        pattern = f"{WORD}++" if n == 1 else f"(?<!{WORD})(?=({WORD}++{following}))"
-        return F.regexp_extract_all("_text", F.lit(pattern), F.lit(0 if n == 1 else 1)).alias(f"of{n}")
-
-    at_word = F.posexplode(F.arrays_zip(*[of_length(n) for n in lengths])).alias("_word", "_at")
-    by_length = F.array(
-        *[F.struct(F.lit(n).alias("runs"), F.col(f"_at.of{n}").alias("piece")) for n in lengths]
-    )
-    return documents.select("_digest", at_word).select(
-        "_digest", (F.col("_word") * 2).alias("start"), F.inline(by_length)
+    lists = [
+        F.regexp_extract_all("_text", F.lit(_piece_regex(runs, opens)), F.lit(1)).alias(f"of{i}")
+        for i, (runs, opens) in enumerate(kinds)
+    ]
+    at_word = F.posexplode(F.arrays_zip(*lists)).alias("_word", "_at")
+    by_kind = F.array(
+        *[
+            F.struct(
+                (F.col("_word") * 2 + int(opens)).alias("start"),
+                F.lit(runs).alias("runs"),
+                F.col(f"_at.of{i}").alias("piece"),
+            )
+            for i, (runs, opens) in enumerate(kinds)
+        ]
     )
+    return documents.select("_digest", at_word).select("_digest", F.inline(by_kind))
 
 
-def _run_pieces(documents: DataFrame, lengths: list[int]) -> DataFrame:
-    """``(_digest, start, runs, piece, last)``: pieces starting and ending anywhere between runs.
+def _piece_regex(runs: int, opens: bool) -> str:
+    """Captures ``runs`` whole runs from where one starts, without moving on.
 
-    ``last`` is the number of runs of the text.
+    Symbols at an edge need a word character next to them.
     """
-    split = documents.select(
-        "_digest", F.regexp_extract_all("_text", F.lit(RUNS), F.lit(0)).alias("_run")
-    ).withColumn("last", F.size("_run"))
-
-    def of_length(n: int) -> Column:
-        starts = F.when(F.col("last") >= n, F.sequence(F.lit(0), F.col("last") - n)).otherwise(
-            F.array().cast("array<int>")
-        )
-        # Not slice(): it copies the whole array for every piece.
-        return F.transform(
-            starts,
-            lambda start: F.struct(
-                start.alias("start"),
-                F.lit(n).alias("runs"),
-                F.concat(*[F.get("_run", start + k) for k in range(n)]).alias("piece"),
-            ),
-        )
-
-    return split.select("_digest", "last", F.inline(F.concat(*[of_length(n) for n in lengths])))
+    words = [(place % 2 == 1) == opens for place in range(runs)]
+    before = f"(?<={WORD})" if opens else f"(?<!{WORD})"
+    after = "" if words[-1] else f"(?={WORD})"
+    body = "".join(f"{WORD}++" if word else f"{NOT_WORD}++" for word in words)
+    return f"{before}(?=({body}){after})"
 
 
 def _look_up(pieces: DataFrame, patterns: DataFrame, vocabulary_bytes: int) -> DataFrame:
     """Join pieces with patterns of equal text."""
-    patterns = patterns.withColumnRenamed("pattern", "piece").drop("_runs")
+    patterns = patterns.withColumnRenamed("pattern", "piece")
     if vocabulary_bytes <= BROADCAST_BYTES:
         return pieces.join(F.broadcast(patterns), "piece")
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("_digest", "start"), F.lit(SALTS)))
