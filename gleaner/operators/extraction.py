@@ -46,11 +46,15 @@ def extract_terms(
     remove_duplicates: bool = True,
     lowered: bool = False,
     matcher: str = "auto",
+    made_from: str | None = None,
 ) -> DataFrame:
     """Add ``extracted_skills`` (terms in order of appearance) and ``skill_count``.
 
     Matches are whole-word, non-overlapping, leftmost and longest first.
     ``vocabulary`` is a ``(pattern, canonical)`` table, or a dict of the same.
+    ``made_from`` names the column the text was made from, if any: rows equal
+    there have equal texts, and a join need not make the texts once more to
+    tell that.
     """
     if isinstance(vocabulary, DataFrame):
         small = collect_vocabulary(vocabulary) if matcher in ("auto", "pattern") else None
@@ -68,7 +72,9 @@ def extract_terms(
         )
         df = df.withColumn("extracted_skills", found)
     else:
-        df = _extract_by_join(df, vocabulary, text_column, case_sensitive, remove_duplicates)
+        df = _extract_by_join(
+            df, vocabulary, text_column, made_from or text_column, case_sensitive, remove_duplicates
+        )
     return df.withColumn("skill_count", F.size("extracted_skills"))
 
 
@@ -76,6 +82,7 @@ def _extract_by_join(
     df: DataFrame,
     vocabulary: DataFrame,
     text_column: str,
+    key_column: str,
     case_sensitive: bool,
     remove_duplicates: bool,
 ) -> DataFrame:
@@ -83,12 +90,12 @@ def _extract_by_join(
 
     A whole-word match is a sequence of whole runs (of word or of other
     characters).  So every piece of up to as many runs as a pattern has is
-    looked up by equality.  Documents are keyed by a digest of their text:
-    copies are matched together, and duplicate ids do no harm.
+    looked up by equality.  Documents are keyed by a digest: copies are
+    matched together, and duplicate ids do no harm.
     """
     text = F.col(text_column) if case_sensitive else F.lower(text_column)
-    # Never null, so that the join does not test it for null (and clean each text twice for that).
-    keyed = df.withColumn("_digest", F.coalesce(F.md5(text), F.lit("")))
+    # Never null, so that the join does not test it for null (and make the key twice for that).
+    keyed = df.withColumn("_digest", F.coalesce(F.md5(F.col(key_column).cast("string")), F.lit("")))
     patterns = vocabulary.select("pattern", "canonical")
     kind = F.struct(
         F.size(F.regexp_extract_all("pattern", F.lit(RUNS), F.lit(0))).alias("runs"),

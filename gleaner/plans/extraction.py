@@ -74,6 +74,7 @@ def extraction_result(
         remove_duplicates=remove_duplicates,
         lowered=lowercase,
         matcher=matcher,
+        made_from=text_column,
     )
     if keep is not None:
         own = ["job_id"] if early_ids else ["_has_text", *(order_by or [])]
@@ -106,7 +107,11 @@ def extraction_report(
     kept = has_text(F.col(text_column)).alias("_has_text")
     rows = clean_text(df.select(text_column, kept), text_column, abbreviations=abbreviations)
     rows = extract_terms(
-        rows, match_vocabulary(dictionary, variations), lowered=True, matcher=matcher
+        rows,
+        match_vocabulary(dictionary, variations),
+        lowered=True,
+        matcher=matcher,
+        made_from=text_column,
     ).withColumn("skill_count", F.when(F.col("_has_text"), F.col("skill_count")))
     docs, is_document = F.col("docs"), F.col("skill").isNull()
     processed = F.coalesce(F.sum(F.when(is_document & F.col("size").isNotNull(), docs)), F.lit(0))
