@@ -131,12 +131,15 @@ def _extract_by_join(
     )
     if remove_duplicates:
         found = found.withColumn("_found", F.array_distinct("_found"))
-    # Many copies of one text make one hot key here; it sits on the outer
-    # side, where the skew join of adaptive execution splits it.
+    # Many copies of one text make one hot key here.  It sits on the outer side, where the skew
+    # join of adaptive execution splits it, provided that both sides are shuffled for this join:
+    # the second key, though it adds nothing, keeps the partitioning by text from being reused.
+    shard = F.substring("_digest", 1, 1)
     return (
-        keyed.join(found, "_digest", "left")
+        keyed.withColumn("_shard", shard)
+        .join(found.withColumn("_shard", shard), ["_digest", "_shard"], "left")
         .withColumn("extracted_skills", F.coalesce("_found", F.array().cast("array<string>")))
-        .drop("_digest", "_found")
+        .drop("_digest", "_shard", "_found")
     )
 
 

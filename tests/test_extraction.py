@@ -131,3 +131,31 @@ def test_a_very_long_term_goes_to_the_join(spark, texts):
     patterns = table(spark, {long: long, "y": "y"})
     assert extraction.collect_vocabulary(patterns) is None
     assert run(texts(f"y {long} z"), patterns) == [["y", long]]
+
+
+@pytest.mark.parametrize("vocabulary", [{"ring": "ring"}, {"small ring": "small ring", "ring": "ring"}])
+def test_a_hot_text_is_split_where_results_are_joined_back(spark, vocabulary):
+    """Two thirds of the rows are copies of one text."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    rows = spark.range(0, 60000, 1, 8)
+    copy = F.when(F.col("id") % 3 > 0, F.lit("hot small ring")).otherwise(F.concat(F.lit("ring "), "id"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = extract_terms(rows.withColumn("text", copy), table(spark, vocabulary), "text", matcher="join")
+        counts = df.select("id", F.array_join("extracted_skills", "|").alias("found")).cache()
+        found = {r.found: r["count"] for r in counts.groupBy("found").count().collect()}
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        counts.unpersist()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    hot = "small ring" if len(vocabulary) == 2 else "ring"
+    assert found == ({"ring": 60000} if hot == "ring" else {"small ring": 40000, "ring": 20000})
+    assert "skew=true" in plan
