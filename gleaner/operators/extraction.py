@@ -179,15 +179,17 @@ def _pieces(documents: DataFrame, kinds: list[tuple[int, bool]]) -> DataFrame:
 
 
 def _piece_regex(runs: int, opens: bool) -> str:
-    """Captures ``runs`` whole runs from where one starts, without moving on.
+    """Captures ``runs`` whole runs at (or behind) a word, but moves on by that word only.
 
     Symbols at an edge need a word character next to them.
     """
     words = [(place % 2 == 1) == opens for place in range(runs)]
-    before = f"(?<={WORD})" if opens else f"(?<!{WORD})"
-    after = "" if words[-1] else f"(?={WORD})"
+    if words == [True]:
+        return f"({WORD}++)"
     body = "".join(f"{WORD}++" if word else f"{NOT_WORD}++" for word in words)
-    return f"{before}(?=({body}){after})"
+    after = "" if words[-1] else f"(?={WORD})"
+    ahead = f"(?=({body}){after})"
+    return f"{WORD}++{ahead}" if opens else f"{ahead}{WORD}++"
 
 
 def _look_up(pieces: DataFrame, patterns: DataFrame, vocabulary_bytes: int) -> DataFrame:

@@ -41,7 +41,7 @@ def add_terms(dictionary: DataFrame, terms: Sequence[str], category: str = "cust
 
 
 def dictionary_stats(dictionary: DataFrame) -> DataFrame:
-    """Distinct terms and repeated entries, per category and for ``all``.
+    """Distinct terms, repeated entries and lists loaded, per category and for ``all``.
 
     Entries repeated inside a category count as duplicates; the row ``all``
     adds them up, while its term count is over the union.
@@ -49,13 +49,17 @@ def dictionary_stats(dictionary: DataFrame) -> DataFrame:
     entries = dictionary.groupBy(F.lower("term").alias("term"), "category").agg(
         F.count("*").alias("copies")
     )
-    levels = F.array(F.struct(F.col("category").alias("level")), F.struct(F.lit("all").alias("level")))
+    own = F.col("category").alias("own")
+    levels = F.array(
+        F.struct(own, F.col("category").alias("level")), F.struct(own, F.lit("all").alias("level"))
+    )
     return (
         entries.withColumn("at", F.explode(levels))
         .groupBy(F.col("at.level").alias("category"))
         .agg(
             F.countDistinct("term").alias("terms"),
             F.sum(F.col("copies") - 1).alias("duplicates_removed"),
+            F.countDistinct("at.own").alias("lists_loaded"),
         )
     )
 

@@ -307,10 +307,10 @@ ORACLE: dict[str, str] = {
     "dictionary_union": f"SELECT DISTINCT lower(term) AS term FROM ({PART_DICTIONARY})",
     "dictionary_stats": f"""
         SELECT category, count(DISTINCT lower(term)) AS terms,
-            count(*) - count(DISTINCT lower(term)) AS duplicates_removed
+            count(*) - count(DISTINCT lower(term)) AS duplicates_removed, 1 AS lists_loaded
         FROM ({PART_DICTIONARY}) GROUP BY category
         UNION ALL
-        SELECT 'all', count(DISTINCT lower(term)), count(*) - count(DISTINCT (lower(term), category))
+        SELECT 'all', count(DISTINCT lower(term)), count(*) - count(DISTINCT (lower(term), category)), 3
         FROM ({PART_DICTIONARY})""",
     "dictionary_category_filter": f"""SELECT DISTINCT lower(term) AS term FROM ({PART_DICTIONARY})
         WHERE category = 'custom'""",
@@ -326,7 +326,7 @@ ORACLE: dict[str, str] = {
         length(lower(term)) AS length FROM ({PART_DICTIONARY})""",
     "term_list_scan": """SELECT unnest(['custom', 'all']) AS category,
         count(DISTINCT lower(p_name)) AS terms,
-        count(*) - count(DISTINCT lower(p_name)) AS duplicates_removed FROM part""",
+        count(*) - count(DISTINCT lower(p_name)) AS duplicates_removed, 1 AS lists_loaded FROM part""",
     # Extraction
     "extract_terms_pattern": shown("job_id", DOCUMENTS),
     "extract_terms_join": shown("job_id", DOCUMENTS),
