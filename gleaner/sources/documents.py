@@ -16,6 +16,9 @@ NA_VALUES = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Encodings whose line breaks and quotes are single ASCII bytes.
+LINE_ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1")
+
 FORMATS = {
     ".csv": "csv",
     ".xlsx": "xlsx",
@@ -52,25 +55,28 @@ def read_csv(
     paths: str | Sequence[str],
     encoding: str = "auto",
     *,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
     na_values: Sequence[str] = NA_VALUES,
 ) -> DataFrame:
     """Read headered CSV files as strings; quoted fields may span lines.
 
     ``encoding="auto"`` reads files of valid UTF-8 as such and all others as
-    ISO-8859-1.  A file with ``multi_line`` is one task: for few, large files
-    without line breaks in fields pass ``multi_line=False``, or write the
-    result to parquet once.
+    ISO-8859-1.  Files with line breaks inside fields are one task each; all
+    others are split.  Both are found out per file unless given.
     """
-    if encoding == "auto":
-        parts = [
-            _scan_csv(spark, files, charset, multi_line)
-            for charset, files in sorted(route_encodings(spark, paths).items())
-            if files
-        ]
-        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if encoding != "auto" and (multi_line is not None or encoding.upper() not in LINE_ENCODINGS):
+        df = _scan_csv(spark, paths, encoding, multi_line is not False)
     else:
-        df = _scan_csv(spark, paths, encoding, multi_line)
+        routes: dict[tuple[str, bool], list[str]] = {}
+        # One driver row per file, as in any list of inputs; the file column is a URL.
+        for row in file_traits(spark, paths).collect():
+            charset = row.encoding if encoding == "auto" else encoding
+            spanning = row.multi_line if multi_line is None else multi_line
+            routes.setdefault((charset, spanning), []).append(unquote(row.file))
+        if not routes:
+            routes = {("UTF-8", True): [paths] if isinstance(paths, str) else list(paths)}
+        parts = [_scan_csv(spark, files, *kind) for kind, files in sorted(routes.items())]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return null_na_values(df, na_values)
 
 
@@ -81,37 +87,33 @@ def _scan_csv(spark: SparkSession, paths, encoding: str, multi_line: bool) -> Da
     )
 
 
-def null_na_values(df: DataFrame, na_values: Sequence[str] = NA_VALUES) -> DataFrame:
-    """Turn the spellings of a missing value into nulls, in every text column."""
-    texts = [name for name, kind in df.dtypes if kind == "string"]
-    return df.withColumns(
-        {name: F.when(~F.col(name).isin(*na_values), F.col(name)) for name in texts}
-    )
+def file_traits(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(file, encoding, multi_line)`` of text files whose line breaks are ASCII.
 
-
-def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(file, encoding)``: UTF-8 if all lines are valid UTF-8, else ISO-8859-1.
-
-    The lines are checked where they are read, in splits of any file size; no
-    line break byte can be part of a longer UTF-8 character.
+    UTF-8 if all lines are valid UTF-8, else ISO-8859-1; ``multi_line`` if some
+    line has an odd number of quotes, as the lines have where a quoted field
+    goes on.  The lines are checked where they are read, in splits of any file
+    size; no line break byte can be part of a longer UTF-8 character.
     """
+    line = F.col("value")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid")
+        F.col("_metadata.file_path").alias("file"),
+        F.is_valid_utf8(line).alias("valid"),
+        (quotes % 2 == 1).alias("open"),
     )
     return lines.groupBy("file").agg(
-        F.when(F.bool_and("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding")
+        F.when(F.bool_and("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+        F.bool_or("open").alias("multi_line"),
     )
 
 
-def route_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
-    """File names by encoding (one driver row per file, as any list of inputs)."""
-    routes: dict[str, list[str]] = {"UTF-8": [], "ISO-8859-1": []}
-    for row in file_encodings(spark, paths).collect():
-        # The file column is a URL; reader paths are plain.
-        routes[row.encoding].append(unquote(row.file))
-    if not any(routes.values()):
-        routes["UTF-8"] = [paths] if isinstance(paths, str) else list(paths)
-    return routes
+def null_na_values(df: DataFrame, na_values: Sequence[str] = NA_VALUES) -> DataFrame:
+    """Turn the spellings of a missing value into nulls, in every text column."""
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    return df.withColumns(
+        {name: F.when(~F.col(name).isin(*na_values), F.col(name)) for name in texts}
+    )
 
 
 def row_count_estimate(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -121,9 +123,10 @@ def row_count_estimate(spark: SparkSession, paths: str | Sequence[str]) -> DataF
 
 
 def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Give text work enough tasks when a small input has fewer splits than the cluster has cores.
+    """Give text work enough tasks when an input has at most half as many splits as there are cores.
 
-    Large inputs have more splits than that and pass through untouched.
+    Moving a text costs far less than matching it.  Large inputs have more
+    splits than that and pass through untouched.
     """
     tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+    return df if df.rdd.getNumPartitions() * 2 > tasks else df.repartition(tasks)

@@ -76,12 +76,31 @@ def test_encodings_are_chosen_per_file(spark, write, tmp_path):
     write("many files/c.csv", "id,text\n3,cafe\n")
     df = documents.read_csv(spark, str(tmp_path / "many files"))
     assert {tuple(r) for r in df.collect()} == {("1", "café"), ("2", "café"), ("3", "cafe")}
-    encodings = documents.file_encodings(spark, str(tmp_path / "many files")).collect()
-    assert sorted((r.file.rsplit("/", 1)[1], r.encoding) for r in encodings) == [
-        ("a.csv", "UTF-8"), ("b.csv", "ISO-8859-1"), ("c.csv", "UTF-8"),
+    traits = documents.file_traits(spark, str(tmp_path / "many files")).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.encoding, r.multi_line) for r in traits) == [
+        ("a.csv", "UTF-8", False), ("b.csv", "ISO-8859-1", False), ("c.csv", "UTF-8", False),
     ]
 
 
+def test_only_files_with_line_breaks_in_fields_stay_whole(spark, write, tmp_path):
+    long = "x" * 500
+    write("in/plain.csv", "id,text\n" + "".join(f'{i},"{long} ""quoted"", more"\n' for i in range(2000)))
+    write("in/spanning.csv", f'id,text\n5000,"one\ntwo"\n5001,"{long}\r\n""{long}"\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        df = documents.read_documents(spark, str(tmp_path / "in"), "csv")
+        assert df.rdd.getNumPartitions() > 5
+        found = {r.id: r.text for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(found) == 2002
+    assert found["7"] == f'{long} "quoted", more'
+    assert found["5000"] == "one\ntwo"
+    assert found["5001"].replace("\r", "") == f'{long}\n"{long}'
+
+
 def test_explicit_encoding(spark, write):
     path = write("in.csv", "text\ncafé\n", "utf-16")
     assert documents.read_csv(spark, path, encoding="UTF-16").first().text == "café"
@@ -109,6 +128,8 @@ def test_spread_only_widens_small_inputs(spark):
     assert documents.spread(spark.range(10).coalesce(1), 3).rdd.getNumPartitions() == 3
     wide = spark.range(10).repartition(5)
     assert documents.spread(wide, 3) is wide
+    assert documents.spread(wide, 9) is wide
+    assert documents.spread(wide, 10).rdd.getNumPartitions() == 10
 
 
 def test_term_list(spark, write):
