@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; rows of one id and text are judged alike."""
-    judged = quality_rules(docs.select(F.struct(*docs.columns).alias("row"), "source", "text"), ["row"])
-    return judged.filter("kept").select("row.*")
+    """Documents that the quality rules keep; rows of one source and text are judged alike."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    source = F.coalesce("source", F.lit(""))
+    named = docs.select(digest.alias("digest"), source.alias("source"), "text")
+    rejected = quality_rules(named, ["digest", "source"]).filter("not kept")
+    rejected = rejected.select(F.struct("digest", "source").alias("key")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.struct(digest, source).alias("key"))
+    return keyed.join(rejected, "key", "left_anti").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,11 +11,12 @@ _GIVEN = ", ".join(f"('{source}', {weight}::DOUBLE)" for source, weight in WEIGH
 #: return such values have no twin and are tested against brute force.
 ORACLE = {
     "op7_exact_topk": """
-        WITH parts AS (
-            SELECT vec_id, i, floor(1024 * embedding[i]::DOUBLE)::BIGINT AS x
+        WITH raw AS (
+            SELECT vec_id, i, embedding[i]::DOUBLE AS x
             FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
-            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT vec_id, i, floor(1024 * x)::BIGINT AS x FROM raw
+            WHERE vec_id NOT IN (SELECT vec_id FROM raw WHERE x IS NULL OR NOT isfinite(x))
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
             FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
