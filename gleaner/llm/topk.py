@@ -67,7 +67,7 @@ def best(row: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray
     if len(row) > k:  # all that reach the k-th score stay, so that ties are settled by id
         among = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
         row, ids = row[among], ids[among]
-    order = np.lexsort((ids, -row))[:k]
+    order = np.lexsort((ids, ~row))[:k]
     return ids[order], row[order]
 
 
@@ -82,8 +82,8 @@ def exact_topk(
     """The ``k`` rows of ``vectors`` with the highest inner product for each of ``queries``.
 
     Returns (query_id, rank, id, score). Components are ``floor(scale * x)``;
-    the score is their exact integer product sum, held to the limits of 64
-    bits. Ties go to the smaller id; a query's own id is no candidate. Fewer
+    the score is their integer product sum, exact; components and scores beyond
+    64 bits are held to its limits. Ties go to the smaller id; a query's own id is no candidate. Fewer
     than ``k`` candidates are all returned.
 
     Queries and candidates are dealt into blocks of bounded size; each pair
@@ -128,11 +128,12 @@ def exact_topk(
         found: list[list[np.ndarray]] = [[], [], []]
         for at in range(0, len(query_ids) if len(ids) else 0, ROWS):
             part = scores(query_vectors[at : at + ROWS], postings, len(ids), top > MOST)
+            part = np.clip(part, LEAST, MOST).astype(np.int64) if top > MOST else part
             for own, row in zip(query_ids[at : at + ROWS], part, strict=True):
                 near, values = best(row, ids, own, k)
                 found[0].append(np.full(len(near), own))
                 found[1].append(near)
-                found[2].append(np.array([min(max(int(v), LEAST), MOST) for v in values], np.int64))
+                found[2].append(values)
         columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in found]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=arrow)
 

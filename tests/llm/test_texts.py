@@ -1,0 +1,175 @@
+"""Operators on single texts: personal data, quality rules and the quality classifier."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from gleaner.llm.personal_data import Finder, personal_data, redact, redacted
+from gleaner.llm.quality_classifier import FEATURES, Model, Passages, fit, fitted, quality_scores
+from gleaner.llm.quality_rules import quality_rules, repeated_words
+from gleaner.llm.queries import QUERIES
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tests.llm.brute import BASE, DOCUMENTS, awkward_rows, base_spans, rule_stats, words
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(awkward_rows(), DOCUMENTS)
+
+
+def _joined(spans):
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("0149.@+-( )abZ%é日\n"), max_size=60))
+def test_base_spans_are_those_of_the_patterns(text):
+    found = [s for s in Finder()(text) if s[0] in BASE]
+    assert ",".join(f"{k}:{a}:{b}" for k, a, b in found) == _joined(base_spans(text))
+
+
+@pytest.mark.parametrize(
+    "text, kind, value",
+    [
+        ("see ftp://me:pass@host.example:21/x now", "login", "ftp://me:pass@host.example:21"),
+        ("pay to DE89 3704 0044 0532 0130 00.", "iban", "DE89 3704 0044 0532 0130 00"),
+        ("account no: 12345678901 ok", "account", "12345678901"),
+        ('token = "8ef5f278dec875d2b96fdf291615913d21aee5ca" |', "secret", "8ef5f278dec875d2b96fdf291615913d21aee5ca"),
+    ],
+)
+def test_added_spans(text, kind, value):
+    assert [text[a:b] for k, a, b in Finder()(text) if k == kind] == [value]
+
+
+@pytest.mark.parametrize("text", ["no account of it: today", "http://example.org/path", "tokens: many", "GB82 WEST 1234"])
+def test_nothing_is_added_without_a_valid_value(text):
+    assert Finder()(text) == []
+
+
+def test_personal_data_of_whole_tables(spark, awkward):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op3_personal_data"](spark, FOLDER).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        spans = base_spans(text)
+        assert got[doc_id].base_sha256 == hashlib.sha256(_joined(spans).encode()).hexdigest()
+        assert [got[doc_id][f"n_{k}"] for k in BASE] == [sum(s[2] == k for s in spans) for k in BASE]
+    made = personal_data(awkward, ["doc_id"]).collect()
+    assert len(made) == awkward.count()
+    assert next(r for r in made if r.doc_id == 3).base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert personal_data(awkward.limit(0), ["doc_id"]).collect() == []
+
+
+def test_redaction(spark, awkward):
+    assert redacted("a 1 b", [("ip", 2, 3)]) == "a [IP] b"
+    assert redacted("abcdef", [("email", 0, 4), ("ip", 2, 5)]) == "[EMAIL]f"
+    clean = redact(awkward)
+    assert clean.columns == awkward.columns
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[11] == "call [PHONE] or [EMAIL], [IP]"
+    assert texts[3] is None and texts[1] == awkward.filter("doc_id = 1").first().text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=40))
+def test_repeated_words(own):
+    assert repeated_words(own) == rule_stats(" ".join(own))[4]
+
+
+def test_rules_of_whole_tables(spark, awkward):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for df, got in (
+        (docs, QUERIES["op4_quality_rules"](spark, FOLDER).collect()),
+        (awkward, quality_rules(awkward, ["doc_id"]).collect()),
+    ):
+        rows = df.select("doc_id", "text").collect()
+        want = sorted((r.doc_id if r.doc_id is not None else -1, *rule_stats(r.text)) for r in rows)
+        made = sorted((r.doc_id if r.doc_id is not None else -1, *r[1:6]) for r in got)
+        assert made == want
+        for r in got:
+            assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+            assert not (r.base_failed and r.kept)
+    assert quality_rules(awkward.limit(0), ["doc_id"]).collect() == []
+
+
+def _prose(i, n=40):
+    return " ".join(f"w{i}v{k}" for k in range(n))
+
+
+def test_shared_lines_deplete_documents(spark):
+    header = "this header stands on every page of the host and is long enough to count"
+    rows = [(i, f"{header}\n{_prose(i)}", "a") for i in range(40)]
+    rows += [(100, f"{header}\nbut little", "a"), (101, f"{header}\nbut little", "other")]
+    rows += [(200 + i, _prose(999), "a") for i in range(40)]  # exact copies
+    rows += [(300 + i, _prose(777) + "\n" + _prose(778) + f"\nedit {i}", "a") for i in range(40)]  # near copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules(docs, ["doc_id"]).collect()}
+    assert [i for i, k in kept.items() if not k] == [100]
+
+
+def test_classifier_holds_out_a_quarter_and_is_accurate(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = QUERIES["op1_quality_classifier"](spark, folder)
+    rows = scored.join(labels, "doc_id").collect()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    unseen = [r for r in rows if r.held_out]
+    assert np.mean([r.predicted == r.quality for r in unseen]) > 0.95
+
+
+def test_held_out_labels_are_never_learnt(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    flipped = labels.selectExpr(
+        "doc_id", "case when crc32(cast(doc_id as string)) % 4 = 2 then 1 - quality else quality end as quality"
+    )
+    a, b = fit(docs, labels), fit(docs, flipped)
+    assert all((a.weights[n] == b.weights[n]).all() for n in a.weights)
+
+
+def test_classifier_on_awkward_rows(spark, awkward):
+    labels = spark.createDataFrame([(1, 1, 0), (8, 0, 0), (None, 1, 1), (4, None, 0)], "doc_id long, quality int, toxic int")
+    made = quality_scores(awkward, labels).collect()
+    assert len(made) == awkward.count() and all(0 <= r.score <= 1 for r in made)
+    assert len({r.score for r in made if r.doc_id == 8}) == 1
+    none = quality_scores(awkward, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+    assert quality_scores(awkward.limit(0), labels).collect() == []
+
+
+def test_slopes_of_the_model():
+    draw = np.random.default_rng(1)
+    bags = [draw.normal(size=(n, FEATURES)) for n in (1, 3, 5)]
+    labels = np.array([0.0, 1.0, 1.0])
+    model = fitted(bags, labels, steps=3)
+    rows, starts = np.concatenate(bags), np.array([0, 1, 4])
+
+    def loss(m: Model) -> float:
+        p = m.forward(rows, starts)["score"]
+        return float(-np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p)))
+
+    slopes = model.gradient(model.forward(rows, starts), starts, labels)
+    for name, slope in slopes.items():
+        place = tuple(0 for _ in slope.shape)
+        for step in (1e-5,):
+            old = model.weights[name][place]
+            model.weights[name][place] = old + step
+            up = loss(model)
+            model.weights[name][place] = old - step
+            down = loss(model)
+            model.weights[name][place] = old
+        assert slope[place] == pytest.approx((up - down) / (2 * step), rel=1e-3, abs=1e-7)
+
+
+def test_passages_of_texts():
+    encode = Passages()
+    assert encode("").shape == (1, FEATURES)
+    assert len(encode("a " * 63)) == 1 and len(encode("a " * 200)) == 3
+    assert re.fullmatch(r"\S+", "x") and words("a\tb") == ["a", "b"]
