@@ -23,30 +23,47 @@ END = 1
 KNOWN_WORDS = 300_000
 GROUP_PIECES = 20_000
 
+#: Symbols that may follow a word and are split from it by the vocabulary's splitter.
+TAIL = ".,;:!?&%$#*|"
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it is printable."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
 
 class WordIds(dict):
     """The ids of words as little-endian 32-bit numbers, kept for a bounded number of words.
 
     The vocabulary's splitter never joins characters across white space, so
-    a text's ids are those of the parts between its blanks, one after the other.
+    a text's ids are those of the parts between its blanks, one after the
+    other. Words of Latin letters, alone or before symbols, are one piece to
+    it and go to its merges directly; all others take the whole way.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges, self.characters = self.tokenizer.model, byte_characters()
 
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > KNOWN_WORDS:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
-            new = list(words)
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, made in zip(new, encoded, strict=True):
-            self[word] = np.array(made.ids, "<u4").tobytes()
+        core = word.rstrip(TAIL)
+        low = core.lower()
+        if not (core.isalpha() and low.isalpha() and len(low) == len(core) and max(core) < "\u0180"):
+            made = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        elif core == word == low:
+            letters = low if low.isascii() else "".join(map(self.characters.__getitem__, low.encode()))
+            made = np.array([t.id for t in self.merges.tokenize(letters)], "<u4").tobytes()
+        else:
+            made = self[low] + (self[word[len(core) :]] if word != core else b"")
+        self[word] = made
+        return made
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 def pieces(
