@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -53,19 +54,29 @@ class WordIds(dict):
         core = word.rstrip(TAIL)
         low = core.lower()
         if not (core.isalpha() and low.isalpha() and len(low) == len(core) and max(core) < "\u0180"):
-            made = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            made = self.bytes_of(self.tokenizer.encode(word, add_special_tokens=False).ids)
         elif core == word == low:
             letters = low if low.isascii() else "".join(map(self.characters.__getitem__, low.encode()))
-            made = np.array([t.id for t in self.merges.tokenize(letters)], "<u4").tobytes()
+            made = self.bytes_of([t.id for t in self.merges.tokenize(letters)])
         else:
             made = self[low] + (self[word[len(core) :]] if word != core else b"")
         self[word] = made
         return made
 
+    @staticmethod
+    def bytes_of(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
+def words_of_worker(path: str) -> WordIds:
+    """What this worker process knows of the vocabulary: loaded once, not again for each of its tasks."""
+    held = vars(public_tokenizers).setdefault("_word_ids", {})
+    return held.get(path) or held.setdefault(path, WordIds(path))
+
+
 def pieces(
     docs: DataFrame,
     id_column: str,
@@ -90,7 +101,7 @@ def pieces(
     arrow, last = to_arrow_schema(schema), np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = words_of_worker(path)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
