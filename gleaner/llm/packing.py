@@ -74,7 +74,9 @@ class WordIds(dict):
 def words_of_worker(path: str) -> WordIds:
     """What this worker process knows of the vocabulary: loaded once, not again for each of its tasks."""
     held = vars(public_tokenizers).setdefault("_word_ids", {})
-    return held.get(path) or held.setdefault(path, WordIds(path))
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
 
 
 def pieces(
