@@ -23,13 +23,7 @@ _END = ""
 
 def terms_regex(terms: Iterable[str]) -> str:
     """A pattern for the leftmost, longest whole-word occurrences of ``terms``."""
-    root: dict = {}
-    for term in terms:
-        node = root
-        for char in term:
-            node = node.setdefault(char, {})
-        if term:
-            node[_END] = edge_after(term[-1])
+    root = _tree(terms)
     if not root:
         raise ValueError("no terms to match")
     branches = []
@@ -40,6 +34,28 @@ def terms_regex(terms: Iterable[str]) -> str:
     return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
 
+def _tree(terms: Iterable[str]) -> dict:
+    root: dict = {}
+    for term in terms:
+        node = root
+        for char in term:
+            node = node.setdefault(char, {})
+        if term:
+            node[_END] = edge_after(term[-1])
+    return root
+
+
+def nesting(terms: Iterable[str]) -> int:
+    """How many forks of the prefix tree lie one behind the other, at most."""
+    deepest, todo = 0, [(_tree(terms), 0)]
+    while todo:
+        node, depth = todo.pop()
+        depth += len(node) > 1
+        deepest = max(deepest, depth)
+        todo.extend((child, depth) for char, child in node.items() if char != _END)
+    return deepest
+
+
 def _branches(node: dict) -> str:
     literal = ""
     while len(node) == 1 and _END not in node:

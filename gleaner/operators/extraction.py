@@ -11,14 +11,14 @@ Two plans give the same result:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.characters import NOT_WORD, RUNS, WORD
-from gleaner.functions.matching import find_terms
+from gleaner.functions.matching import find_terms, nesting
 
-# Largest vocabulary kept as one literal pattern: terms, their characters together, and the
-# longest term (terms that are prefixes of one another nest as deep as they are long).
+# Largest vocabulary kept as one literal pattern: terms, their characters together, and how deep
+# terms with common beginnings nest. The length of a single term does not matter.
 PATTERN_TERMS = 20_000
 PATTERN_CHARS = 600_000
 PATTERN_DEPTH = 200
@@ -31,8 +31,8 @@ SALTS = 32
 def collect_vocabulary(vocabulary: DataFrame) -> dict[str, str] | None:
     """The vocabulary as a dict if it is small enough for one pattern, else None."""
     rows = vocabulary.select("pattern", "canonical").limit(PATTERN_TERMS + 1).collect()
-    lengths = [len(row.pattern) for row in rows]
-    if len(rows) > PATTERN_TERMS or sum(lengths) > PATTERN_CHARS or max(lengths, default=0) > PATTERN_DEPTH:
+    patterns = [row.pattern for row in rows]
+    if len(rows) > PATTERN_TERMS or sum(map(len, patterns)) > PATTERN_CHARS or nesting(patterns) > PATTERN_DEPTH:
         return None
     return {row.pattern: row.canonical for row in rows}
 
@@ -86,167 +86,140 @@ def _extract_by_join(
     case_sensitive: bool,
     remove_duplicates: bool,
 ) -> DataFrame:
-    """Match by joining pieces of the text with the vocabulary table.
+    """Match by joining words of the text with the first words of the patterns.
 
     A whole-word match is a sequence of whole runs (of word or of other
-    characters).  So every piece of up to as many runs as a pattern has is
-    looked up by equality.  Documents are keyed by a digest: copies are
-    matched together, and duplicate ids do no harm.
+    characters).  A pattern is looked up by its first two words (one, if it has
+    no more); only where they follow each other in a text, the rest is
+    compared.  So the cost follows the hits, not the lengths of the patterns.
+    Documents are keyed by a digest: copies are matched together, and
+    duplicate ids do no harm.
     """
     text = F.col(text_column) if case_sensitive else F.lower(text_column)
     # Never null, so that the join does not test it for null (and make the key twice for that).
     keyed = df.withColumn("_digest", F.coalesce(F.md5(F.col(key_column).cast("string")), F.lit("")))
-    patterns = vocabulary.select("pattern", "canonical")
-    kind = F.struct(
-        F.size(F.regexp_extract_all("pattern", F.lit(RUNS), F.lit(0))).alias("runs"),
-        F.col("pattern").rlike(f"^{NOT_WORD}").alias("opens"),
-    )
-    # A handful of values however large the vocabulary is.
-    shape = patterns.agg(
-        F.array_sort(F.collect_set(kind)).alias("kinds"),
+    terms = _keyed_patterns(vocabulary)
+    shape = terms.agg(
         F.coalesce(F.sum(F.octet_length("pattern") + F.octet_length("canonical") + 64), F.lit(0)).alias(
             "bytes"
         ),
+        F.coalesce(F.bool_or(~F.col("first").rlike(f"^{WORD}")), F.lit(False)).alias("symbols"),
     ).first()
-    kinds = [(runs, opens) for runs, opens in shape.kinds]
-    if not kinds:
-        return df.withColumn("extracted_skills", F.array().cast("array<string>"))
-
-    documents = keyed.select("_digest", text.alias("_text"))
-    single_words = kinds == [(1, False)]
-    if single_words and remove_duplicates:
-        pieces = _distinct_words(documents)
-    else:
-        pieces = _pieces(documents, kinds)
-    hits = _look_up(pieces, patterns, shape.bytes)
+    candidates = _look_up(_words(keyed, text, shape.symbols), terms, shape.bytes)
     # One set per text, combined before the shuffle: copies of a text add nothing to it.
-    per_text = hits.groupBy("_digest").agg(
-        F.collect_set(F.struct("start", "runs", "canonical")).alias("_hits")
-    )
-    if not single_words:
-        per_text = _drop_overlaps(per_text)
-    found = per_text.select(
-        "_digest",
-        F.transform(F.array_sort("_hits"), lambda hit: hit["canonical"]).alias("_found"),
+    per_text = candidates.groupBy("_digest").agg(
+        F.collect_set(F.struct("start", "runs", "pattern", "canonical")).alias("_candidates")
     )
-    if remove_duplicates:
-        found = found.withColumn("_found", F.array_distinct("_found"))
     # Many copies of one text make one hot key here.  It sits on the outer side, where the skew
     # join of adaptive execution splits it, provided that both sides are shuffled for this join:
     # the second key, though it adds nothing, keeps the partitioning by text from being reused.
     shard = F.substring("_digest", 1, 1)
-    return (
-        keyed.withColumn("_shard", shard)
-        .join(found.withColumn("_shard", shard), ["_digest", "_shard"], "left")
-        .withColumn("extracted_skills", F.coalesce("_found", F.array().cast("array<string>")))
-        .drop("_digest", "_shard", "_found")
+    joined = keyed.withColumn("_shard", shard).join(
+        per_text.withColumn("_shard", shard), ["_digest", "_shard"], "left"
     )
+    hits = _without_overlaps(_confirmed("_candidates", _runs(text)))
+    found = F.transform(hits, lambda hit: hit["canonical"])
+    if remove_duplicates:
+        found = F.array_distinct(found)
+    nothing = F.array().cast("array<string>")
+    return joined.withColumn(
+        "extracted_skills", F.when(F.col("_candidates").isNull(), nothing).otherwise(found)
+    ).drop("_digest", "_shard", "_candidates")
 
 
-def _distinct_words(documents: DataFrame) -> DataFrame:
-    """``(_digest, start, runs, piece)``: the words of each text in order of first appearance."""
-    words = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"{WORD}++"), F.lit(0)))
-    return documents.select("_digest", F.posexplode(words).alias("start", "piece")).withColumn(
-        "runs", F.lit(1)
-    )
+def _runs(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(RUNS), F.lit(0))
 
 
-def _pieces(documents: DataFrame, kinds: list[tuple[int, bool]]) -> DataFrame:
-    """``(_digest, start, runs, piece)``: the pieces of each text that a pattern could equal.
+def _keyed_patterns(vocabulary: DataFrame) -> DataFrame:
+    """``(first, second, lead, runs, pattern, canonical)``.
 
-    A kind is the number of runs and whether the first run is one of symbols.
-    Word number i of the text is run 2i, the symbols behind it are run 2i + 1.
-    For each kind one expression lists the pieces starting at word (or behind
-    word) 0, 1, ...; only the last places lack a piece, so a place in the list
-    is the number of the word.
+    ``first`` and ``second`` are the first words of a pattern (``second`` is
+    empty if there is no other, ``first`` the symbols if there is no word);
+    ``lead`` is how many runs come before ``first``.
     """
-    lists = [
-        F.regexp_extract_all("_text", F.lit(_piece_regex(runs, opens)), F.lit(1)).alias(f"of{i}")
-        for i, (runs, opens) in enumerate(kinds)
-    ]
-    at_word = F.posexplode(F.arrays_zip(*lists)).alias("_word", "_at")
-    by_kind = F.array(
-        *[
-            F.struct(
-                (F.col("_word") * 2 + int(opens)).alias("start"),
-                F.lit(runs).alias("runs"),
-                F.col(f"_at.of{i}").alias("piece"),
-            )
-            for i, (runs, opens) in enumerate(kinds)
-        ]
+    parts = vocabulary.select("pattern", "canonical", _runs(F.col("pattern")).alias("parts"))
+    opens = F.col("pattern").rlike(f"^{NOT_WORD}") & (F.size("parts") > 1)
+    lead = F.when(opens, 1).otherwise(0)
+    return parts.filter(F.size("parts") > 0).select(
+        F.get("parts", lead).alias("first"),
+        F.coalesce(F.get("parts", lead + 2), F.lit("")).alias("second"),
+        lead.alias("lead"),
+        F.size("parts").alias("runs"),
+        "pattern",
+        "canonical",
     )
-    return documents.select("_digest", at_word).select("_digest", F.inline(by_kind))
 
 
-def _piece_regex(runs: int, opens: bool) -> str:
-    """Captures ``runs`` whole runs at (or behind) a word, but moves on by that word only.
+def _words(keyed: DataFrame, text: Column, symbols: bool) -> DataFrame:
+    """``(_digest, place, first, second)``: each run of a text with the one after the next, and alone.
 
-    Symbols at an edge need a word character next to them.
+    Runs of symbols take part only if a pattern consists of such.
     """
-    words = [(place % 2 == 1) == opens for place in range(runs)]
-    if words == [True]:
-        return f"({WORD}++)"
-    body = "".join(f"{WORD}++" if word else f"{NOT_WORD}++" for word in words)
-    after = "" if words[-1] else f"(?={WORD})"
-    ahead = f"(?=({body}){after})"
-    return f"{WORD}++{ahead}" if opens else f"{ahead}{WORD}++"
-
-
-def _look_up(pieces: DataFrame, patterns: DataFrame, vocabulary_bytes: int) -> DataFrame:
-    """Join pieces with patterns of equal text."""
-    patterns = patterns.withColumnRenamed("pattern", "piece")
+    runs = F.transform(
+        F.col("_runs"),
+        lambda run, i: F.struct(i.alias("place"), run.alias("first"), F.get("_runs", i + 2).alias("next")),
+    )
+    listed = keyed.select("_digest", _runs(text).alias("_runs")).select("_digest", F.inline(runs))
+    if not symbols:
+        listed = listed.filter(F.col("first").rlike(f"^{WORD}"))
+    return listed.select(
+        "_digest", "place", "first", F.explode(F.array(F.lit(""), "next")).alias("second")
+    ).filter("second is not null")
+
+
+def _look_up(words: DataFrame, terms: DataFrame, vocabulary_bytes: int) -> DataFrame:
+    """``(_digest, start, runs, pattern, canonical)`` for patterns whose first words are in a text."""
+    on = ["first", "second"]
     if vocabulary_bytes <= BROADCAST_BYTES:
-        return pieces.join(F.broadcast(patterns), "piece")
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("_digest", "start"), F.lit(SALTS)))
-    copies = patterns.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies.hint("merge"), ["piece", "_salt"]).drop("_salt")
+        found = words.join(F.broadcast(terms), on)
+    else:
+        salted = words.withColumn("_salt", F.pmod(F.xxhash64("_digest", "place"), F.lit(SALTS)))
+        copies = terms.withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+        )
+        found = salted.join(copies.hint("merge"), [*on, "_salt"])
+    start = (F.col("place") - F.col("lead")).alias("start")
+    return found.select("_digest", start, "runs", "pattern", "canonical").filter("start >= 0")
 
 
-def _drop_overlaps(per_text: DataFrame) -> DataFrame:
-    """Keep the leftmost hits, the longest first, that do not overlap.
+def _confirmed(candidates: str, runs: Column) -> Column:
+    """The candidates whose runs all stand in the text, leftmost first, at one place the longest first.
 
-    Hits that touch no other hit are kept as they are.  Only inside a cluster
-    of overlapping hits are they walked through from left to right.  All steps
-    work per text on data already partitioned by text: nothing is shuffled.
+    Symbols at an edge need a word character next to them.
     """
-    end = F.col("start") + F.col("runs")
-    in_text = Window.partitionBy("_digest").orderBy("start", F.desc("runs"))
-    before = in_text.rowsBetween(Window.unboundedPreceding, -1)
-    clusters = (
-        per_text.select("_digest", F.inline("_hits"))
-        .withColumn("_reach", F.max(end).over(before))
-        .withColumn("_new", F.when(F.col("start") < F.col("_reach"), 0).otherwise(1))
-        .withColumn("_cluster", F.sum("_new").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("_digest", "_cluster")
-        .agg(F.collect_list(F.struct("start", "runs", "canonical")).alias("hits"))
-    )
-    # Leftmost first, and at one place the longest first.
-    ordered = F.array_sort(
-        "hits",
-        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(
-            b["runs"] - a["runs"]
+
+    def stands(hit: Column) -> Column:
+        whole = F.array_join(F.slice(runs, hit["start"] + 1, hit["runs"]), "") == hit["pattern"]
+        opens, ends = hit["pattern"].rlike(f"^{NOT_WORD}"), hit["pattern"].rlike(f"{NOT_WORD}\\z")
+        return (
+            whole
+            & (~opens | (hit["start"] > 0))
+            & (~ends | (hit["start"] + hit["runs"] < F.size(runs)))
+        )
+
+    order = F.transform(
+        F.filter(candidates, stands),
+        lambda hit: F.struct(
+            hit["start"].alias("start"),
+            (-hit["runs"]).alias("shorter"),
+            hit["canonical"].alias("canonical"),
         ),
     )
+    return F.array_sort(order)
+
+
+def _without_overlaps(hits: Column) -> Column:
+    """The hits that begin where the ones kept before them have ended."""
 
     def walk(state: Column, hit: Column) -> Column:
         return F.when(
             hit["start"] >= state["end"],
             F.struct(
-                (hit["start"] + hit["runs"]).alias("end"),
+                (hit["start"] - hit["shorter"]).alias("end"),
                 F.concat(state["kept"], F.array(hit)).alias("kept"),
             ),
         ).otherwise(state)
 
-    kept = F.when(F.size("hits") == 1, F.col("hits")).otherwise(
-        F.aggregate(
-            ordered,
-            F.struct(F.lit(0).alias("end"), F.slice("hits", 1, 0).alias("kept")),
-            walk,
-            lambda state: state["kept"],
-        )
-    )
-    return (
-        clusters.select("_digest", kept.alias("kept"))
-        .groupBy("_digest")
-        .agg(F.flatten(F.collect_list("kept")).alias("_hits"))
-    )
+    start = F.struct(F.lit(0).alias("end"), F.slice(hits, 1, 0).alias("kept"))
+    return F.aggregate(hits, start, walk, lambda state: state["kept"])

@@ -727,11 +727,12 @@ def extraction_result_file_order(spark, folder):
 # Streams --------------------------------------------------------------------
 
 
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return streaming.read_document_stream(
-        spark, folder, schema, max_files=1, pathGlobFilter="documents.parquet"
-    )
+    # A pattern, since the table may be one file; a path must be a folder.
+    return streaming.read_document_stream(spark, f"{folder}/document[s].parquet", DOCUMENTS)
 
 
 def stream_plan(spark: SparkSession, **options) -> Callable[[DataFrame], DataFrame]:
@@ -766,7 +767,6 @@ def stream_extract_join(spark, folder):
         stream_plan(spark, matcher="join"),
         path,
         state,
-        per_batch=True,
     )
     started.awaitTermination()
     return shown(spark.read.parquet(path), "job_id")
@@ -775,7 +775,79 @@ def stream_extract_join(spark, folder):
 @query
 def stream_document_frequency(spark, folder):
     path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
-    seen = stream_plan(spark)(document_stream(spark, folder))
+    arriving = fresh_path(spark, "arriving")
+    table(spark, folder, "documents").repartition(4).write.parquet(arriving)
+    seen = stream_plan(spark)(
+        streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=1)
+    )
     running = streaming.running_document_frequency(seen, distinct_ids=True)
     streaming.write_running_table(running, path, state).awaitTermination()
-    return spark.read.parquet(path)
+    return streaming.read_running_table(spark, path)
+
+
+@query
+def stream_extract_csv(spark, folder):
+    """CSV files as a stream: quoted commas, doubled quotes, line breaks and missing values."""
+    path, state, arriving = (fresh_path(spark, kind) for kind in ("stream", "state", "arriving"))
+    noted = F.when(F.col("source") == "src1", "NA").otherwise(
+        F.concat(F.lit('say ""license"", now\n'), F.col("text"))
+    )
+    documents(spark, folder).select("doc_id", noted.alias("text")).write.csv(
+        arriving, **writers.WRITE_CSV
+    )
+    stream = streaming.read_document_stream(spark, arriving, "doc_id string, text string", "csv")
+    streaming.write_extraction_stream(
+        stream, lambda df: df.select(F.col("doc_id").cast("bigint"), "text"), path, state
+    ).awaitTermination()
+    return spark.read.parquet(path).select("doc_id", "text")
+
+
+@query
+def csv_edge_spaces_roundtrip(spark, folder):
+    """White space at the edges of values survives writing and reading."""
+    path = fresh_path(spark, "csv")
+    title = F.concat(F.lit("  "), F.substring("text", 1, 20), F.lit(" \t "))
+    titled = extracted(spark, folder).withColumn("job_title", title)
+    writers.write_csv(titled, path)
+    back = sources.read_csv(spark, path, na_values=())
+    return back.select("job_id", "job_title")
+
+
+@query
+def csv_mixed_headers(spark, folder):
+    """Files with other columns, in another order, are read by name."""
+    path = fresh_path(spark, "csv")
+    docs = documents(spark, folder)
+    even, odd = docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1")
+    even.select("doc_id", "lang", "source").write.csv(f"{path}/a", header=True)
+    odd.select("source", "n_chars", "doc_id").write.csv(f"{path}/b", header=True)
+    back = sources.read_csv(spark, [f"{path}/a", f"{path}/b"])
+    return back.select(
+        F.col("doc_id").cast("bigint"), "lang", "source", F.col("n_chars").cast("bigint")
+    )
+
+
+@query
+def run_extraction_roundtrip(spark, folder):
+    """The whole run from documents to files, and the result read back."""
+    path = fresh_path(spark, "run")
+    written = extraction.run_extraction(
+        documents(spark, folder),
+        "text",
+        document_dictionary(spark),
+        document_variations(spark),
+        path,
+        columns=("job_id", "job_title", "processed_text", "extracted_skills", "skill_count"),
+        title_column="source",
+        role_column="source",
+        id_column="doc_id",
+        analytics=True,
+        make_rules=True,
+    )
+    schema = "job_id string, processed_text string, extracted_skills array<string>, skill_count int"
+    json = spark.read.schema(schema).json(written["json"])
+    csv = sources.read_csv(spark, written["csv"], na_values=("",))
+    csv = csv.select(
+        "job_id", "job_title", F.col("skill_count").cast("int").alias("csv_count")
+    )
+    return shown(json.join(csv, "job_id"), "job_id", "job_title", "processed_text", "csv_count")

@@ -175,7 +175,8 @@ def run_extraction(
     The texts are processed once.  Analytics and rules come from one tally.
     """
     wanted = [*columns, title_column, role_column]
-    keep = [name for name in dict.fromkeys(wanted) if name in df.columns]
+    available = {*df.columns, "processed_text"}
+    keep = [name for name in dict.fromkeys(wanted) if name in available]
     result = stored(
         extraction_result(
             df, text_column, dictionary, variations, title_column=title_column, keep=keep, **options

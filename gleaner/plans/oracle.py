@@ -437,4 +437,15 @@ ORACLE: dict[str, str] = {
     "stream_extract": shown("job_id", DOCUMENTS),
     "stream_extract_join": shown("job_id", DOCUMENTS),
     "stream_document_frequency": FREQUENCIES,
+    "stream_extract_csv": """SELECT doc_id, CASE WHEN source <> 'src1'
+        THEN 'say ""license"", now' || chr(10) || text END AS text FROM documents""",
+    "csv_edge_spaces_roundtrip": f"""SELECT job_id,
+        '  ' || substr(text, 1, 20) || ' ' || chr(9) || ' ' AS job_title FROM ({DOCUMENTS})""",
+    "csv_mixed_headers": """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS lang, source,
+        CASE WHEN doc_id % 2 = 1 THEN n_chars END AS n_chars FROM documents""",
+    "run_extraction_roundtrip": shown(
+        f"""job_id, source AS job_title, {cleaned("text")} AS processed_text,
+            CAST(skill_count AS INTEGER) AS csv_count""",
+        DOCUMENTS,
+    ),
 }

@@ -20,6 +20,14 @@ logger = logging.getLogger(__name__)
 # The default output columns.
 OUTPUT_COLUMNS = ("job_id", "job_title", "extracted_skills", "skill_count")
 
+# Values are written as they are; Spark would trim them.
+WRITE_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def skills_as_text(df: DataFrame, skills_format: str = "comma_separated") -> DataFrame:
     """The term list as ``a, b`` or as a JSON array, for formats without lists."""
@@ -43,7 +51,7 @@ def write_csv(
     title_column: str | None = None,
 ) -> str:
     rows = skills_as_text(format_results(df, columns, title_column), skills_format)
-    rows.write.mode("overwrite").csv(path, header=True, escape='"')
+    rows.write.mode("overwrite").csv(path, **WRITE_CSV)
     return path
 
 

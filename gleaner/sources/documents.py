@@ -19,6 +19,10 @@ NA_VALUES = (
 # Encodings whose line breaks and quotes are single ASCII bytes.
 LINE_ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1")
 
+# A doubled quote inside a quoted field is an escaped quote; a header that differs from the
+# schema is an error, not a list of other names.
+READ_CSV = {"header": True, "escape": '"', "enforceSchema": False}
+
 FORMATS = {
     ".csv": "csv",
     ".xlsx": "xlsx",
@@ -62,33 +66,33 @@ def read_csv(
 
     ``encoding="auto"`` reads files of valid UTF-8 as such and all others as
     ISO-8859-1.  Files with line breaks inside fields are one task each; all
-    others are split.  Both are found out per file unless given.
+    others are split.  Both are found out per file unless given.  Columns are
+    bound by name: files are read together with those of the same header.
+    With ``encoding`` and ``multi_line`` given, nothing is found out before the
+    read; then all files must have one header, or the read fails.
     """
     if encoding != "auto" and (multi_line is not None or encoding.upper() not in LINE_ENCODINGS):
         df = _scan_csv(spark, paths, encoding, multi_line is not False)
     else:
-        routes: dict[tuple[str, bool], list[str]] = {}
+        routes: dict[tuple[str, bool, str], list[str]] = {}
         # One driver row per file, as in any list of inputs; the file column is a URL.
         for row in file_traits(spark, paths).collect():
             charset = row.encoding if encoding == "auto" else encoding
             spanning = row.multi_line if multi_line is None else multi_line
-            routes.setdefault((charset, spanning), []).append(unquote(row.file))
+            routes.setdefault((charset, spanning, row.header or ""), []).append(unquote(row.file))
         if not routes:
-            routes = {("UTF-8", True): [paths] if isinstance(paths, str) else list(paths)}
-        parts = [_scan_csv(spark, files, *kind) for kind, files in sorted(routes.items())]
+            routes = {("UTF-8", True, ""): [paths] if isinstance(paths, str) else list(paths)}
+        parts = [_scan_csv(spark, files, *kind[:2]) for kind, files in sorted(routes.items())]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return null_na_values(df, na_values)
 
 
 def _scan_csv(spark: SparkSession, paths, encoding: str, multi_line: bool) -> DataFrame:
-    # A doubled quote inside a quoted field is an escaped quote.
-    return spark.read.csv(
-        paths, header=True, multiLine=multi_line, escape='"', encoding=encoding, inferSchema=False
-    )
+    return spark.read.csv(paths, **READ_CSV, multiLine=multi_line, encoding=encoding, inferSchema=False)
 
 
 def file_traits(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(file, encoding, multi_line)`` of text files whose line breaks are ASCII.
+    """``(file, encoding, multi_line, header)`` of text files whose line breaks are ASCII.
 
     UTF-8 if all lines are valid UTF-8, else ISO-8859-1; ``multi_line`` if some
     line has an odd number of quotes, as the lines have where a quoted field
@@ -101,18 +105,25 @@ def file_traits(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.is_valid_utf8(line).alias("valid"),
         (quotes % 2 == 1).alias("open"),
+        # The split at the start of a file is read from there, in order.
+        F.when(F.col("_metadata.file_block_start") == 0, F.rtrim(line)).alias("line"),
     )
     return lines.groupBy("file").agg(
         F.when(F.bool_and("valid"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
         F.bool_or("open").alias("multi_line"),
+        F.first("line", ignorenulls=True).alias("header"),
     )
 
 
 def null_na_values(df: DataFrame, na_values: Sequence[str] = NA_VALUES) -> DataFrame:
     """Turn the spellings of a missing value into nulls, in every text column."""
-    texts = [name for name, kind in df.dtypes if kind == "string"]
-    return df.withColumns(
-        {name: F.when(~F.col(name).isin(*na_values), F.col(name)) for name in texts}
+    quoted = {name: F.col("`" + name.replace("`", "``") + "`") for name in df.columns}
+    kinds = dict(df.dtypes)
+    return df.select(
+        *(
+            F.when(~text.isin(*na_values), text).alias(name) if kinds[name] == "string" else text
+            for name, text in quoted.items()
+        )
     )
 
 

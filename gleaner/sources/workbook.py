@@ -7,25 +7,41 @@ workbooks, and each is read by its own task, row by row.
 from __future__ import annotations
 
 import re
+import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gleaner.sources.documents import NA_VALUES, null_na_values
+
 # XML name spaces of the workbook format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 PACKAGE = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 
 
-def read_excel(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """Read one sheet (by name or position) of each workbook under ``path``, as strings."""
+# The source reaches the workers by value: they need not be able to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def read_excel(
+    spark: SparkSession, path: str, sheet: str | int = 0, *, na_values: Sequence[str] = NA_VALUES
+) -> DataFrame:
+    """Read one sheet (by name or position) of each workbook under ``path``, as strings.
+
+    The columns are those of all workbooks; a column that a workbook lacks is
+    null there.  Columns of one name in a sheet are told apart by a number
+    (``a``, ``a.1``), columns without a name by their place.
+    """
     spark.dataSource.register(WorkbookSource)
-    return spark.read.format(WorkbookSource.name()).option("sheet", str(sheet)).load(path)
+    df = spark.read.format(WorkbookSource.name()).option("sheet", str(sheet)).load(path)
+    return null_na_values(df, na_values)
 
 
 class WorkbookSource(DataSource):
@@ -46,8 +62,8 @@ class WorkbookSource(DataSource):
         return [f"{path.rstrip('/')}/{name}" for name in names]
 
     def schema(self) -> StructType:
-        header = next(_rows(self._files()[0], self.options["sheet"]), [])
-        return StructType([StructField(str(name), StringType()) for name in header])
+        names = (name for file in self._files() for name in _header(_rows(file, self.options["sheet"])))
+        return StructType([StructField(name, StringType()) for name in dict.fromkeys(names)])
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return WorkbookReader(self._files(), self.options["sheet"], schema.names)
@@ -62,7 +78,7 @@ class WorkbookReader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         rows = _rows(partition.value, self.sheet)
-        header = next(rows, [])
+        header = _header(rows)
         places = [header.index(name) if name in header else None for name in self.columns]
         for row in rows:
             if any(cell is not None for cell in row):
@@ -71,6 +87,19 @@ class WorkbookReader(DataSourceReader):
                 )
 
 
+def _header(rows: Iterator[list[str | None]]) -> list[str]:
+    """The names in the first row, each one once."""
+    names: list[str] = []
+    for place, name in enumerate(next(rows, [])):
+        unique = base = f"Unnamed: {place}" if name is None else name
+        again = 0
+        while unique in names:
+            again += 1
+            unique = f"{base}.{again}"
+        names.append(unique)
+    return names
+
+
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
     if "://" in path:
         return fs.FileSystem.from_uri(path)
@@ -93,7 +122,13 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in book.namelist():
         return []
     root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-    return ["".join(t.text or "" for t in item.iter(MAIN + "t")) for item in root.iter(MAIN + "si")]
+    return [_rich_text(item) for item in root.iter(MAIN + "si")]
+
+
+def _rich_text(item: ElementTree.Element) -> str:
+    """The text of a string and its formatted parts, without phonetic readings."""
+    parts = [*item.findall(MAIN + "t"), *item.findall(f"{MAIN}r/{MAIN}t")]
+    return "".join(part.text or "" for part in parts)
 
 
 def _sheet_part(book: zipfile.ZipFile, sheet: str) -> str:
@@ -131,7 +166,8 @@ def _column_number(letters: str) -> int:
 def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str | None:
     kind = cell.get("t")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(MAIN + "t"))
+        inline = cell.find(MAIN + "is")
+        return "" if inline is None else _rich_text(inline)
     value = cell.find(MAIN + "v")
     if value is None or value.text is None:
         return None

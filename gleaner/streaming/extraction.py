@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gleaner.sources.documents import READ_CSV, null_na_values
+
 
 def read_document_stream(
     spark: SparkSession,
@@ -22,11 +24,18 @@ def read_document_stream(
     max_files: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Files of a folder as a stream, ``max_files`` per micro-batch."""
+    """Files of a folder (or one file) as a stream, at most ``max_files`` per micro-batch.
+
+    CSV files are read like in a batch: with a header, quoted fields that may
+    span lines, and the usual spellings of missing values as nulls.
+    """
+    if file_format == "csv":
+        options = {**READ_CSV, "multiLine": True, **options}
     reader = spark.readStream.format(file_format).schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    stream = reader.load(path)
+    return null_na_values(stream) if file_format == "csv" else stream
 
 
 def write_extraction_stream(
@@ -35,14 +44,15 @@ def write_extraction_stream(
     path: str,
     checkpoint: str,
     *,
-    per_batch: bool = False,
+    per_batch: bool = True,
 ) -> StreamingQuery:
     """Extract from all files that have arrived and append the result to ``path``.
 
-    ``extract`` is any batch plan with an id column.  A plan that joins a large
-    vocabulary groups per document, which a stream refuses in append mode:
-    with ``per_batch`` it runs on each micro-batch, whose own folder makes a
-    repeated batch replace itself.
+    ``extract`` is any batch plan with an id column.  It runs on each
+    micro-batch, whose own folder makes a repeated batch replace itself: so a
+    vocabulary of any size does, also one that is joined, which a plain
+    stream refuses in append mode.  Without ``per_batch`` the plan becomes part
+    of the stream; then it must keep no state.
     """
     if per_batch:
 
@@ -68,10 +78,17 @@ def running_document_frequency(extracted: DataFrame, *, distinct_ids: bool = Fal
 
 
 def write_running_table(table: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep ``path`` equal to the latest state of an aggregated stream."""
+    """Keep the latest state of an aggregated stream below ``path``, for :func:`read_running_table`.
+
+    Each micro-batch writes its own folder, complete once it is marked so.
+    The one before stays for readers that have opened it; older ones go.
+    """
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        for number, folder in _complete(batch.sparkSession, path)[:-2]:
+            if number < batch_id - 1:
+                folder.getFileSystem(_hadoop(batch.sparkSession)).delete(folder, True)
 
     return (
         table.writeStream.outputMode("complete")
@@ -80,3 +97,25 @@ def write_running_table(table: DataFrame, path: str, checkpoint: str) -> Streami
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_running_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete state that :func:`write_running_table` has written."""
+    complete = _complete(spark, path)
+    if not complete:
+        raise FileNotFoundError(f"no complete table at {path}")
+    return spark.read.parquet(complete[-1][1].toString())
+
+
+def _hadoop(spark: SparkSession):
+    return spark.sparkContext._jsc.hadoopConfiguration()
+
+
+def _complete(spark: SparkSession, path: str) -> list:
+    """(number, folder) of the batches that are written completely, in order."""
+    marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")
+    found = marks.getFileSystem(_hadoop(spark)).globStatus(marks) or []
+    folders = [status.getPath().getParent() for status in found]
+    return sorted(
+        ((int(folder.getName().split("=")[1]), folder) for folder in folders), key=lambda f: f[0]
+    )

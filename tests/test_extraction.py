@@ -2,6 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from gleaner.functions.matching import nesting
 from gleaner.operators import extraction
 from gleaner.operators.extraction import extract_terms
 from gleaner.operators.vocabulary import dictionary_from_lists, match_vocabulary, variations_from_map
@@ -126,10 +127,10 @@ def test_deeply_nested_terms(spark, texts):
     assert run(texts(text), patterns) == [["a" * 200, "aaa", "a" * 150]]
 
 
-def test_a_very_long_term_goes_to_the_join(spark, texts):
+def test_a_very_long_term_stays_in_the_pattern(spark, texts):
     long = "x" * 3000
     patterns = table(spark, {long: long, "y": "y"})
-    assert extraction.collect_vocabulary(patterns) is None
+    assert extraction.collect_vocabulary(patterns) is not None
     assert run(texts(f"y {long} z"), patterns) == [["y", long]]
 
 
@@ -159,3 +160,21 @@ def test_a_hot_text_is_split_where_results_are_joined_back(spark, vocabulary):
     hot = "small ring" if len(vocabulary) == 2 else "ring"
     assert found == ({"ring": 60000} if hot == "ring" else {"small ring": 40000, "ring": 20000})
     assert "skew=true" in plan
+
+
+def test_long_terms_do_not_change_the_matcher():
+    """Only forks nest; the length of a term does not count."""
+    assert nesting(["a" * 300, "b", "c d"]) == 1
+    assert nesting(["a" * n for n in range(1, 50)]) == 48
+    assert nesting(["ab", "ac", "abc", "x"]) == 3
+
+
+def test_long_terms_by_join(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    values = [f"so {passage}. end", f"{passage} w61", passage[:-1], "w0 w1 w2", "c++x .net a.net", ""]
+    terms = {passage: "passage", "w0 w1": "pair", "w1 w2": "other", "c++": "c++", ".net": "net", "w2": "two"}
+    rows = spark.createDataFrame(list(enumerate(values)), "id long, processed_text string")
+    table = spark.createDataFrame(list(terms.items()), "pattern string, canonical string")
+    for matcher in ("pattern", "join"):
+        made = extract_terms(rows, table, matcher=matcher, remove_duplicates=False).orderBy("id").collect()
+        assert [r.extracted_skills for r in made] == [model.match(v, terms, distinct=False) for v in values]

@@ -1,10 +1,12 @@
 import zipfile
+from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
 import pytest
 
 from gleaner.sources import dictionaries, documents
-from gleaner.sources.workbook import read_excel
+from gleaner.sources.workbook import _rich_text, read_excel
+from gleaner.streaming import extraction as streaming
 
 
 @pytest.fixture
@@ -197,3 +199,38 @@ def test_folder_of_workbooks_is_one_task_each(spark, tmp_path):
     df = read_excel(spark, str(tmp_path))
     assert df.rdd.getNumPartitions() == 3
     assert sorted(r.n for r in df.collect()) == ["0", "1", "2"]
+
+
+def test_csv_columns_are_bound_by_name(spark, write, tmp_path):
+    write("mixed/a.csv", "id,text\n1,alpha\n")
+    write("mixed/b.csv", "text,id,more\nbeta,2,x\n")
+    rows = documents.read_csv(spark, str(tmp_path / "mixed")).orderBy("id").collect()
+    assert [r.asDict() for r in rows] == [
+        {"id": "1", "text": "alpha", "more": None}, {"id": "2", "text": "beta", "more": "x"},
+    ]
+
+
+def test_csv_stream_is_read_like_a_batch(spark, write, tmp_path):
+    write("in/a.csv", 'id,text\n1,"say ""license"" now,\nok"\n2,NA\n')
+    stream = streaming.read_document_stream(spark, str(tmp_path / "in"), "id string, text string", "csv")
+    out = str(tmp_path / "out")
+    streaming.write_extraction_stream(stream, lambda df: df, out, str(tmp_path / "state")).awaitTermination()
+    rows = spark.read.parquet(out).select("id", "text").collect()
+    assert sorted(map(tuple, rows)) == [("1", 'say "license" now,\nok'), ("2", None)]
+
+
+def test_workbooks_with_other_columns(spark, tmp_path):
+    (tmp_path / "books").mkdir()
+    workbook(tmp_path / "books" / "a.xlsx", {"s": [["id", "text", "text"], ["1", "NA", "again"]]})
+    workbook(tmp_path / "books" / "b.xlsx", {"s": [["role", "id"], ["boss", "2"]]})
+    df = read_excel(spark, str(tmp_path / "books"))
+    assert df.columns == ["id", "text", "text.1", "role"]
+    assert sorted(map(tuple, df.collect())) == [("1", None, "again", None), ("2", None, None, "boss")]
+
+
+def test_phonetic_readings_are_no_text():
+    name = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    item = ElementTree.fromstring(
+        f'<si xmlns="{name[1:-1]}"><r><t>a</t></r><r><t>b</t></r><rPh sb="0" eb="1"><t>x</t></rPh></si>'
+    )
+    assert _rich_text(item) == "ab"
