@@ -106,7 +106,8 @@ class Finder:
         if start >= self.after["ip"]:
             if found := _IP.match(self.text, start):
                 self.after["ip"] = found.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found[0].split(".")):
+                parts = [p.lstrip("0") for p in found[0].split(".")]  # of any length before
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
                     yield "ip", start, found.end()
             else:  # no other digit of this run can begin one
                 self.after["ip"] = _DIGITS.match(self.text, start).end()

@@ -51,6 +51,13 @@ def test_nothing_is_added_without_a_valid_value(text):
     assert Finder()(text) == []
 
 
+def test_addresses_with_parts_of_many_zeros():
+    many = "0" * 5000
+    for text in (f"{many}1.2.3.4", f"1.{many}.3.4 and 1.2.3.{many}256"):
+        found = [s for s in Finder()(text) if s[0] == "ip"]
+        assert len(found) == 1 and found[0][:2] == ("ip", 0)
+
+
 def test_personal_data_of_whole_tables(spark, awkward):
     rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in QUERIES["op3_personal_data"](spark, FOLDER).collect()}
