@@ -23,8 +23,8 @@ MIN_SUPPORT = 0.001
 #: and fit at least so many labelled rows to be blocked.
 MIN_ROWS = 20
 MIN_CONFIDENCE = 0.6
-#: Tokens of one URL; more do not count, so that combinations stay bounded.
-MAX_TOKENS = 10
+#: Tokens of a labelled URL that combinations are mined from, so that these stay bounded; URLs are judged by all theirs.
+MINED_TOKENS = 10
 #: Labelled rows to learn from, drawn by a hash of the URL beyond that.
 LABELLED_ROWS = 5_000_000
 #: The rules are broadcast up to so many.
@@ -72,7 +72,7 @@ def tokens(url: Column, host_column: Column, path_column: Column) -> Column:
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, r"\A([^=]*)", 1)), lambda x: x != "")
     keys = F.transform(keys, lambda x: F.concat(F.lit("q:"), x))
-    return F.slice(F.array_distinct(F.concat(words, hosts, parts, extension, keys)), 1, MAX_TOKENS)
+    return F.array_distinct(F.concat(words, hosts, parts, extension, keys))
 
 
 def association_rules(
@@ -80,11 +80,12 @@ def association_rules(
 ) -> DataFrame:
     """Token combinations that point to blocking: (needed, confidence, support) from (tokens, blocked).
 
-    FP-growth finds the combinations; those of too little support or
+    FP-growth finds the combinations in the first tokens of each row; those of too little support or
     confidence go, and those with a shorter combination among them that is as
     confident.
     """
-    items = F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCKED))).otherwise(F.col("tokens"))
+    mined = F.slice("tokens", 1, MINED_TOKENS)
+    items = F.when(F.col("blocked"), F.array_append(mined, F.lit(BLOCKED))).otherwise(mined)
     baskets = labelled.filter(F.size("tokens") > 0).select(items.alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BLOCKED)))
@@ -159,7 +160,7 @@ def judged(
     split = named.select("id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     with_tokens = F.when(F.col("host") != "", tokens(F.col("url"), F.col("host"), F.col("path")))
     none = F.array().cast("array<string>")
-    parsed = split.select("id", "host", "path", F.sort_array(F.coalesce(with_tokens, none)).alias("tokens"))
+    parsed = split.select("id", "host", "path", F.coalesce(with_tokens, none).alias("tokens"))
     marks = labels.filter(F.col(quality).isNotNull()).groupBy(F.col(label_id).alias("id"))
     marks = marks.agg((F.min(quality) == 0).alias("blocked"))
     labelled = stored(parsed.join(marks, "id").select("id", "tokens", "blocked"), "labelled")

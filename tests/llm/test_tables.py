@@ -343,6 +343,7 @@ def test_urls_by_association(spark):
         if i < 600:
             labels.append((i, int(not (site == "mixed" and part == "casino")), 0))
     pages.append((1000, "http://shop.mixed.net/casino/"))
+    pages.append((1001, "http://shop.mixed.net/a/b/c/d/e/f/g/h/i/j/k/l/casino/?q=1"))
     made = url_filter.judged(
         spark.createDataFrame(pages, "page_id long, url string"),
         spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
