@@ -91,15 +91,14 @@ class Windows:
         self.least = _extreme(self.grams, self.span, np.minimum)
 
     def standing(self) -> np.ndarray:
-        """Places of the grams that stand for a window."""
+        """The distinct grams that stand for a window."""
         pad = np.zeros(self.span - 1, np.uint64)
         most = _extreme(np.concatenate([pad, self.least, pad]), self.span, np.maximum)
-        return np.flatnonzero(most == self.grams)
+        return np.unique(self.grams[most == self.grams])
 
-    def extended(self, places: list[int]) -> np.ndarray:
-        """Places of the windows that grams at ``places`` stand for."""
-        known = np.full(len(self.grams), _TOP)
-        known[places] = self.grams[places]
+    def extended(self, shared: list[int]) -> np.ndarray:
+        """Places of the windows that the grams ``shared`` stand for."""
+        known = np.where(np.isin(self.grams, np.array(shared, np.int64).view(np.uint64)), self.grams, _TOP)
         return np.flatnonzero(_extreme(known, self.span, np.minimum) == self.least)
 
     def hashes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,29 +154,27 @@ def _sequences(docs: DataFrame) -> DataFrame:
 
 
 def _grams(docs: DataFrame, min_words: int) -> DataFrame:
-    """The half-length grams that stand for the documents' windows: (gram, id, content, place)."""
+    """The half-length grams that stand for the documents' windows, each once for a document: (gram, id, content)."""
 
     def run(hashes, ids, texts):
-        out = ([], [], [], [])
+        out = ([], [], [])
         for i, text in zip(ids, texts, strict=True):
             words = (text or "").encode().split()
             if len(words) < min_words:
                 continue
             windows = Windows(words, min_words, hashes)
-            places = windows.standing()
+            grams = windows.standing()
             content = _content(hashlib.sha256(b" ".join(words)).digest())
-            out[0].append(windows.grams[places].view(np.int64))
-            out[1].extend([i] * len(places))
-            out[2].append(np.full(len(places), content, np.int64))
-            out[3].append(places.astype(np.int32))
-        return [_flat(out[0]), out[1], _flat(out[2]), _flat(out[3])]
+            out[0].append(grams.view(np.int64))
+            out[1].extend([i] * len(grams))
+            out[2].append(np.full(len(grams), content, np.int64))
+        return [_flat(out[0]), out[1], _flat(out[2])]
 
     schema = T.StructType(
         [
             T.StructField("gram", T.LongType()),
             docs.schema["id"],
             T.StructField("content", T.LongType()),
-            T.StructField("place", T.IntegerType()),
         ]
     )
     return _map_many(docs.select("id", "text"), schema, run)
@@ -190,9 +187,9 @@ def _flat(arrays: list[np.ndarray]) -> np.ndarray | list:
 def _windows(candidates: DataFrame, min_words: int) -> DataFrame:
     """The windows that repeated grams stand for: (one, two, id, content, place)."""
 
-    def run(hashes, ids, contents, texts, places):
+    def run(hashes, ids, contents, texts, grams):
         out = ([], [], [], [], [])
-        for i, content, text, found in zip(ids, contents, texts, places, strict=True):
+        for i, content, text, found in zip(ids, contents, texts, grams, strict=True):
             words = text.encode().split()
             if _content(hashlib.sha256(b" ".join(words)).digest()) != content:
                 continue  # another text with the same id
@@ -215,7 +212,7 @@ def _windows(candidates: DataFrame, min_words: int) -> DataFrame:
             T.StructField("place", T.IntegerType()),
         ]
     )
-    return _map_many(candidates.select("id", "content", "text", "places"), schema, run)
+    return _map_many(candidates.select("id", "content", "text", "grams"), schema, run)
 
 
 def removed_mask(n: int, starts: list[int], length: int) -> np.ndarray:
@@ -253,7 +250,7 @@ def _kept(candidates: DataFrame, min_words: int) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, sequences: DataFrame, min_words: int) -> DataFrame:
-    """The texts with grams that another text has too, and the places of these: (id, content, text, places)."""
+    """The texts with grams that another text has too, and these: (id, content, text, grams)."""
     grams = _grams(docs, min_words)
     shared = (
         grams.groupBy("gram")
@@ -261,10 +258,10 @@ def _candidates(docs: DataFrame, sequences: DataFrame, min_words: int) -> DataFr
         .filter("low < high")
         .select("gram")
     )
-    places = grams.join(shared, "gram").groupBy("id", "content").agg(F.collect_list("place").alias("places"))
+    found = grams.join(shared, "gram").groupBy("id", "content").agg(F.collect_list("gram").alias("grams"))
     firsts = sequences.groupBy("digest", "content").agg(F.min("id").alias("id"))
-    places = places.join(firsts, ["id", "content"], "left_semi")
-    return docs.select("id", "text").join(places, "id").select("id", "content", "text", "places")
+    found = found.join(firsts, ["id", "content"], "left_semi")
+    return docs.select("id", "text").join(found, "id").select("id", "content", "text", "grams")
 
 
 def repeated_windows(candidates: DataFrame, min_words: int) -> DataFrame:
