@@ -34,6 +34,9 @@ class WordHashes(dict):
         self[word] = made = xxhash.xxh3_64_intdigest(word)
         return made
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
 
 def _join(a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
     """Hashes of neighbouring windows made into those of the windows of both."""
@@ -85,7 +88,7 @@ class Windows:
 
     def __init__(self, words: list[bytes], length: int, hashes: WordHashes):
         self.half, self.length = (length + 1) // 2, length
-        self.words = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+        self.words = hashes.of(words)
         self.grams = window_hashes(self.words, self.half)
         self.span = length - self.half + 1
         self.least = _extreme(self.grams, self.span, np.minimum)
@@ -185,23 +188,22 @@ def _flat(arrays: list[np.ndarray]) -> np.ndarray | list:
 
 
 def _windows(candidates: DataFrame, min_words: int) -> DataFrame:
-    """The windows that repeated grams stand for: (one, two, id, content, place)."""
+    """The windows that repeated grams stand for, each once for a document: (one, two, id, content)."""
 
     def run(hashes, ids, contents, texts, grams):
-        out = ([], [], [], [], [])
+        out = ([], [], [], [])
         for i, content, text, found in zip(ids, contents, texts, grams, strict=True):
             words = text.encode().split()
             if _content(hashlib.sha256(b" ".join(words)).digest()) != content:
                 continue  # another text with the same id
             windows = Windows(words, min_words, hashes)
-            starts = windows.extended(found)
-            one, two = windows.hashes(starts)
+            one, two = windows.hashes(windows.extended(found))
+            one, places = np.unique(one, return_index=True)
             out[0].append(one.view(np.int64))
-            out[1].append(two.view(np.int64))
-            out[2].extend([i] * len(starts))
-            out[3].append(np.full(len(starts), content, np.int64))
-            out[4].append(starts.astype(np.int32))
-        return [_flat(out[0]), _flat(out[1]), out[2], _flat(out[3]), _flat(out[4])]
+            out[1].append(two[places].view(np.int64))
+            out[2].extend([i] * len(one))
+            out[3].append(np.full(len(one), content, np.int64))
+        return [_flat(out[0]), _flat(out[1]), out[2], _flat(out[3])]
 
     schema = T.StructType(
         [
@@ -209,18 +211,18 @@ def _windows(candidates: DataFrame, min_words: int) -> DataFrame:
             T.StructField("two", T.LongType()),
             candidates.schema["id"],
             T.StructField("content", T.LongType()),
-            T.StructField("place", T.IntegerType()),
         ]
     )
     return _map_many(candidates.select("id", "content", "text", "grams"), schema, run)
 
 
-def removed_mask(n: int, starts: list[int], length: int) -> np.ndarray:
-    """Which of ``n`` words lie in a window of ``length`` words from one of ``starts``."""
-    marks = np.zeros(n + 1, np.int64)
-    starts = np.unique(np.asarray(starts, np.int64))
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, starts + length, -1)
+def removed_mask(words: np.ndarray, repeated: list[int], length: int) -> np.ndarray:
+    """Which words lie in a window of ``length`` words whose hash is among ``repeated``."""
+    marks = np.zeros(len(words) + 1, np.int64)
+    repeated = np.array(repeated, np.int64).view(np.uint64)
+    starts = np.flatnonzero(np.isin(window_hashes(words, length), repeated))
+    marks[starts] += 1
+    marks[starts + length] -= 1
     return np.cumsum(marks[:-1]) > 0
 
 
@@ -228,11 +230,13 @@ def _kept(candidates: DataFrame, min_words: int) -> DataFrame:
     """Digests, removed words and the digest of what is kept, of the texts that lose words."""
 
     def make():
-        def run(texts: list, starts: list) -> dict[str, list]:
+        hashes = WordHashes()
+
+        def run(texts: list, repeated: list) -> dict[str, list]:
             out = {"digest": [], "lost": [], "rest": []}
-            for text, own in zip(texts, starts, strict=True):
+            for text, own in zip(texts, repeated, strict=True):
                 words = text.encode().split()
-                gone = removed_mask(len(words), own, min_words)
+                gone = removed_mask(hashes.of(words), own, min_words)
                 rest = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 out["digest"].append(hashlib.sha256(b" ".join(words)).digest())
                 out["lost"].append(len(words) - len(rest))
@@ -246,7 +250,7 @@ def _kept(candidates: DataFrame, min_words: int) -> DataFrame:
         T.StructField("lost", T.LongType()),
         T.StructField("rest", T.StringType()),
     ]
-    return map_rows(candidates, [], ["text", "starts"], fields, make)
+    return map_rows(candidates, [], ["text", "repeated"], fields, make)
 
 
 def _candidates(docs: DataFrame, sequences: DataFrame, min_words: int) -> DataFrame:
@@ -265,7 +269,7 @@ def _candidates(docs: DataFrame, sequences: DataFrame, min_words: int) -> DataFr
 
 
 def repeated_windows(candidates: DataFrame, min_words: int) -> DataFrame:
-    """Starts of the windows that also start in a document with a smaller id: (id, content, starts)."""
+    """Hashes of the windows that also start in a document with a smaller id: (id, content, repeated)."""
     windows = _windows(candidates, min_words)
     firsts = windows.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most"))
     firsts = firsts.filter("least < most").drop("most")
@@ -273,7 +277,7 @@ def repeated_windows(candidates: DataFrame, min_words: int) -> DataFrame:
         windows.join(firsts, ["one", "two"])
         .filter("id > least")
         .groupBy("id", "content")
-        .agg(F.collect_list("place").alias("starts"))
+        .agg(F.collect_list("one").alias("repeated"))
     )
 
 
@@ -288,7 +292,8 @@ def substring_dedup(
 
     Level-wise doubling: windows of half the length stand for the longer
     ones; those that two different texts have are extended to twice their
-    length; of these, each window is compared by 128 bits. Longer ones could
+    length; of these, each window is compared by 128 bits. A gram or window
+    that stands many times in a text is compared once. Longer ones could
     not remove more, so the doubling ends there. Texts with equal words are
     settled by their digest: all but the first lose all their words, if they
     have ``min_words``.
@@ -302,8 +307,8 @@ def substring_dedup(
     named = docs.select(F.coalesce(whole, last).alias("id"), F.col(text).alias("text"))
     sequences = stored(_sequences(named), "sequences")
     candidates = stored(_candidates(named, sequences, min_words), "candidates")
-    starts = repeated_windows(candidates, min_words)
-    losing = candidates.select("id", "content", "text").join(starts, ["id", "content"])
+    repeated = repeated_windows(candidates, min_words)
+    losing = candidates.select("id", "content", "text").join(repeated, ["id", "content"])
     kept = stored(_kept(losing, min_words).distinct(), "kept")
     firsts = sequences.groupBy("digest").agg(F.min("id").alias("first"))
     empty = F.lit(hashlib.sha256(b"").hexdigest())
