@@ -14,6 +14,12 @@ from gleaner.session import shared_folder
 
 logger = logging.getLogger(__name__)
 
+# Where a row stands in the files read: (file, start of the split, number that grows within it).
+PLACE = "_place_in_files"
+
+# Files, splits or partitions whose row counts are broadcast; more of them are joined by a shuffle.
+BROADCAST_PARTS = 100_000
+
 _PARTITION_BITS = 33
 
 
@@ -43,14 +49,16 @@ def add_row_ids(
     """Add ``job_id``: the id column as text, or ``prefix_001``, ``prefix_002``, ...
 
     An existing id column needs neither a shuffle nor a job: prefer it on
-    large tables.  Generated ids follow the place in the parquet files read
-    (``file_order``, no shuffle either), or ``order_by``, or else the order of
-    the scan.  They are padded to one width for the whole table (3 digits at
+    large tables.  Generated ids follow the place in the files read
+    (``file_order``: parquet without a shuffle, CSV read with ``places``), or
+    ``order_by``, or else the order of the scan.  They are padded to one width for the whole table (3 digits at
     least).
     """
     if id_column and id_column in df.columns:
         return df.withColumn("job_id", F.col(id_column).cast("string"))
-    if file_order:
+    if file_order and PLACE in df.columns:
+        numbered = number_placed_rows(df, "_number", "_total")
+    elif file_order:
         numbered = number_file_rows(df, "_number", "_total")
     else:
         numbered = number_rows(df, "_number", "_total", order_by=order_by)
@@ -69,16 +77,33 @@ def number_file_rows(df: DataFrame, number: str, total: str) -> DataFrame:
     """
     file, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     sizes = df.groupBy(file.alias("_file")).agg(F.count("*").alias("_size"))
-    # One row per file, as in the file listing the driver holds anyway.
-    starts = F.broadcast(_starts(sizes, "_file", total))
     return (
-        df.withColumns({"_file": file, "_place": place})
-        .join(starts, "_file")
+        _with_starts(df.withColumns({"_file": file, "_place": place}), sizes, "_file", total)
         .withColumn(number, F.col("_start") + F.col("_place") + 1)
         .drop("_file", "_place", "_start")
     )
 
 
+def number_placed_rows(df: DataFrame, number: str, total: str) -> DataFrame:
+    """Add consecutive numbers from 1 in file order, and the row count, to rows with their ``PLACE``.
+
+    Files follow each other by name and their splits by place, whatever the
+    number of tasks.  The rows are checkpointed, since another scan might be
+    split in another way; only the rows per split are moved.
+    """
+    shared_folder(df.sparkSession)
+    place = F.col(PLACE)
+    placed = df.checkpoint().withColumns(
+        {"_split": F.struct(place["file"].alias("file"), place["start"].alias("start")), "_row": place["row"]}
+    )
+    sizes = placed.groupBy("_split").agg(F.count("*").alias("_size"), F.min("_row").alias("_first"))
+    return (
+        _with_starts(placed, sizes, "_split", total)
+        .withColumn(number, F.col("_start") + F.col("_row") - F.col("_first") + 1)
+        .drop("_split", "_row", "_first", "_start", PLACE)
+    )
+
+
 def number_rows(
     df: DataFrame,
     number: str,
@@ -107,23 +132,28 @@ def number_rows(
         }
     )
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    # One row per partition: bounded by the number of tasks, not by the data.
-    starts = F.broadcast(_starts(sizes, "_part", total))
     return (
-        placed.join(starts, "_part")
+        _with_starts(placed, sizes, "_part", total)
         .withColumn(number, F.col("_start") + F.col("_place") + 1)
         .drop("_part", "_place", "_start")
     )
 
 
-def _starts(sizes: DataFrame, key: str, total: str) -> DataFrame:
-    """The rows before each part, and the rows of all parts."""
+def _with_starts(df: DataFrame, sizes: DataFrame, key: str, total: str) -> DataFrame:
+    """``df`` with the rows before each part (``_start``), the rows of all parts, and what else ``sizes`` has.
+
+    The sizes, one row per part, are counted once; they are broadcast if there
+    are not too many.
+    """
+    shared_folder(df.sparkSession)
+    sizes = sizes.checkpoint()
     earlier = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(
-        key,
+    starts = sizes.select(
+        *(name for name in sizes.columns if name != "_size"),
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         F.sum("_size").over(Window.partitionBy()).alias(total),
     )
+    return df.join(F.broadcast(starts) if sizes.count() <= BROADCAST_PARTS else starts, key)
 
 
 def duplicate_ids(df: DataFrame, id_column: str = "job_id") -> DataFrame:

@@ -238,6 +238,17 @@ def row_ids_file_order(spark, folder):
     return numbered.select("doc_id", "job_id")
 
 
+@query
+def row_ids_csv_files(spark, folder):
+    """Ids in the order of CSV files and of the rows in them."""
+    path = fresh_path(spark, "csv")
+    keys = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    keys.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.csv(path, header=True)
+    back = sources.read_csv(spark, path, encoding="UTF-8", multi_line=False, places=True)
+    numbered = rows.add_row_ids(back, file_order=True)
+    return numbered.select(F.col("doc_id").cast("bigint"), "job_id")
+
+
 @query
 def row_ids_existing(spark, folder):
     return rows.add_row_ids(table(spark, folder, "conversations"), "conv_id").select(

@@ -12,7 +12,7 @@ from gleaner.functions.cleaning import clean_text, has_text
 from gleaner.functions.scalars import normalize_role, round2
 from gleaner.operators.extraction import extract_terms
 from gleaner.operators.frequencies import tally
-from gleaner.operators.rows import add_row_ids, valid_rows, validate_columns
+from gleaner.operators.rows import PLACE, add_row_ids, valid_rows, validate_columns
 from gleaner.operators.rules import global_rules, rules
 from gleaner.operators.vocabulary import match_vocabulary
 from gleaner.session import shared_folder
@@ -45,13 +45,14 @@ def extraction_result(
 
     Rows without text are dropped, after ids were given.  With an id column
     this is one projection over the scan, without a shuffle; ids in
-    ``file_order`` of parquet files add only a broadcast of the file sizes.
-    ``keep`` names the columns to carry on; ids by ``order_by`` or scan order
-    move the rows, so a narrow ``keep`` saves moving the texts.
+    ``file_order`` of parquet files add only a join with the file sizes.
+    ``keep`` names the columns to carry on; ids by ``order_by``, scan order or
+    the places of CSV rows move the rows, so a narrow ``keep`` saves moving the texts.
     """
     validate_columns(df, text_column, id_column, title_column)
     vocabulary = match_vocabulary(dictionary, variations, normalize=normalize)
-    early_ids = bool(id_column) or file_order
+    places = [PLACE] if file_order and PLACE in df.columns else []
+    early_ids = bool(id_column) or (file_order and not places)
     if early_ids:
         df = add_row_ids(df, id_column, prefix=id_prefix, file_order=file_order)
         df = valid_rows(df, text_column)
@@ -77,14 +78,14 @@ def extraction_result(
         made_from=text_column,
     )
     if keep is not None:
-        own = ["job_id"] if early_ids else ["_has_text", *(order_by or [])]
+        own = ["job_id"] if early_ids else ["_has_text", *places, *(order_by or [])]
         df = df.select(*dict.fromkeys([*own, *keep, "extracted_skills", "skill_count"]))
     if early_ids:
         return df
     if order_by:
         # Range partitioning samples its input first: do not extract twice for that.
         df = stored(df)
-    df = add_row_ids(df, prefix=id_prefix, order_by=order_by).filter("_has_text")
+    df = add_row_ids(df, prefix=id_prefix, order_by=order_by, file_order=bool(places)).filter("_has_text")
     passing = [name for name in order_by or [] if keep is not None and name not in keep]
     return df.drop("_has_text", *passing)
 

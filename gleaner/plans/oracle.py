@@ -298,6 +298,7 @@ ORACLE: dict[str, str] = {
     "row_ids_generated": f"SELECT doc_id, job_id FROM {numbered('documents')}",
     # The rows of the file lie in the order of their keys.
     "row_ids_file_order": f"SELECT doc_id, job_id FROM {numbered('documents')}",
+    "row_ids_csv_files": f"SELECT doc_id, job_id FROM {numbered('documents')}",
     "row_ids_existing": """SELECT CAST(conv_id AS VARCHAR) AS job_id, turn, role
         FROM conversations""",
     "duplicate_ids": """SELECT count(*) - count(DISTINCT conv_id) AS duplicate_count

@@ -10,6 +10,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.operators.rows import PLACE
+
 # The spellings that the usual CSV readers take as missing.
 NA_VALUES = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -61,9 +63,12 @@ def read_csv(
     *,
     multi_line: bool | None = None,
     na_values: Sequence[str] = NA_VALUES,
+    places: bool = False,
 ) -> DataFrame:
     """Read headered CSV files as strings; quoted fields may span lines.
 
+    ``places`` adds where each row stands, for ``add_row_ids`` in file order.
+
     ``encoding="auto"`` reads files of valid UTF-8 as such and all others as
     ISO-8859-1.  Files with line breaks inside fields are one task each; all
     others are split.  Both are found out per file unless given.  Columns are
@@ -72,7 +77,7 @@ def read_csv(
     read; then all files must have one header, or the read fails.
     """
     if encoding != "auto" and (multi_line is not None or encoding.upper() not in LINE_ENCODINGS):
-        df = _scan_csv(spark, paths, encoding, multi_line is not False)
+        df = _scan_csv(spark, paths, encoding, multi_line is not False, places)
     else:
         routes: dict[tuple[str, bool, str], list[str]] = {}
         # One driver row per file, as in any list of inputs; the file column is a URL.
@@ -82,13 +87,18 @@ def read_csv(
             routes.setdefault((charset, spanning, row.header or ""), []).append(unquote(row.file))
         if not routes:
             routes = {("UTF-8", True, ""): [paths] if isinstance(paths, str) else list(paths)}
-        parts = [_scan_csv(spark, files, *kind[:2]) for kind, files in sorted(routes.items())]
+        parts = [_scan_csv(spark, files, *kind[:2], places) for kind, files in sorted(routes.items())]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return null_na_values(df, na_values)
 
 
-def _scan_csv(spark: SparkSession, paths, encoding: str, multi_line: bool) -> DataFrame:
-    return spark.read.csv(paths, **READ_CSV, multiLine=multi_line, encoding=encoding, inferSchema=False)
+def _scan_csv(spark: SparkSession, paths, encoding: str, multi_line: bool, places: bool) -> DataFrame:
+    df = spark.read.csv(paths, **READ_CSV, multiLine=multi_line, encoding=encoding, inferSchema=False)
+    if not places:
+        return df
+    split = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    # A split is read in order by one task, so that these numbers grow within it.
+    return df.withColumn(PLACE, F.struct(*split, F.monotonically_increasing_id().alias("row")))
 
 
 def file_traits(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 
 from gleaner.operators import rows
+from gleaner.sources.documents import read_csv
 from pyspark.sql import functions as F
 
 
@@ -35,7 +36,29 @@ def test_generated_ids_in_file_order(spark, tmp_path):
     numbered = rows.add_row_ids(spark.read.parquet(path), file_order=True)
     assert all(int(row.job_id[3:]) == row.id + 1 for row in numbered.collect())
     plan = numbered.filter("text is not null")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning") == 1
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("split", ["1000", "128m"])
+@pytest.mark.parametrize("parts", [0, rows.BROADCAST_PARTS])
+def test_generated_ids_in_the_order_of_csv_files(spark, tmp_path, monkeypatch, split, parts):
+    """Files of unequal size, the last one largest and in another encoding, whole or in many splits."""
+    monkeypatch.setattr(rows, "BROADCAST_PARTS", parts)
+    wanted = []
+    for name, size, encoding in (("a b.csv", 40, "utf-8"), ("b.csv", 0, "utf-8"), ("c.csv", 900, "latin-1")):
+        texts = [f"{name} é {i}" for i in range(size)]
+        header = "text,n" if name < "c" else "n,text"
+        lines = [f"{t},1" if name < "c" else f"1,{t}" for t in texts]
+        (tmp_path / name).write_bytes("\n".join([header, *lines, ""]).encode(encoding))
+        wanted += texts
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = read_csv(spark, str(tmp_path), places=True)
+        numbered = rows.add_row_ids(df, file_order=True)
+        found = [r.text for r in sorted(numbered.collect(), key=lambda r: int(r.job_id[3:]))]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == wanted and sorted(numbered.columns) == ["job_id", "n", "text"]
 
 
 def test_offset_continues_the_numbers(spark):
