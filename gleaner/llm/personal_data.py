@@ -28,7 +28,11 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME_END = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,31}\Z")
 _AUTHORITY = re.compile(r"[^\s/?#@:]+:[^\s/?#@]+@[A-Za-z0-9.-]+(?::[0-9]+)?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_NUMBER = re.compile(r"[ \t]*(?:number|no\.?|nr\.?|num)?[ \t]*[:=#][ \t]*\"?([A-Z]{0,4}[0-9](?:[ -]?[0-9A-Z]){4,33})(?![0-9A-Za-z])", re.I)
+# Blanks and hyphens are part of a number only before a digit: the word behind it is not.
+_NUMBER = re.compile(
+    r"[ \t]*(?:number|no\.?|nr\.?|num)?[ \t]*[:=#][ \t]*\"?([A-Z]{0,4}[0-9](?:[ -]?[0-9]|[A-Z]){4,33})(?![0-9A-Za-z])",
+    re.I,
+)
 _VALUE = re.compile(r"\"?[ \t]*[:=][ \t]*[\"']?([A-Za-z0-9_+/=.-]{16,})")
 
 
