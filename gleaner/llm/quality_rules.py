@@ -32,7 +32,9 @@ LEFT_PERCENT = 20
 
 LINES = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.LongType())]))
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_DIGITS = re.compile(rb"[0-9]+")
+#: Digits within a word, as in names and codes, tell lines apart; other numbers do not.
+_LETTER = rb"[A-Za-z_\x80-\xff]"
+_NUMBER = re.compile(rb"(?<!" + _LETTER + rb")(?<![0-9])[0-9]++(?!" + _LETTER + rb")")
 
 
 def repeated_words(words: list, window: int = WINDOW) -> int:
@@ -57,8 +59,8 @@ def repeated_words(words: list, window: int = WINDOW) -> int:
 
 
 def normalised_line(words: list[bytes]) -> bytes:
-    """What lines are compared by: lower case, single spaces, any number as 0."""
-    return _DIGITS.sub(b"0", b" ".join(words).lower())
+    """What lines are compared by: lower case, single spaces, any number outside words as 0."""
+    return _NUMBER.sub(b"0", b" ".join(words).lower())
 
 
 def _text_stats() -> object:
