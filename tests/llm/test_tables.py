@@ -237,6 +237,21 @@ def test_written_shards(spark, docs, tmp_path):
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
 
 
+def test_digests_are_those_of_written_documents(spark, docs, awkward, monkeypatch):
+    """Very long texts and hot copies go through small buckets; places are those of the files."""
+    written, write = [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda docs, path, *rest: (written.append(path), write(docs, path, *rest)))
+    monkeypatch.setattr(sharding.shuffled, "__defaults__", (sharding.SEED, None, 64, 1 << 20))
+    hot = docs.limit(1).crossJoin(spark.range(500)).drop("id")
+    df = docs.unionByName(hot).unionByName(awkward.select(docs.columns))
+    made = Counter(map(tuple, sharding.shard_digests(df).select("doc_id", "size", "text_crc32", "shard", "slot").collect()))
+    files = spark.read.parquet(written[0]).select("doc.*", "shard", "slot").collect()
+    assert Counter(tuple(r)[:5] for r in files) == Counter(map(tuple, df.collect()))
+    rows = ((r.doc_id, (r.text or "").encode(), r.shard, r.slot) for r in files)
+    assert Counter((i, len(t) + 1, zlib.crc32(t), shard, slot) for i, t, shard, slot in rows) == made
+    assert {(shard, slot) for *_, shard, slot in made} == {(p % 8, p // 8) for p in range(df.count())}
+
+
 # Mixing
 
 
