@@ -19,6 +19,15 @@ KINDS = (*BASE, "login", "iban", "account", "secret")
 ACCOUNT_CUES = ("account", "acct", "iban", "ssn", "passport", "konto", "cuenta", "compte")
 SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key")
 
+#: Fixed lengths of IBANs by country; others may have any.
+_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTHS = {country: length for length, names in _COUNTRIES.items() for country in names.split()}
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
@@ -51,6 +60,18 @@ def _valid_iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
+def _iban_length(text: str) -> int:
+    """Characters of the IBAN that ``text`` begins with, 0 if none: upper-case words may follow it.
+
+    It ends where a group ends, at its country's length if it is valid there;
+    else the longest valid one counts.
+    """
+    ends = [len(text), *(i for i in range(len(text) - 1, 0, -1) if text[i] == " ")]
+    usual = IBAN_LENGTHS.get(text[:2])
+    ends.sort(key=lambda end: end - text.count(" ", 0, end) != usual)
+    return next((end for end in ends if _valid_iban(text[:end])), 0)
+
+
 def automaton() -> ahocorasick.Automaton:
     """Finds at-signs, digits, plus signs, schemes and identifier cues."""
     made = ahocorasick.Automaton()
@@ -141,9 +162,9 @@ class Finder:
         start = digit - 2
         if start < self.after["iban"] or (start and _word(self.text[start - 1])):
             return
-        if (found := _IBAN.match(self.text, start)) and _valid_iban(found[0]):
-            self.after["iban"] = found.end()
-            yield "iban", start, found.end()
+        if (found := _IBAN.match(self.text, start)) and (length := _iban_length(found[0])):
+            self.after["iban"] = start + length
+            yield "iban", start, start + length
 
     def _account(self, start: int, end: int):
         if start and _word(self.text[start - 1]):

@@ -46,6 +46,20 @@ def test_added_spans(text, kind, value):
     assert [text[a:b] for k, a, b in Finder()(text) if k == kind] == [value]
 
 
+@pytest.mark.parametrize(
+    "iban",
+    ["BE68 5390 0754 7034", "BE68539007547034", "AT61 1904 3002 3457 3201", "LU28 0019 4006 4475 0000",
+     "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "PL61 1090 1014 0000 0712 1981 2874",
+     "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"],
+)
+@pytest.mark.parametrize("after", ["", " BIC GKCCBEBB", " EURO PAID X", " SWIFT", " AB12 CD34", ". BIC"])
+def test_ibans_before_words_in_capitals(iban, after):
+    text = f"IBAN {iban}{after}"
+    spans = Finder()(text)
+    assert [text[a:b] for k, a, b in spans if k == "iban"] == [iban]
+    assert redacted(text, spans) == f"IBAN [IBAN]{after}"
+
+
 @pytest.mark.parametrize("text", ["no account of it: today", "http://example.org/path", "tokens: many", "GB82 WEST 1234"])
 def test_nothing_is_added_without_a_valid_value(text):
     assert Finder()(text) == []
