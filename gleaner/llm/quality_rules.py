@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 from gleaner.llm.tasks import map_rows, stored
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,10 @@ MAX_REPEAT_PERCENT = 20
 #: A line is boilerplate in more documents of its host than this many and this share.
 MIN_DOCUMENTS = 10
 MIN_SHARE = 0.005
-#: A document with less than this percentage of words in rare lines says nothing about its lines.
-OWN_PERCENT = 50
+#: Sketches of two texts differ in at most so many of 256 bits if they are copies: about 92 % of their word pairs are common.
+COPY_BITS = 32
+#: Copies are sought among documents with at least this percentage of words in frequent lines.
+FREQUENT_PERCENT = 50
 #: A document is depleted if fewer words, or a smaller percentage of them, are left.
 LEFT_WORDS = 5
 LEFT_PERCENT = 20
@@ -63,11 +65,29 @@ def normalised_line(words: list[bytes]) -> bytes:
     return _NUMBER.sub(b"0", b" ".join(words).lower())
 
 
-def _text_stats() -> object:
-    def line_hash(words: list[bytes]) -> int:
-        digest = hashlib.blake2b(normalised_line(words), digest_size=8).digest()
-        return int.from_bytes(digest, "little", signed=True)
+def line_hash(words: list[bytes]) -> int:
+    digest = hashlib.blake2b(normalised_line(words), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def sketch(words: list[bytes]) -> list[int]:
+    """A SimHash of 256 bits over the distinct pairs of neighbouring words, as four signed numbers."""
+    pairs = list(set(zip(words, words[1:], strict=False)) or {tuple(words)})
+    ones = np.zeros(256, np.int64)
+    for start in range(0, len(pairs), 4096):
+        part = b"".join(hashlib.blake2b(b" ".join(p)).digest()[:32] for p in pairs[start : start + 4096])
+        ones += np.unpackbits(np.frombuffer(part, np.uint8).reshape(-1, 32), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(pairs)).view("<i8").tolist()
+
 
+def without_lines(text: str, gone: list[int]) -> str:
+    """The text without the lines of these hashes."""
+    lost = set(gone)
+    lines = text.split("\n")
+    return "\n".join(x for x in lines if not ((own := x.encode().split()) and line_hash(own) in lost))
+
+
+def _text_stats() -> object:
     def one(text: str) -> tuple:
         raw = text.encode()
         words = raw.split()
@@ -84,20 +104,22 @@ def _text_stats() -> object:
             duplicates,
             repeated_words(words),
             hashlib.md5(raw).digest(),
+            sketch(words),
             [{"line": h, "words": n} for h, n in lines.items()],
         )
 
     def run(texts: list) -> dict[str, list]:
         made = zip(*(one(t or "") for t in texts), strict=True)
-        return dict(zip((*STATS, "digest", "lines"), made, strict=True))
+        return dict(zip((*STATS, "digest", "sketch", "lines"), made, strict=True))
 
     return run
 
 
 def text_stats(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and the statistics of each text, a digest of it, and its distinct lines with their words."""
+    """``keep`` and the statistics of each text, a digest and a sketch of it, and its distinct lines with their words."""
     fields = [T.StructField(c, T.LongType()) for c in STATS]
-    fields += [T.StructField("digest", T.BinaryType()), T.StructField("lines", LINES)]
+    fields += [T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    fields += [T.StructField("lines", LINES)]
     return map_rows(docs, keep, [text], fields, _text_stats)
 
 
@@ -129,32 +151,57 @@ def _left(lines: DataFrame, removed: DataFrame) -> DataFrame:
     return lines.join(gone, ["host", "line"], "left").groupBy("host", "digest").agg(rest.alias("left"))
 
 
-def depleted_contents(
+def copies(candidates: DataFrame) -> DataFrame:
+    """The documents (host, digest) that are copies of another, which comes before them by its digest.
+
+    ``candidates`` (host, digest, sketch) meet where 16 bits of their
+    sketches are equal; there each is compared with the first document. The
+    first of all is nobody's copy, so that each group keeps a representative.
+    """
+    band = F.sequence(F.lit(0), F.lit(15))
+    value = F.expr("shiftrightunsigned(sketch[int(band / 4)], 16 * (band % 4)) & 65535")
+    banded = candidates.select("host", "digest", "sketch", F.explode(band).alias("band"))
+    banded = banded.withColumn("bits", value)
+    first = banded.groupBy("host", "band", "bits").agg(F.min(F.struct("digest", "sketch")).alias("first"))
+    apart = sum(F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("first.sketch")[i])) for i in range(4))
+    near = (F.col("first.digest") < F.col("digest")) & (apart <= COPY_BITS)
+    return banded.join(first, ["host", "band", "bits"]).filter(near).select("host", "digest").distinct()
+
+
+def judged_contents(
     stats: DataFrame,
     min_documents: int = MIN_DOCUMENTS,
     min_share: float = MIN_SHARE,
-) -> DataFrame:
-    """The contents (host, digest) of which removing their host's boilerplate leaves too little.
-
-    ``stats`` has host, digest, n_words and lines. Copies are one document:
-    equal texts of a host are counted once, and a document most of whose
-    words are in frequent lines (an edited copy, say) does not count towards
-    its lines, so that copies do not make their own lines boilerplate.
+) -> tuple[DataFrame, DataFrame]:
+    """The depleted contents (host, digest), and the boilerplate lines (host, digest, gone) of each content.
+
+    ``stats`` has host, digest, sketch, n_words and lines. A content is
+    depleted if removing its host's boilerplate leaves too little. Copies are
+    one document: equal texts of a host are counted once, and so are near
+    copies, so that they do not make their own lines boilerplate. All
+    other documents count, however many of their lines are shared.
     """
     distinct = stats.groupBy("host", "digest").agg(
-        F.first("n_words").alias("n_words"), F.first("lines").alias("lines")
+        F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch"), F.first("lines").alias("lines")
     )
     contents = stored(distinct, "contents")
     lines = contents.select("host", "digest", "n_words", F.inline("lines"))
-    frequent = boilerplate(contents, lines, min_documents, min_share)
-    own = _left(lines, frequent).join(contents.select("host", "digest", "n_words"), ["host", "digest"])
-    own = own.filter(F.col("left") * 100 >= F.col("n_words") * OWN_PERCENT).select("host", "digest")
+    frequent = stored(boilerplate(contents, lines, min_documents, min_share), "frequent-lines")
+    own = _left(lines, frequent).join(contents.select("host", "digest", "n_words", "sketch"), ["host", "digest"])
+    few_own = F.col("left") * 100 <= F.col("n_words") * (100 - FREQUENT_PERCENT)
+    copied = copies(stored(own.filter(few_own).select("host", "digest", "sketch"), "copy-candidates"))
     known = lines.join(frequent, ["host", "line"], "left_semi")
-    counted = known.join(own, ["host", "digest"], "left_semi")
-    lost = boilerplate(contents, counted, min_documents, min_share)
+    counted = known.join(copied, ["host", "digest"], "left_anti")
+    lost = stored(boilerplate(contents, counted, min_documents, min_share), "lost-lines")
     left = _left(lines, lost).join(contents.select("host", "digest", "n_words"), ["host", "digest"])
     few = (F.col("left") < LEFT_WORDS) | (F.col("left") * 100 < F.col("n_words") * LEFT_PERCENT)
-    return left.filter((F.col("left") < F.col("n_words")) & few).select("host", "digest")
+    depleted = left.filter((F.col("left") < F.col("n_words")) & few).select("host", "digest")
+    gone = lines.join(lost, ["host", "line"], "left_semi").groupBy("host", "digest")
+    return depleted, gone.agg(F.collect_set("line").alias("gone"))
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
 
 
 def quality_rules(
@@ -165,7 +212,7 @@ def quality_rules(
     A document fails the base rules with fewer than 10 words, or when over
     20 % of its words lie in five-word windows that repeat in it. Of the
     others those are not kept which are depleted once the lines that many
-    documents of their host share are removed (``depleted_contents``).
+    documents of their host share are removed (``judged_contents``).
 
     A null text is an empty one and fails; a null host is a host of its own.
     Repeated rows are judged alike, each with its own result row. Column
@@ -176,12 +223,10 @@ def quality_rules(
         F.struct(*keep).alias("kept_columns"), F.coalesce(host, F.lit("")).alias("host"), F.col(text).alias("text")
     )
     stats = stored(text_stats(named, ["kept_columns", "host"], "text"), "text-stats")
-    depleted = depleted_contents(stats).withColumn("depleted", F.lit(True))
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
-    )
+    depleted = judged_contents(stats)[0].withColumn("depleted", F.lit(True))
+    failed = _base_failed()
     return (
-        stats.drop("lines")
+        stats.drop("lines", "sketch")
         .join(depleted, ["host", "digest"], "left")
         .select(
             "kept_columns.*",

@@ -133,6 +133,20 @@ def test_shared_lines_deplete_documents(spark):
     assert [i for i, k in kept.items() if not k] == [100]
 
 
+def test_template_pages_are_documents(spark):
+    """Pages of the same menu and a few own words count for its lines; edited copies count once."""
+    menu = "\n".join(" ".join(f"menu{i}item{k}" for k in range(8)) for i in range(5))
+    rows = [(i, f"{menu}\n{_prose(i, 8)}", "a") for i in range(300)]
+    text = [_prose(5000 + k, 20) for k in range(6)]
+    for i in range(60):  # near copies, each with a word of one line edited
+        own = list(text)
+        own[i % 6] = own[i % 6].replace(f"v{i % 20}", f"edited{i}x", 1)
+        rows.append((1000 + i, "\n".join(own), "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules(docs, ["doc_id"]).collect()}
+    assert [i for i, k in kept.items() if k] == [i for i in kept if i >= 1000]
+
+
 def test_classifier_holds_out_a_quarter_and_is_accurate(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
