@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 7
+#: Ids that rows share are broadcast up to so many.
+BROADCAST_IDS = 100_000
 #: Sources without a weight of their own.
 DEFAULT_WEIGHT = 1.0
 #: Rows drawn in all, as a multiple of the rows given.
@@ -59,6 +61,25 @@ def rates(docs: DataFrame, source: str, weights: dict[str, float], default: floa
     return sizes.select("source", (share / F.col("rows")).alias("rate"))
 
 
+def _numbered(docs: DataFrame, id_column: str) -> DataFrame:
+    """``row``, the columns of ``docs``, and ``number``: what tells rows of one id apart, null where the id is unique.
+
+    It is a hash of the whole row and a count of its equals.
+    """
+    name = F.coalesce(F.concat(F.lit("i"), F.col(id_column).cast("string")), F.lit(""))
+    packed = docs.select(F.struct(*docs.columns).alias("row"), name.alias("name"))
+    single = packed.select("row", F.lit(None).cast("string").alias("number"))
+    shared = stored(packed.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "shared-ids")
+    if not (known := shared.count()):
+        return single
+    shared = F.broadcast(shared) if known <= BROADCAST_IDS else shared
+    single = packed.join(shared, "name", "left_anti").select("row", F.lit(None).cast("string").alias("number"))
+    equal = packed.join(shared, "name", "left_semi").groupBy("row").agg(F.count("*").alias("n"))
+    each = equal.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("k"))
+    number = F.concat_ws("-", F.xxhash64("row").cast("string"), F.col("k").cast("string"))
+    return single.unionByName(each.select("row", number.alias("number")))
+
+
 def mixed(
     docs: DataFrame,
     weights: dict[str, float],
@@ -71,24 +92,27 @@ def mixed(
     """``docs`` repeated to the sources' target weights and shuffled: ``row``, ``rate``, ``copy``, ``shuffle_key``.
 
     Each row is repeated a Poisson number of times, whose mean is its source's
-    target repetitions: the quantile is a hash of the seed and the id, so the
+    target repetitions: the quantile is a hash of the seed and the id (and, where
+    rows share it, of the row and its number among equal ones), so the
     result does not depend on partitions or on lost executors. A mean above 32
     is drawn as a sum of parts. ``copy`` counts a row's repetitions from 0.
     The rows are dealt out and sorted by ``shuffle_key``, a hash of seed, id
     and copy: a random order over the whole table.
 
     A null source is a source of its own, a null id is drawn like any other.
-    Rows that share an id are repeated equally often. ``row`` holds the
+    Rows that share an id are drawn and placed one by one. ``row`` holds the
     columns of ``docs``, whatever their names; an empty table gives none.
     """
-    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    packed = _numbered(docs, id_column)
     own = rates(docs, source, weights, default, epochs)
     # A few rows per source: a null-safe lookup whose large side adaptive execution may split.
     keyed = packed.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col(f"row.{source}")), F.lit("")))
     found = keyed.join(
         own.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("key"), "rate"), "key"
     )
-    identity = F.col(f"row.{id_column}")
+    identity = F.concat_ws(
+        ":", F.coalesce(F.col(f"row.{id_column}").cast("string"), F.lit("null")), F.col("number")
+    )
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
     mean = F.col("rate") / parts
     draws = F.transform(
@@ -98,7 +122,8 @@ def mixed(
     copies = F.aggregate(draws, F.lit(0).cast("long"), lambda total, x: total + x)
     repeated = found.withColumn("copies", copies).filter("copies > 0")
     repeated = repeated.select(
-        "row", "rate", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+        "row", "rate", "number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
     )
-    shuffle_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("place"), F.coalesce(identity.cast("string"), F.lit("null")), "copy"))
-    return repeated.withColumn("shuffle_key", shuffle_key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    shuffle_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("place"), identity, "copy"))
+    placed = repeated.select("row", "rate", "copy", shuffle_key.alias("shuffle_key"))
+    return placed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -272,6 +272,17 @@ def test_mixing_reaches_the_weights(spark, awkward):
     assert mixed(awkward.limit(0), WEIGHTS).collect() == []
 
 
+def test_rows_of_one_id_are_drawn_one_by_one(spark):
+    """A null id and a shared id in a third of the rows each, some rows equal."""
+    rows = [((None, 5, i)[i % 3], "a" if i % 2 else "b", f"text {i // 12}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    made = mixed(df, {"a": 0.5, "b": 1.5}).collect()
+    for name in (None, 5):
+        own = [r for r in made if r.row.doc_id == name]
+        assert {s: sum(r.row.source == s for r in own) for s in "ab"} == {"a": pytest.approx(500, rel=0.15), "b": pytest.approx(1500, rel=0.1)}
+    assert len({r.shuffle_key for r in made}) == len(made)
+
+
 # Top-k
 
 
