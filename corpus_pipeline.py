@@ -5,7 +5,7 @@ from __future__ import annotations
 from gleaner.llm.mixing import mixed
 from gleaner.llm.packing import pack
 from gleaner.llm.personal_data import redact
-from gleaner.llm.quality_rules import quality_rules
+from gleaner.llm.quality_rules import cleaned
 from gleaner.llm.queries import WEIGHTS
 from gleaner.llm.simhash import simhash_components
 from gleaner.llm.tasks import stored
@@ -14,14 +14,10 @@ from pyspark.sql import functions as F
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; rows of one source and text are judged alike."""
-    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    source = F.coalesce("source", F.lit(""))
-    named = docs.select(digest.alias("digest"), source.alias("source"), "text")
-    rejected = quality_rules(named, ["digest", "source"]).filter("not kept")
-    rejected = rejected.select(F.struct("digest", "source").alias("key")).distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.struct(digest, source).alias("key"))
-    return keyed.join(rejected, "key", "left_anti").select("row.*")
+    """Documents that the quality rules keep, without their host's boilerplate lines; ``n_chars`` follows."""
+    clean = cleaned(docs)
+    changed = F.length("text").cast(clean.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), changed))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,3 +235,27 @@ def quality_rules(
             (~failed & F.col("depleted").isNull()).alias("kept"),
         )
     )
+
+
+def cleaned(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
+    """The documents that the rules keep, their texts without the boilerplate lines of their host."""
+    digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest")
+    named = docs.select(
+        F.struct(*docs.columns).alias("row"), F.coalesce(host, F.lit("")).alias("host"), F.col(text).alias("text"), digest
+    )
+    stats = stored(text_stats(named, ["host"], "text"), "text-stats")
+    depleted, gone = judged_contents(stats)
+    rejected = stats.filter(_base_failed()).select("host", "digest").unionByName(depleted).distinct()
+    kept = named.join(rejected, ["host", "digest"], "left_anti").join(gone, ["host", "digest"], "left")
+
+    def make():
+        def run(texts: list, lost: list) -> dict[str, list]:
+            pairs = zip(texts, lost, strict=True)
+            return {"clean": [without_lines(t, own) if t and own else t for t, own in pairs]}
+
+        return run
+
+    made = map_rows(kept, ["row"], ["text", "gone"], [T.StructField("clean", T.StringType())], make)
+    return made.select(
+        *(F.col("clean").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
+    )

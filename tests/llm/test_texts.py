@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from gleaner.llm.personal_data import Finder, personal_data, redact, redacted
 from gleaner.llm.quality_classifier import FEATURES, Model, Passages, fit, fitted, quality_scores
-from gleaner.llm.quality_rules import quality_rules, repeated_words
+from gleaner.llm.quality_rules import cleaned, quality_rules, repeated_words
 from gleaner.llm.queries import QUERIES
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,6 +133,15 @@ def test_shared_lines_deplete_documents(spark):
     assert [i for i, k in kept.items() if not k] == [100]
 
 
+def test_boilerplate_lines_are_removed(spark):
+    header = "this header stands on every page of the host and is long enough to count"
+    rows = [(i, f"{header}\n{_prose(i)}\n\nlast of {_prose(i, 3)}", "a") for i in range(40)]
+    rows += [(100, f"{header}\n{_prose(100)}", "other"), (101, f"{header}\nbut little", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = {r.doc_id: r.text for r in cleaned(docs).collect()}
+    assert made == {i: t.removeprefix(f"{header}\n") if s == "a" else t for i, t, s in rows if i != 101}
+
+
 def test_template_pages_are_documents(spark):
     """Pages of the same menu and a few own words count for its lines; edited copies count once."""
     menu = "\n".join(" ".join(f"menu{i}item{k}" for k in range(8)) for i in range(5))
