@@ -23,8 +23,6 @@ MIN_SUPPORT = 0.001
 #: and fit at least so many labelled rows to be blocked.
 MIN_ROWS = 20
 MIN_CONFIDENCE = 0.6
-#: Tokens of a labelled URL that combinations are mined from, so that these stay bounded; URLs are judged by all theirs.
-MINED_TOKENS = 10
 #: Labelled rows to learn from, drawn by a hash of the URL beyond that.
 LABELLED_ROWS = 5_000_000
 #: The rules are broadcast up to so many.
@@ -64,10 +62,10 @@ def tokens(url: Column, host_column: Column, path_column: Column) -> Column:
     """Distinct tokens of a URL: labels of the host by level, words of the host, parts of the path, extension, keys."""
     labels = F.reverse(F.split(host_column, r"\."))
     hosts = F.transform(labels, lambda x, i: F.concat(F.lit("h"), i.cast("string"), F.lit(":"), x))
-    words = F.transform(F.filter(F.split(host_column, r"[.-]"), lambda x: F.length(x) > 3), lambda x: F.concat(F.lit("w:"), x))
-    parts = F.filter(F.split(_lower_ascii(path_column), "/"), lambda x: x.rlike(r"\A[^0-9]{1,64}\z"))
+    words = F.transform(F.filter(F.split(host_column, r"[.-]"), lambda x: x != ""), lambda x: F.concat(F.lit("w:"), x))
+    parts = F.filter(F.split(_lower_ascii(path_column), "/"), lambda x: x != "")
     parts = F.transform(parts, lambda x: F.concat(F.lit("p:"), x))
-    extension = F.regexp_extract(path_column, r"\.([A-Za-z]{1,8})\z", 1)
+    extension = F.regexp_extract(path_column, r"\.([A-Za-z0-9]+)\z", 1)
     extension = F.when(extension != "", F.array(F.concat(F.lit("x:"), extension))).otherwise(F.array().cast("array<string>"))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1)
     keys = F.filter(F.transform(F.split(query, "&"), lambda x: F.regexp_extract(x, r"\A([^=]*)", 1)), lambda x: x != "")
@@ -75,18 +73,46 @@ def tokens(url: Column, host_column: Column, path_column: Column) -> Column:
     return F.array_distinct(F.concat(words, hosts, parts, extension, keys))
 
 
+def mined_tokens(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """The tokens of enough labelled rows and what they are mined as: (token, item).
+
+    No combination with a rarer token has the support. Tokens of the very same
+    rows are one item, so that combinations of these are not listed.
+    """
+    # Numbers of stored rows, fixed by their files.
+    numbered = labelled.filter(F.size("tokens") > 0).select(F.monotonically_increasing_id().alias("row"), "tokens")
+    rows = numbered.count()
+    counted = numbered.select(F.xxhash64("row").alias("row"), F.explode("tokens").alias("token")).groupBy("token")
+    mark = F.col("row").cast("decimal(20,0)")
+    counted = counted.agg(F.count("*").alias("n"), F.sum(mark).alias("rows"), F.bit_xor("row").alias("mark"))
+    counted = counted.filter((F.col("n") >= F.lit(min_support * rows)) & (F.col("n") >= MIN_ROWS))
+    alike = counted.groupBy("n", "rows", "mark").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
+    return stored(alike.select(F.explode("tokens").alias("token"), "item"), "mined-tokens")
+
+
+def _items(sets: DataFrame, keep: list[str], items: DataFrame) -> DataFrame:
+    """``keep`` and the items of the rows' tokens, for rows that have some."""
+    exploded = sets.select(*keep, F.explode("tokens").alias("token"))
+    return exploded.join(items, "token").groupBy(*keep).agg(F.collect_set("item").alias("items"))
+
+
 def association_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    labelled: DataFrame,
+    items: DataFrame,
+    min_support: float = MIN_SUPPORT,
+    min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """Token combinations that point to blocking: (needed, confidence, support) from (tokens, blocked).
+    """Item combinations that point to blocking: (needed, confidence, support) from (tokens, blocked).
 
-    FP-growth finds the combinations in the first tokens of each row; those of too little support or
+    FP-growth finds the combinations in all ``items`` of each row; those of too little support or
     confidence go, and those with a shorter combination among them that is as
     confident.
     """
-    mined = F.slice("tokens", 1, MINED_TOKENS)
-    items = F.when(F.col("blocked"), F.array_append(mined, F.lit(BLOCKED))).otherwise(mined)
-    baskets = labelled.filter(F.size("tokens") > 0).select(items.alias("items"))
+    numbered = labelled.filter(F.size("tokens") > 0).withColumn("row", F.monotonically_increasing_id())
+    found = _items(numbered, ["row"], items)
+    own = F.coalesce("items", F.array().cast("array<string>"))
+    own = F.when(F.col("blocked"), F.array_append(own, F.lit(BLOCKED))).otherwise(own)
+    baskets = stored(numbered.select("row", "blocked").join(found, "row", "left").select(own.alias("items")), "baskets")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BLOCKED)))
     rules = rules.filter(F.round(F.col("support") * baskets.count()) >= MIN_ROWS)
@@ -109,12 +135,14 @@ def association_rules(
     return rules.join(covered, "needed", "left_anti")
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def matched(urls: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
     """The confidence of the best association rule that fits: (tokens, confidence) for distinct token sets.
 
+    A rule fits a URL that has a token of each item it needs.
+
     An inverted index has each rule under its token that the fewest rules
-    need. The URLs' tokens fetch candidates there, of which those fit that
-    need no other token.
+    need. The URLs' items fetch candidates there, of which those fit that
+    need no other.
     """
     needed = rules.select("needed", "confidence", F.explode("needed").alias("token"))
     common = needed.groupBy("token").agg(F.count("*").alias("n"))
@@ -123,11 +151,11 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     index = stored(index, "rule-index")
     if index.count() <= BROADCAST_RULES:
         index = F.broadcast(index)
-    sets = urls.select("tokens").distinct()
+    sets = _items(urls.select("tokens").distinct(), ["tokens"], items)
     return (
-        sets.select("tokens", F.explode("tokens").alias("token"))
+        sets.select("tokens", "items", F.explode("items").alias("token"))
         .join(index, "token")
-        .filter(F.size(F.array_except("needed", "tokens")) == 0)
+        .filter(F.size(F.array_except("needed", "items")) == 0)
         .groupBy("tokens")
         .agg(F.max("confidence").alias("confidence"))
     )
@@ -168,8 +196,9 @@ def judged(
     if known > LABELLED_ROWS:
         drawn = F.pmod(F.xxhash64("id"), F.lit(known))
         labelled = labelled.filter(drawn < LABELLED_ROWS)
-    mined = association_rules(labelled, min_support, min_confidence)
-    found = matched(parsed, mined)
+    items = mined_tokens(labelled, min_support)
+    mined = association_rules(labelled, items, min_support, min_confidence)
+    found = matched(parsed, mined, items)
     given = fitting_rule(rules)
     learnt = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return (

@@ -378,3 +378,22 @@ def test_urls_by_association(spark):
     for r in made:
         bad = "mixed" in r.host and "casino" in r.path
         assert (r.verdict, r.confidence) == (("block", 1.0) if bad else ("allow", None))
+
+
+def test_urls_by_all_their_tokens(spark):
+    """What is bad shows in the query, the extension, a part with digits or a short host word of a long URL."""
+    deep = "a/b/c/d/e/f/g/h/i/j/k/l/m"
+    kinds = [
+        f"http://one.two.three.four.net/{deep}/x.html?bad=1", f"http://one.two.three.four.net/{deep}/x.html?good=1",
+        f"http://www.files.net/{deep}/x.mp3", f"http://www.files.net/{deep}/x.txt",
+        "http://www.lists.net/top10/x", "http://www.lists.net/top20/x", "http://sex-n.net/", "http://sea-n.net/",
+        f"http://www.long.net/{'y' * 70}/x", f"http://www.long.net/{'z' * 70}/x",
+    ]
+    pages = [(i, kinds[i % 10]) for i in range(600)]
+    labels = [(i, i % 2, 0) for i in range(500)]
+    made = url_filter.judged(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        min_support=0.05,
+    ).collect()
+    assert all((r.verdict, r.confidence) == (("allow", None) if r.page_id % 2 else ("block", 1.0)) for r in made)
