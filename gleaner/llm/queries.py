@@ -10,6 +10,7 @@ from gleaner.llm.quality_rules import quality_rules
 from gleaner.llm.sharding import shard_digests
 from gleaner.llm.simhash import simhash_components
 from gleaner.llm.substring_dedup import substring_dedup
+from gleaner.llm.tasks import stored
 from gleaner.llm.topk import exact_topk
 from gleaner.llm.url_filter import judged
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +58,8 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "source")
-    return mixed(docs, WEIGHTS).select("row.doc_id", "row.source", "rate", "copy", "shuffle_key")
+    whole = stored(mixed(_table(spark, folder, "documents"), WEIGHTS), "mixed")
+    return whole.select("row.doc_id", "row.source", "rate", "copy", "shuffle_key")
 
 
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

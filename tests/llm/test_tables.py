@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from gleaner.llm import packing, sharding, simhash, substring_dedup, topk, url_filter
+from gleaner.llm import packing, queries, sharding, simhash, substring_dedup, topk, url_filter
 from gleaner.llm.components import components
 from gleaner.llm.mixing import mixed
 from gleaner.llm.queries import QUERIES, WEIGHTS
@@ -397,3 +397,10 @@ def test_urls_by_all_their_tokens(spark):
         min_support=0.05,
     ).collect()
     assert all((r.verdict, r.confidence) == (("allow", None) if r.page_id % 2 else ("block", 1.0)) for r in made)
+
+
+def test_the_mixture_is_of_whole_documents(spark, docs, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "stored", lambda df, name: made.append(df.select("row.*").columns) or df)
+    QUERIES["op9_mixing"](spark, FOLDER)
+    assert made == [docs.columns]
