@@ -351,6 +351,31 @@ def extract_large_vocabulary(spark, folder):
     return shown(found, "doc_id")
 
 
+@query
+def extract_terms_lookup(spark, folder):
+    return shown(extracted(spark, folder, matcher="lookup"), "job_id")
+
+
+def passage_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    """Single words, and whole passages: the benchmark items without symbols at their ends."""
+    passage = F.regexp_replace("text", rf"\A{NOT_WORD}+|{NOT_WORD}+\z", "").alias("term")
+    items = table(spark, folder, "benchmark").select(passage, F.lit("custom").alias("category"))
+    return vocabulary.match_vocabulary(document_dictionary(spark).unionByName(items))
+
+
+@query
+def extract_passages(spark, folder):
+    """Passages of hundreds of characters are terms like any others, in one plan."""
+    patterns = passage_patterns(spark, folder)
+    return shown(extract_terms(documents(spark, folder), patterns, "text", matcher="lookup"), "doc_id")
+
+
+@query
+def extract_passages_join(spark, folder):
+    patterns = passage_patterns(spark, folder)
+    return shown(extract_terms(documents(spark, folder), patterns, "text", matcher="join"), "doc_id")
+
+
 @query
 def extract_longest_first(spark, folder):
     return shown(extracted_parts(spark, folder), "job_id", "p_name")

@@ -265,6 +265,18 @@ def distinct_words(source: str) -> str:
         WHERE word <> ''"""
 
 
+PASSAGES = f"""
+    WITH vocabulary AS (
+        SELECT DISTINCT lower(regexp_replace(text, '^[^{WORDS}]+|[^{WORDS}]+$', '', 'g')) AS term FROM benchmark
+        UNION SELECT unnest([{", ".join(literal(t.lower()) for group in DOCUMENT_TERMS.values() for t in group)}])),
+    pattern AS (
+        SELECT '(?i)(?:' || string_agg({fenced("regexp_escape(term)")}, '|' ORDER BY length(term) DESC, term) || ')' AS p
+        FROM vocabulary),
+    matched AS (
+        SELECT doc_id, list_transform(regexp_extract_all({fenced("text")}, p), lambda x: lower({unfenced("x")})) AS matched
+        FROM documents, pattern)
+    SELECT doc_id, coalesce(array_to_string(skills, '|'), '') AS skills, CAST(len(skills) AS INTEGER) AS skill_count
+    FROM (SELECT doc_id, {distinct_in_order("matched")} AS skills FROM matched)"""
 RULES_ONE = f"SELECT * EXCLUDE (role) FROM ({rules(DOCUMENTS, repr('all'))})"
 FREQUENCIES = f"SELECT skill, count FROM ({stats(DOCUMENTS, repr('all'))})"
 REPORT = extracted("doc_id", f"(SELECT * FROM {GAPPY} WHERE NOT {NO_TEXT})", abbreviate=True)
@@ -331,6 +343,9 @@ ORACLE: dict[str, str] = {
     # Extraction
     "extract_terms_pattern": shown("job_id", DOCUMENTS),
     "extract_terms_join": shown("job_id", DOCUMENTS),
+    "extract_terms_lookup": shown("job_id", DOCUMENTS),
+    "extract_passages": PASSAGES,
+    "extract_passages_join": PASSAGES,
     "extract_large_vocabulary": f"""
         WITH vocabulary AS ({distinct_words("benchmark")}),
         tokens AS (

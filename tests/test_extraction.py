@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -22,6 +24,9 @@ TEXTS = [
 ]
 
 
+MATCHERS = ["pattern", "lookup", "join"]
+
+
 def table(spark, vocabulary):
     return spark.createDataFrame(list(vocabulary.items()), "pattern string, canonical string")
 
@@ -36,7 +41,7 @@ def expected(values, vocabulary, **options):
     return [model.match(text, vocabulary, **options) if text else [] for text in values]
 
 
-@pytest.mark.parametrize("matcher", ["pattern", "join"])
+@pytest.mark.parametrize("matcher", MATCHERS)
 @pytest.mark.parametrize("distinct", [True, False])
 @pytest.mark.parametrize("case_sensitive", [True, False])
 def test_both_matchers_follow_the_model(spark, texts, matcher, distinct, case_sensitive):
@@ -50,7 +55,7 @@ def test_both_matchers_follow_the_model(spark, texts, matcher, distinct, case_se
     assert found == expected(TEXTS, VOCABULARY, distinct=distinct, case_sensitive=case_sensitive)
 
 
-@pytest.mark.parametrize("matcher", ["pattern", "join"])
+@pytest.mark.parametrize("matcher", MATCHERS)
 def test_single_words(spark, texts, matcher):
     vocabulary = {"the": "the", "ring": "band", "small": "small", "js": "javascript"}
     found = run(texts(*TEXTS), table(spark, vocabulary), matcher=matcher)
@@ -66,8 +71,8 @@ def test_random_vocabularies(spark, texts, terms, values):
     vocabulary = {term: term for term in terms}
     patterns, df = table(spark, vocabulary), texts(*values)
     wanted = expected(values, vocabulary, distinct=False)
-    assert run(df, patterns, matcher="pattern", remove_duplicates=False) == wanted
-    assert run(df, patterns, matcher="join", remove_duplicates=False) == wanted
+    for matcher in MATCHERS:
+        assert run(df, patterns, matcher=matcher, remove_duplicates=False) == wanted
 
 
 def test_shuffled_vocabulary_join(spark, texts, monkeypatch):
@@ -76,16 +81,55 @@ def test_shuffled_vocabulary_join(spark, texts, monkeypatch):
     assert run(texts(*values), table(spark, VOCABULARY), matcher="join") == expected(values, VOCABULARY)
 
 
-def test_large_vocabulary_switches_to_the_join(spark, texts, monkeypatch):
+def test_larger_vocabularies_change_the_matcher(spark, texts, monkeypatch):
     monkeypatch.setattr(extraction, "PATTERN_TERMS", 3)
     patterns = table(spark, VOCABULARY)
     assert extraction.collect_vocabulary(patterns) is None
     assert run(texts(*TEXTS), patterns) == expected(TEXTS, VOCABULARY)
     with pytest.raises(ValueError):
         run(texts(*TEXTS), patterns, matcher="pattern")
+    monkeypatch.setattr(extraction, "LOOKUP_BYTES", 10)
+    assert run(texts(*TEXTS), patterns) == expected(TEXTS, VOCABULARY)
+    with pytest.raises(ValueError):
+        run(texts(*TEXTS), patterns, matcher="lookup")
+
+
+def test_lookup_plan_has_no_shuffle(spark, texts):
+    df = extract_terms(texts(*TEXTS), table(spark, VOCABULARY), "text", matcher="lookup")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
-@pytest.mark.parametrize("matcher", ["auto", "join"])
+@pytest.mark.parametrize("matcher", ["lookup", "join"])
+def test_long_texts_take_time_in_proportion(spark, texts, matcher):
+    """Many hits, all of them overlapping the next one, in texts of one length and twice that."""
+    passage = " ".join(f"w{i}" for i in range(8))
+    vocabulary = {p: p for p in ("a b", "b a", "a b a", "x", passage)}
+    patterns, seconds = table(spark, vocabulary), []
+    for words in (20_000, 40_000):
+        text = " ".join(["a b a x b a", passage] * (words // 14))
+        df = texts(text, text + " x")
+        seconds.append(9e9)
+        for _ in range(3):
+            start = time.perf_counter()
+            found = run(df, patterns, matcher=matcher, remove_duplicates=False)
+            seconds[-1] = min(seconds[-1], time.perf_counter() - start)
+        assert found[0] == ["a b a", "x", "b a", passage] * (words // 14)
+        assert found[1] == [*found[0], "x"]
+    assert seconds[1] <= 2.5 * seconds[0]
+
+
+def test_a_long_common_beginning_is_no_hot_key(spark, texts):
+    """Terms are found by the words that the fewest terms have."""
+    vocabulary = {f"in the year of our lord {i} and {i % 7}": str(i) for i in range(500)}
+    keyed = extraction._keyed_patterns(table(spark, vocabulary))
+    assert max(r["count"] for r in keyed.groupBy("key").count().collect()) == 1
+    text = "in the year of our lord 17 and 3, in the year of our lord 18 and 3"
+    for matcher in ("lookup", "join"):
+        assert run(texts(text), table(spark, vocabulary), matcher=matcher) == [["17"]]
+
+
+@pytest.mark.parametrize("matcher", ["auto", "lookup", "join"])
 def test_empty_vocabulary(spark, texts, matcher):
     patterns = spark.createDataFrame([], "pattern string, canonical string")
     assert run(texts("a b", None), patterns, matcher=matcher) == [[], []]
@@ -175,6 +219,6 @@ def test_long_terms_by_join(spark):
     terms = {passage: "passage", "w0 w1": "pair", "w1 w2": "other", "c++": "c++", ".net": "net", "w2": "two"}
     rows = spark.createDataFrame(list(enumerate(values)), "id long, processed_text string")
     table = spark.createDataFrame(list(terms.items()), "pattern string, canonical string")
-    for matcher in ("pattern", "join"):
+    for matcher in MATCHERS:
         made = extract_terms(rows, table, matcher=matcher, remove_duplicates=False).orderBy("id").collect()
         assert [r.extracted_skills for r in made] == [model.match(v, terms, distinct=False) for v in values]
