@@ -8,6 +8,8 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import sys
+import threading
 import time
 
 from gleaner.functions.cleaning import clean_text
@@ -23,12 +25,15 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
 PATTERNS = 450
 RUNS = 2
+#: Seconds for all runs of one query.
+LIMIT = 90
 
 HEADLINES = (
     "clean_text",
     "clean_html",
     "expand_abbreviations_words",
     "extract_terms_pattern",
+    "extract_terms_lookup",
     "extract_terms_join",
     "extract_large_vocabulary",
     "extract_html",
@@ -54,19 +59,40 @@ def frequent_words(spark: SparkSession) -> DataFrame:
     return ranked.select("term", F.lit("custom").alias("category"))
 
 
-def run(make) -> float:
-    """The median of some runs, each planned and computed anew; the first run warms up."""
+def run(spark: SparkSession, name: str, make) -> float | None:
+    """The median of some runs, each planned and computed anew; the first run warms up.
+
+    None if the runs together take longer than the limit; the others go on.
+    """
+    late = threading.Event()
+
+    def stop() -> None:
+        late.set()
+        spark.sparkContext.cancelAllJobs()
+
     times = []
-    for _ in range(RUNS + 1):
-        start = time.perf_counter()
-        make().write.format("noop").mode("overwrite").save()
-        times.append(time.perf_counter() - start)
-    return statistics.median(times[1:])
+    timer = threading.Timer(LIMIT, stop)
+    timer.start()
+    try:
+        for _ in range(RUNS + 1):
+            start = time.perf_counter()
+            make().write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - start)
+    except Exception as error:
+        if not late.is_set():
+            raise
+        print(f"{name}: stopped after {LIMIT} s ({type(error).__name__})", file=sys.stderr, flush=True)
+        return None
+    finally:
+        timer.cancel()
+    taken = statistics.median(times[1:])
+    print(f"{name}: {taken:.3f}", file=sys.stderr, flush=True)
+    return taken
 
 
 def main() -> None:
     spark = local_session(CPUS)
-    queries = {name: run(lambda name=name: QUERIES[name](spark, FOLDER)) for name in HEADLINES}
+    queries = {name: run(spark, name, lambda name=name: QUERIES[name](spark, FOLDER)) for name in HEADLINES}
 
     # The stages of the reference measurement, over a vocabulary of its size.
     count = documents(spark, FOLDER).count()
@@ -80,11 +106,16 @@ def main() -> None:
     def extracted(df: DataFrame) -> DataFrame:
         return extract_terms(df, vocabulary, lowered=True).drop("processed_text")
 
-    stages = {"clean": run(cleaned), "end_to_end": run(lambda: extracted(cleaned()))}
+    stages = {
+        "clean": run(spark, "clean", cleaned),
+        "end_to_end": run(spark, "end_to_end", lambda: extracted(cleaned())),
+    }
     prepared = cleaned().cache()
     prepared.count()
-    stages["extract"] = run(lambda: extracted(prepared))
+    stages["extract"] = run(spark, "extract", lambda: extracted(prepared))
     prepared.unpersist()
+    stages = {name: seconds for name, seconds in stages.items() if seconds}
+    queries = {name: seconds for name, seconds in queries.items() if seconds}
     queries |= {f"stage_{name}_{PATTERNS}": seconds for name, seconds in stages.items()}
     print(
         json.dumps(
