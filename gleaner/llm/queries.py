@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gleaner.llm.hard_negatives import hard_negatives
+from gleaner.llm.merkle import manifest
 from gleaner.llm.mixing import mixed
 from gleaner.llm.packing import pack
 from gleaner.llm.personal_data import personal_data
@@ -10,6 +12,7 @@ from gleaner.llm.quality_rules import quality_rules
 from gleaner.llm.sharding import shard_digests
 from gleaner.llm.simhash import simhash_components
 from gleaner.llm.substring_dedup import substring_dedup
+from gleaner.llm.suffix_dedup import suffix_dedup
 from gleaner.llm.tasks import stored
 from gleaner.llm.topk import exact_topk
 from gleaner.llm.url_filter import judged
@@ -66,6 +69,24 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(_table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh label is changed first, so that near rows of another label exist."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").withColumn("label", changed)
+    return hard_negatives(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows are checked with one more character noted, where 7 divides the id's CRC-32."""
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    noted = F.when(struck, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return manifest(_table(spark, folder, "documents"), {"n_chars": noted})
+
+
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,5 +100,8 @@ QUERIES = {
         op8_sharding,
         op9_mixing,
         op10_substring_dedup,
+        op11_hard_negatives,
+        op12_merkle_manifest,
+        op13_suffix_dedup,
     )
 }

@@ -1,0 +1,91 @@
+"""Hard negatives against a loop over all pairs."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from gleaner.llm import hard_negatives
+from gleaner.llm.queries import QUERIES
+from gleaner.llm.sql import ORACLE
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tests.compare import connect, difference
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id long, v string, blocks int"
+
+
+def held_to_64_bits(score):
+    return max(-(1 << 63), min(score, (1 << 63) - 1))
+
+
+def brute(rows, anchor_ids, positives=5, negatives=10):
+    """``rows`` are (id, vector, label)."""
+    fine = []
+    for i, vector, label in rows:
+        if i is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        fine.append((i, label, [math.floor(256 * float(np.float32(x))) for x in vector]))
+    held = {}
+    for i, label, v in fine:
+        if i in anchor_ids:
+            held[i] = min(held.get(i, (label, v)), (label, v))
+    out = []
+    for i, (label, v) in held.items():
+        scored = [(-held_to_64_bits(sum(a * b for a, b in zip(v, w, strict=False))), j, kind) for j, kind, w in fine if j != i]
+        best = sorted((s, j) for s, j, kind in scored if kind == label)[:positives]
+        for s, j in dict.fromkeys(best):
+            near = sorted((t, k) for t, k, kind in scored if kind != label and 30 * -s <= 100 * -t <= 90 * -s)
+            for rank, (t, k) in enumerate(near[:negatives], 1):
+                out.append((i, j, rank, k, -s, -t))
+    return Counter(out)
+
+
+def test_twin(spark):
+    folder = "/root/testdata/sf0.001"
+    assert difference(spark, folder, "op11_hard_negatives", QUERIES, ORACLE, connect(folder)) is None
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_awkward_vectors(spark, monkeypatch, seed):
+    """Nulls everywhere, ties, repeated rows and ids, other lengths, odd tiles, huge components, many blocks."""
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 7)
+    monkeypatch.setattr(hard_negatives, "CANDIDATES", 33)
+    monkeypatch.setattr(hard_negatives, "LEAF", 2)
+    draw = random.Random(seed)
+    rows = []
+    for i in range(150):
+        vector = [draw.choice([0.25, 0.5, 1.0, draw.gauss(0.3, 0.4)]) for _ in range(draw.choice([5, 5, 5, 9, 0]))]
+        rows.append((i, vector, draw.randrange(3)))
+    rows += [(10, rows[10][1], rows[10][2])] * 3 + [(20, rows[21][1], 1), (5, [0.5] * 5, 2)]
+    rows += [(None, [0.5] * 5, 1), (300, None, 1), (301, [0.5] * 5, None), (302, [0.5, None], 1)]
+    rows += [(303, [float("nan")] * 5, 1), (304, [float("inf")], 1), (305, [-0.5] * 5, 1), (306, [0.0] * 5, 0)]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    made = hard_negatives.hard_negatives(df, df.filter("vec_id % 10 = 0"))
+    assert Counter(map(tuple, made.collect())) == brute(rows, set(range(0, 400, 10)))
+    none = df.limit(0)
+    assert hard_negatives.hard_negatives(none, none).collect() == []
+    assert hard_negatives.hard_negatives(df, none).collect() == []
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = [(i, [3e6 * (1 + i % 4), 2e5 * i], i % 2) for i in range(60)]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    made = Counter(map(tuple, hard_negatives.hard_negatives(df, df.filter("vec_id < 8")).collect()))
+    assert made == brute(rows, set(range(8)))
+    assert len(made) > 100 and any(score == (1 << 63) - 1 for *_, score, _ in made)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(1, 40), st.integers(1, 40), st.integers(1, 70), st.integers(1, 5))
+def test_strassen_is_exact(m, k, n, leaf):
+    draw = np.random.default_rng(m * 1000 + k * 10 + n)
+    a, b = draw.integers(-(2**28), 2**28, (m, k)), draw.integers(-(2**28), 2**28, (k, n))
+    before, hard_negatives.LEAF = hard_negatives.LEAF, leaf
+    try:
+        assert (hard_negatives.strassen(a, b) == a @ b).all()
+        made = hard_negatives.strassen(a.astype(object) * 10**12, b.astype(object) * 10**12)
+    finally:
+        hard_negatives.LEAF = before
+    assert (made == (a.astype(object) @ b.astype(object)) * 10**24).all()
