@@ -48,21 +48,34 @@ def all_groups(tallied: DataFrame) -> DataFrame:
     )
 
 
-def _placed(tallied: DataFrame) -> DataFrame:
-    """The tally with the documents of the role (``total_jds``) and the place of each term."""
-    in_role = Window.partitionBy("role")
+def _totals(tallied: DataFrame) -> DataFrame:
+    """``(role, total_jds)``: the documents of each role."""
+    return tallied.groupBy("role").agg(_documents().alias("total_jds"))
+
+
+def _ranks(tallied: DataFrame, top_n: int) -> DataFrame:
+    """``(role, skill, docs, place)`` of the first terms of each role; ties rank in term order.
+
+    Each partition of the tally keeps its own first rows only, and these are
+    merged: no task sees the whole tally, also when there is one group.
+    """
+    # Marker rows sort behind all terms; a filter in front would be another tally.
     is_term = F.col("skill").isNotNull()
-    return tallied.select(
-        "role",
-        "skill",
-        "size",
-        "docs",
-        F.coalesce(F.sum(F.when(~is_term, F.col("docs"))).over(in_role), F.lit(0)).alias("total_jds"),
-        # The marker rows sort behind all terms.
-        F.row_number()
-        .over(in_role.orderBy(is_term.desc(), F.desc("docs"), "skill"))
-        .alias("place"),
-    )
+    place = F.row_number().over(Window.partitionBy("role").orderBy(is_term.desc(), F.desc("docs"), "skill"))
+    ranked = tallied.select("role", "skill", "docs", place.alias("place"))
+    return ranked.filter((F.col("place") <= top_n) & F.col("skill").isNotNull())
+
+
+def _with_totals(rows: DataFrame, tallied: DataFrame) -> DataFrame:
+    totals = _totals(tallied).withColumnRenamed("role", "_role")
+    return rows.join(totals, F.col("role").eqNullSafe(F.col("_role"))).drop("_role")
+
+
+def _placed(tallied: DataFrame, top_n: int) -> DataFrame:
+    """The tally with the documents of the role (``total_jds``) and the ``place`` of its first terms."""
+    ranks = _ranks(tallied, top_n).select(F.col("role").alias("_role"), F.col("skill").alias("_skill"), "place")
+    same = F.col("role").eqNullSafe(F.col("_role")) & (F.col("skill") == F.col("_skill"))
+    return _with_totals(tallied, tallied).join(ranks, same, "left").drop("_role", "_skill")
 
 
 def term_stats(tallied: DataFrame, top_n: int = 20) -> DataFrame:
@@ -71,15 +84,19 @@ def term_stats(tallied: DataFrame, top_n: int = 20) -> DataFrame:
     ``percentage`` is unrounded.  ``rank`` is null outside the first ``top_n``;
     ties rank in term order.
     """
+    # Marker rows count below zero: a filter on the term alone would move into the tally,
+    # which then were no longer one and the same for all its uses.
+    count = F.when(F.col("skill").isNull(), -F.col("docs")).otherwise(F.col("docs"))
     return (
-        _placed(tallied)
-        .filter("skill is not null")
+        _placed(tallied, top_n)
+        .withColumn("count", count)
+        .filter(F.col("count") > 0)
         .select(
             "role",
             "skill",
-            F.col("docs").alias("count"),
-            percentage(F.col("docs"), F.col("total_jds")).alias("percentage"),
-            F.when(F.col("place") <= top_n, F.col("place")).alias("rank"),
+            "count",
+            percentage(F.col("count"), F.col("total_jds")).alias("percentage"),
+            F.col("place").alias("rank"),
             "total_jds",
         )
     )
@@ -96,10 +113,13 @@ def document_frequency(df: DataFrame) -> DataFrame:
 
 def top_terms(tallied: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` terms of each role with count, rounded percentage and rank."""
-    return (
-        term_stats(tallied, n)
-        .filter(F.col("rank").isNotNull())
-        .select("role", "rank", "skill", "count", round2(F.col("percentage")).alias("percentage"))
+    share = percentage(F.col("docs"), F.col("total_jds"))
+    return _with_totals(_ranks(tallied, n), tallied).select(
+        "role",
+        F.col("place").alias("rank"),
+        "skill",
+        F.col("docs").alias("count"),
+        round2(share).alias("percentage"),
     )
 
 
@@ -156,8 +176,8 @@ def extraction_stats(df: DataFrame, text_column: str = "processed_text") -> Data
     )
 
 
-def _term_lists(top_n: int) -> list[Column]:
-    """All terms in alphabetical order, and the first ``top_n`` by rank."""
+def _term_lists() -> list[Column]:
+    """All terms in alphabetical order, and the first ones by rank."""
     is_term = F.col("skill").isNotNull()
     count = F.col("docs").alias("count")
     share = percentage(F.col("docs"), F.col("total_jds"))
@@ -165,7 +185,7 @@ def _term_lists(top_n: int) -> list[Column]:
     ranked = F.struct("place", "skill", count, round2(share).alias("percentage"))
     return [
         F.array_sort(F.collect_list(F.when(is_term, term))).alias("terms"),
-        F.array_sort(F.collect_list(F.when(is_term & (F.col("place") <= top_n), ranked))).alias("ranked"),
+        F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), ranked))).alias("ranked"),
     ]
 
 
@@ -192,7 +212,7 @@ def role_documents(tallied: DataFrame, top_n: int = 20) -> DataFrame:
         F.count("skill").alias("unique_skills"),
         _mean_size().alias("avg_skills_per_jd"),
     ]
-    grouped = _placed(tallied).groupBy("role").agg(*totals, *_term_lists(top_n))
+    grouped = _placed(tallied, top_n).groupBy("role").agg(*totals, *_term_lists())
     return grouped.select(
         "role",
         "total_jds",
@@ -206,7 +226,7 @@ def role_documents(tallied: DataFrame, top_n: int = 20) -> DataFrame:
 
 def dataset_document(tallied: DataFrame, top_n: int = 20) -> DataFrame:
     """One nested row: summary, ranking, all frequencies and percentages."""
-    grouped = _placed(all_groups(tallied)).agg(*_summary(), *_term_lists(top_n))
+    grouped = _placed(all_groups(tallied), top_n).agg(*_summary(), *_term_lists())
     summary = F.struct(*[name for name in grouped.columns if name not in ("terms", "ranked")])
     return grouped.select(
         summary.alias("summary"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.characters import NOT_SPACE
@@ -17,6 +17,9 @@ logger = logging.getLogger(__name__)
 # Where a row stands in the files read: (file, start of the split, number that grows within it).
 PLACE = "_place_in_files"
 
+# The same where the number within a file does not depend on how it was split: (file, row), rows from 0.
+STABLE_PLACE = "_stable_place_in_files"
+
 # Files, splits or partitions whose row counts are broadcast; more of them are joined by a shuffle.
 BROADCAST_PARTS = 100_000
 
@@ -50,23 +53,28 @@ def add_row_ids(
 
     An existing id column needs neither a shuffle nor a job: prefer it on
     large tables.  Generated ids follow the place in the files read
-    (``file_order``: parquet without a shuffle, CSV read with ``places``), or
+    (``file_order``: parquet without a shuffle; CSV, JSON lines and Excel read with ``places``), or
     ``order_by``, or else the order of the scan.  They are padded to one width for the whole table (3 digits at
     least).
     """
     if id_column and id_column in df.columns:
         return df.withColumn("job_id", F.col(id_column).cast("string"))
-    if file_order and PLACE in df.columns:
+    if file_order and STABLE_PLACE in df.columns:
+        numbered = number_stable_rows(df, "_number", "_total")
+    elif file_order and PLACE in df.columns:
         numbered = number_placed_rows(df, "_number", "_total")
     elif file_order:
         numbered = number_file_rows(df, "_number", "_total")
     else:
         numbered = number_rows(df, "_number", "_total", order_by=order_by)
-    number = (F.col("_number") + offset).cast("string")
-    width = F.greatest(F.lit(3), F.length((F.col("_total") + offset).cast("string")))
-    return numbered.withColumn(
-        "job_id", F.concat(F.lit(prefix + "_"), F.lpad(number, width, F.lit("0")))
-    ).drop("_number", "_total")
+    made = generated_id(F.col("_number") + offset, F.col("_total") + offset, prefix)
+    return numbered.withColumn("job_id", made).drop("_number", "_total")
+
+
+def generated_id(number: Column, total: Column, prefix: str = "jd") -> Column:
+    """``prefix_001`` for 1: as many digits as ``total`` has, 3 at least."""
+    width = F.greatest(F.lit(3), F.length(total.cast("string")))
+    return F.concat(F.lit(prefix + "_"), F.lpad(number.cast("string"), width, F.lit("0")))
 
 
 def number_file_rows(df: DataFrame, number: str, total: str) -> DataFrame:
@@ -84,6 +92,21 @@ def number_file_rows(df: DataFrame, number: str, total: str) -> DataFrame:
     )
 
 
+def number_stable_rows(df: DataFrame, number: str, total: str) -> DataFrame:
+    """Add consecutive numbers from 1 in file order, and the row count, to rows with their ``STABLE_PLACE``.
+
+    Only the rows per file are counted, by a scan of their own; the rows
+    themselves are neither moved nor written.
+    """
+    place = F.col(STABLE_PLACE)
+    sizes = df.groupBy(place["file"].alias("_file")).agg(F.count("*").alias("_size"))
+    return (
+        _with_starts(df.withColumn("_file", place["file"]), sizes, "_file", total)
+        .withColumn(number, F.col("_start") + place["row"] + 1)
+        .drop("_file", "_start", STABLE_PLACE)
+    )
+
+
 def number_placed_rows(df: DataFrame, number: str, total: str) -> DataFrame:
     """Add consecutive numbers from 1 in file order, and the row count, to rows with their ``PLACE``.
 

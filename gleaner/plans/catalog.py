@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import cleaning
 from gleaner.functions.abbreviations import expand_abbreviations
-from gleaner.functions.characters import NOT_WORD
+from gleaner.functions.characters import NOT_WORD, WORD
 from gleaner.functions.scalars import normalize_role, round2, safe_name
 from gleaner.operators import frequencies, rows, rules, vocabulary
 from gleaner.operators.extraction import extract_terms
@@ -25,6 +26,7 @@ from gleaner.plans.sample_terms import (
 )
 from gleaner.session import shared_folder
 from gleaner.sinks import writers
+from gleaner.sinks.workbooks import write_workbooks
 from gleaner.sources import dictionaries
 from gleaner.sources import documents as sources
 from gleaner.streaming import extraction as streaming
@@ -516,6 +518,69 @@ def part_role_top_terms(spark, folder):
     return frequencies.top_terms(tallied, 3)
 
 
+@query
+def roles_by_table(spark, folder):
+    """Roles by a map that is read off a table: brands are spelled in any case, their first part names the type."""
+    part = table(spark, folder, "part")
+    spelling = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_brand")).otherwise(F.col("p_brand"))
+    role_map = part.filter("p_brand != 'Brand#7'").select(
+        F.col("p_type").alias("canonical"), spelling.alias("spelling"), F.col("p_partkey").alias("pos")
+    )
+    tallied = extraction.role_tally(extracted_parts(spark, folder), "p_brand", role_map)
+    return frequencies.top_terms(tallied, 4)
+
+
+@query
+def maps_from_files(spark, folder):
+    """Extraction with a variation map and abbreviations that Spark has written as JSON files and read back."""
+    path = fresh_path(spark, "maps")
+    word = F.lower(F.regexp_extract("text", rf"({WORD}+){NOT_WORD}+({WORD}+)", 2))
+    first = table(spark, folder, "benchmark").select("item_id", word.alias("variation")).filter("length(variation) > 1")
+    owner = first.groupBy("variation").agg(F.concat(F.lit("item "), F.min("item_id")).alias("canonical"))
+    entry = F.struct("canonical", "variations")
+    listed = owner.groupBy("canonical").agg(F.sort_array(F.collect_list("variation")).alias("variations"))
+    one = listed.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("value"))
+    one.coalesce(1).write.text(f"{path}/variations.json")
+    short = spark.createDataFrame([(json.dumps(ABBREVIATIONS),)], "value string")
+    short.coalesce(1).write.text(f"{path}/abbreviations.json")
+    result = extraction.extraction_result(
+        documents(spark, folder),
+        "text",
+        document_dictionary(spark),
+        dictionaries.read_variations(spark, f"{path}/variations.json"),
+        id_column="doc_id",
+        abbreviations=dictionaries.read_map(spark, f"{path}/abbreviations.json"),
+    )
+    return shown(result, "job_id")
+
+
+@query
+def row_ids_json_files(spark, folder):
+    """Ids in the order of JSON files and of the lines in them."""
+    path = fresh_path(spark, "json")
+    keys = table(spark, folder, "documents").select("doc_id", "lang", "n_chars")
+    keys.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    back = sources.read_json(spark, path, schema="doc_id bigint, lang string", places=True)
+    return rows.add_row_ids(back, file_order=True).select("doc_id", "job_id")
+
+
+@query
+def row_ids_workbooks(spark, folder):
+    """Ids in the order of Excel workbooks and of the rows in them, whose texts are extracted from."""
+    path = fresh_path(spark, "books")
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", F.nullif("p_type", F.lit("PROMO")).alias("p_type"))
+    write_workbooks(parts, path, 4, ["p_partkey"])
+    back = sources.read_documents(spark, path, "excel", places=True)
+    result = extraction.extraction_result(
+        back,
+        "p_name",
+        vocabulary.dictionary_from_lists(spark, PART_TERMS),
+        vocabulary.variations_from_map(spark, PART_VARIATIONS),
+        file_order=True,
+    )
+    return shown(result, "job_id", "p_partkey", "p_type")
+
+
 @query
 def single_group_fallback(spark, folder):
     tallied = extraction.role_tally(extracted(spark, folder), "no_such_column")
@@ -779,8 +844,8 @@ def stream_plan(spark: SparkSession, **options) -> Callable[[DataFrame], DataFra
             document_dictionary(spark),
             document_variations(spark),
             id_column="doc_id",
-            **options,
-        ).select("job_id", "extracted_skills", "skill_count")
+            **{"keep": [], **options},
+        )
 
     return plan
 
@@ -821,6 +886,65 @@ def stream_document_frequency(spark, folder):
     return streaming.read_running_table(spark, path)
 
 
+def arriving_documents(spark: SparkSession, folder: str, files: int) -> str:
+    """The documents as so many files in the order of their ids, which arrive one after the other."""
+    arriving, whole = fresh_path(spark, "arriving"), fresh_path(spark, "parts")
+    ranged = table(spark, folder, "documents").repartitionByRange(files, "doc_id")
+    ranged.withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(whole)
+    for part in range(files):
+        rows = spark.read.schema(f"{DOCUMENTS}, part int").parquet(whole).filter(F.col("part") == part)
+        rows.drop("part").coalesce(1).sortWithinPartitions("doc_id").write.mode("append").parquet(arriving)
+    return arriving
+
+
+@query
+def stream_row_ids(spark, folder):
+    """Ids that go on over micro-batches of one file each."""
+    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
+    stream = streaming.read_document_stream(
+        spark, arriving_documents(spark, folder, 5), DOCUMENTS, max_files=1, places=True
+    )
+    streaming.write_numbered_stream(
+        stream.drop("text"), path, state, order_by=["doc_id"]
+    ).awaitTermination()
+    return streaming.read_numbered_stream(spark, path).select("doc_id", "job_id")
+
+
+@query
+def stream_extract_numbered(spark, folder):
+    """Extraction from chunks, whose generated ids go on from chunk to chunk."""
+    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
+    stream = streaming.read_document_stream(
+        spark, arriving_documents(spark, folder, 3), DOCUMENTS, max_files=1, places=True
+    )
+
+    def plan(batch: DataFrame) -> DataFrame:
+        result = extraction.extraction_result(
+            batch, "text", document_dictionary(spark), document_variations(spark), id_column="job_id"
+        )
+        return result.select("row_number", "job_id", "doc_id", "extracted_skills", "skill_count")
+
+    streaming.write_numbered_stream(stream, path, state, plan=plan).awaitTermination()
+    return shown(streaming.read_numbered_stream(spark, path), "job_id", "doc_id")
+
+
+@query
+def stream_top_terms(spark, folder):
+    """The ranking of all documents that have arrived, each of them twice."""
+    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
+    arriving = arriving_documents(spark, folder, 3)
+    spark.read.parquet(arriving).write.mode("append").parquet(arriving)
+    stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=2)
+    stream = stream.withColumn("seen", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000))
+    found = extraction.extraction_result(
+        stream, "text", document_dictionary(spark), document_variations(spark), id_column="doc_id"
+    )
+    running = streaming.running_tally(found, distinct_ids=True, event_time="seen", delay="10000 days")
+    streaming.write_running_table(running, path, state).awaitTermination()
+    ranked = frequencies.top_terms(streaming.read_running_table(spark, path), 20)
+    return ranked.select("rank", "skill", "count", "percentage")
+
+
 @query
 def stream_extract_csv(spark, folder):
     """CSV files as a stream: quoted commas, doubled quotes, line breaks and missing values."""
@@ -833,9 +957,9 @@ def stream_extract_csv(spark, folder):
     )
     stream = streaming.read_document_stream(spark, arriving, "doc_id string, text string", "csv")
     streaming.write_extraction_stream(
-        stream, lambda df: df.select(F.col("doc_id").cast("bigint"), "text"), path, state
+        stream, stream_plan(spark, keep=["text"]), path, state
     ).awaitTermination()
-    return spark.read.parquet(path).select("doc_id", "text")
+    return shown(spark.read.parquet(path), "job_id", "text")
 
 
 @query

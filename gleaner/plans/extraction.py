@@ -12,6 +12,7 @@ from gleaner.functions.cleaning import clean_text, has_text
 from gleaner.functions.scalars import normalize_role, round2
 from gleaner.operators.extraction import extract_terms
 from gleaner.operators.frequencies import tally
+from gleaner.operators.roles import with_role
 from gleaner.operators.rows import PLACE, add_row_ids, valid_rows, validate_columns
 from gleaner.operators.rules import global_rules, rules
 from gleaner.operators.vocabulary import match_vocabulary
@@ -131,11 +132,17 @@ def extraction_report(
 def role_tally(
     result: DataFrame,
     role_column: str | None = None,
-    role_map: Mapping[str, Sequence[str]] | None = None,
+    role_map: Mapping[str, Sequence[str]] | DataFrame | None = None,
 ) -> DataFrame:
-    """The tally per canonical role; one group when there is no role column."""
+    """The tally per canonical role; one group when there is no role column.
+
+    ``role_map`` is a dict (canonical name -> spellings) or a table ``(canonical, spelling, pos)``.
+    """
     if not role_column or role_column not in result.columns:
         return tally(result)
+    if isinstance(role_map, DataFrame):
+        named = result.select("extracted_skills", "skill_count", F.col(role_column).alias("_raw"))
+        return tally(with_role(named, "_raw", role_map), "role")
     return tally(result, normalize_role(F.col(role_column), role_map))
 
 
@@ -163,7 +170,7 @@ def run_extraction(
     skills_format: str = "comma_separated",
     title_column: str | None = None,
     role_column: str | None = None,
-    role_map: Mapping[str, Sequence[str]] | None = None,
+    role_map: Mapping[str, Sequence[str]] | DataFrame | None = None,
     analytics: bool = False,
     make_rules: bool = False,
     top_n: int = 20,

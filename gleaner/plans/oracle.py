@@ -277,6 +277,25 @@ PASSAGES = f"""
         FROM documents, pattern)
     SELECT doc_id, coalesce(array_to_string(skills, '|'), '') AS skills, CAST(len(skills) AS INTEGER) AS skill_count
     FROM (SELECT doc_id, {distinct_in_order("matched")} AS skills FROM matched)"""
+MAPPED = f"""
+    WITH variations AS (
+        SELECT lower(regexp_extract(text, '([{WORDS}]+)[^{WORDS}]+([{WORDS}]+)', 2)) AS variation,
+            'item ' || min(item_id) AS canonical
+        FROM benchmark GROUP BY 1 HAVING length(variation) > 1),
+    vocabulary AS (
+        SELECT variation AS term FROM variations
+        UNION SELECT unnest([{", ".join(literal(t.lower()) for group in DOCUMENT_TERMS.values() for t in group)}])),
+    pattern AS (
+        SELECT '(?:' || string_agg({fenced("regexp_escape(term)")}, '|' ORDER BY length(term) DESC, term) || ')' AS p,
+            (SELECT map_from_entries(list((variation, canonical))) FROM variations) AS names
+        FROM vocabulary),
+    matched AS (
+        SELECT doc_id, list_transform(regexp_extract_all({fenced("body")}, p),
+            lambda x: coalesce(names[{unfenced("x")}], {unfenced("x")})) AS matched
+        FROM (SELECT doc_id, {abbreviated(cleaned("text"))} AS body FROM documents), pattern)
+    SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(array_to_string(skills, '|'), '') AS skills,
+        CAST(len(skills) AS INTEGER) AS skill_count
+    FROM (SELECT doc_id, {distinct_in_order("matched")} AS skills FROM matched)"""
 RULES_ONE = f"SELECT * EXCLUDE (role) FROM ({rules(DOCUMENTS, repr('all'))})"
 FREQUENCIES = f"SELECT skill, count FROM ({stats(DOCUMENTS, repr('all'))})"
 REPORT = extracted("doc_id", f"(SELECT * FROM {GAPPY} WHERE NOT {NO_TEXT})", abbreviate=True)
@@ -453,8 +472,37 @@ ORACLE: dict[str, str] = {
     "stream_extract": shown("job_id", DOCUMENTS),
     "stream_extract_join": shown("job_id", DOCUMENTS),
     "stream_document_frequency": FREQUENCIES,
-    "stream_extract_csv": """SELECT doc_id, CASE WHEN source <> 'src1'
-        THEN 'say ""license"", now' || chr(10) || text END AS text FROM documents""",
+    "roles_by_table": ranked(
+        f"""SELECT p.*, coalesce(canonical, p_brand) AS role FROM ({PARTS}) p LEFT JOIN (
+            SELECT p_brand, arg_min(p_type, p_partkey) AS canonical FROM part WHERE p_brand <> 'Brand#7' GROUP BY 1)
+            USING (p_brand)""",
+        4,
+    ),
+    "maps_from_files": MAPPED,
+    "row_ids_json_files": f"SELECT doc_id, job_id FROM {numbered('documents')}",
+    "row_ids_workbooks": shown(
+        "job_id, p_partkey, p_type",
+        extracted(
+            "job_id, CAST(p_partkey AS VARCHAR) AS p_partkey, nullif(p_type, 'PROMO') AS p_type, p_name",
+            """(SELECT *, 'jd_' || lpad(CAST(number AS VARCHAR),
+                    CAST(greatest(3, length(CAST(total AS VARCHAR))) AS INTEGER), '0') AS job_id
+                FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS number, count(*) OVER () AS total FROM part))""",
+            "p_name",
+            terms=PART_TERMS,
+            variations=PART_VARIATIONS,
+        ),
+    ),
+    "stream_row_ids": f"SELECT doc_id, job_id FROM {numbered('documents')}",
+    "stream_extract_numbered": shown("job_id, doc_id", extracted("job_id, doc_id", numbered("documents"))),
+    "stream_top_terms": f"SELECT * EXCLUDE (role) FROM ({ranked(DOCUMENTS, 20, repr('all'))})",
+    "stream_extract_csv": shown(
+        "job_id, text",
+        extracted(
+            f"{JOB}, text",
+            """(SELECT doc_id, 'say ""license"", now' || chr(10) || text AS text
+                FROM documents WHERE source <> 'src1')""",
+        ),
+    ),
     "csv_edge_spaces_roundtrip": f"""SELECT job_id,
         '  ' || substr(text, 1, 20) || ' ' || chr(9) || ' ' AS job_title FROM ({DOCUMENTS})""",
     "csv_mixed_headers": """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS lang, source,

@@ -53,6 +53,8 @@ def read_documents(
         from gleaner.sources.workbook import read_excel
 
         return read_excel(spark, path, **options)
+    if kind == "json":
+        return read_json(spark, path, **options)
     return spark.read.format(kind).options(**options).load(path)
 
 
@@ -94,11 +96,30 @@ def read_csv(
 
 def _scan_csv(spark: SparkSession, paths, encoding: str, multi_line: bool, places: bool) -> DataFrame:
     df = spark.read.csv(paths, **READ_CSV, multiLine=multi_line, encoding=encoding, inferSchema=False)
-    if not places:
-        return df
+    return _with_places(df) if places else df
+
+
+def _with_places(scan: DataFrame) -> DataFrame:
     split = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     # A split is read in order by one task, so that these numbers grow within it.
-    return df.withColumn(PLACE, F.struct(*split, F.monotonically_increasing_id().alias("row")))
+    return scan.withColumn(PLACE, F.struct(*split, F.monotonically_increasing_id().alias("row")))
+
+
+def read_json(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    schema: str | None = None,
+    places: bool = False,
+    **options: str,
+) -> DataFrame:
+    """Read files of JSON lines, split like any text, or with ``multiLine`` of one JSON value each.
+
+    ``places`` adds where each row stands, for ``add_row_ids`` in file order.
+    """
+    reader = spark.read.options(**options)
+    scan = (reader.schema(schema) if schema else reader).json(paths)
+    return _with_places(scan) if places else scan
 
 
 def file_traits(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -6,18 +6,22 @@ workbooks, and each is read by its own task, row by row.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from gleaner.operators.rows import STABLE_PLACE
 from gleaner.sources.documents import NA_VALUES, null_na_values
 
 # XML name spaces of the workbook format.
@@ -25,23 +29,76 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 PACKAGE = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 
+# Where a row stands: its workbook, and its number among the rows that are not empty.
+FILE, ROW = "_workbook", "_row_of_sheet"
+
 
 # The source reaches the workers by value: they need not be able to import this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def read_excel(
-    spark: SparkSession, path: str, sheet: str | int = 0, *, na_values: Sequence[str] = NA_VALUES
+    spark: SparkSession,
+    path: str,
+    sheet: str | int = 0,
+    *,
+    na_values: Sequence[str] = NA_VALUES,
+    columns: Sequence[str] | None = None,
+    places: bool = False,
 ) -> DataFrame:
     """Read one sheet (by name or position) of each workbook under ``path``, as strings.
 
-    The columns are those of all workbooks; a column that a workbook lacks is
+    The columns are those of all workbooks, whose headers are read by a Spark
+    job, unless ``columns`` names them; a column that a workbook lacks is
     null there.  Columns of one name in a sheet are told apart by a number
-    (``a``, ``a.1``), columns without a name by their place.
+    (``a``, ``a.1``), columns without a name by their place.  ``places`` adds
+    where each row stands, for ``add_row_ids`` in file order.
     """
     spark.dataSource.register(WorkbookSource)
-    df = spark.read.format(WorkbookSource.name()).option("sheet", str(sheet)).load(path)
-    return null_na_values(df, na_values)
+    names = list(columns) if columns is not None else all_columns(spark, path, sheet)
+    reader = spark.read.format(WorkbookSource.name()).option("sheet", str(sheet))
+    df = reader.option("columns", json.dumps(names)).load(path)
+    df = null_na_values(df, na_values)
+    if places:
+        df = df.withColumn(STABLE_PLACE, F.struct(F.col(FILE).alias("file"), F.col(ROW).alias("row")))
+    return df.drop(FILE, ROW)
+
+
+def all_columns(spark: SparkSession, path: str, sheet: str | int = 0) -> list[str]:
+    """The names in the headers of all workbooks, in the order of files and columns."""
+    sheet = str(sheet)
+
+    def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                (number, place, name)
+                for number, file in zip(*(batch.column(c).to_pylist() for c in ("number", "file")), strict=True)
+                for place, name in enumerate(_header(_rows(file, sheet)))
+            ]
+            numbers, places, names = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.record_batch(
+                [pa.array(numbers, pa.int64()), pa.array(places, pa.int64()), pa.array(names, pa.string())],
+                names=["number", "place", "name"],
+            )
+
+    files = spark.createDataFrame(list(enumerate(workbooks(path))), "number long, file string")
+    tasks = min(files.count(), spark.sparkContext.defaultParallelism * 4)
+    found = files.repartition(tasks, "number").mapInArrow(headers, "number long, place long, name string")
+    first = found.groupBy("name").agg(F.min(F.struct("number", "place")).alias("first"))
+    return [row.name for row in first.orderBy("first").collect()]
+
+
+def workbooks(path: str) -> list[str]:
+    """The workbook at ``path``, or all in that folder, by name."""
+    system, inner = _locate(path)
+    info = system.get_file_info(inner)
+    if info.type == fs.FileType.File:
+        return [path]
+    listed = system.get_file_info(fs.FileSelector(inner))
+    names = sorted(f.base_name for f in listed if f.base_name.endswith(".xlsx"))
+    if not names:
+        raise FileNotFoundError(f"no .xlsx workbook at {path}")
+    return [f"{path.rstrip('/')}/{name}" for name in names]
 
 
 class WorkbookSource(DataSource):
@@ -49,24 +106,15 @@ class WorkbookSource(DataSource):
     def name(cls) -> str:
         return "gleaner_workbook"
 
-    def _files(self) -> list[str]:
-        path = self.options["path"]
-        system, inner = _locate(path)
-        info = system.get_file_info(inner)
-        if info.type == fs.FileType.File:
-            return [path]
-        listed = system.get_file_info(fs.FileSelector(inner))
-        names = sorted(f.base_name for f in listed if f.base_name.endswith(".xlsx"))
-        if not names:
-            raise FileNotFoundError(f"no .xlsx workbook at {path}")
-        return [f"{path.rstrip('/')}/{name}" for name in names]
+    def _columns(self) -> list[str]:
+        return json.loads(self.options["columns"])
 
     def schema(self) -> StructType:
-        names = (name for file in self._files() for name in _header(_rows(file, self.options["sheet"])))
-        return StructType([StructField(name, StringType()) for name in dict.fromkeys(names)])
+        texts = [StructField(name, StringType()) for name in self._columns()]
+        return StructType([*texts, StructField(FILE, StringType()), StructField(ROW, LongType())])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return WorkbookReader(self._files(), self.options["sheet"], schema.names)
+        return WorkbookReader(workbooks(self.options["path"]), self.options["sheet"], self._columns())
 
 
 class WorkbookReader(DataSourceReader):
@@ -80,11 +128,10 @@ class WorkbookReader(DataSourceReader):
         rows = _rows(partition.value, self.sheet)
         header = _header(rows)
         places = [header.index(name) if name in header else None for name in self.columns]
-        for row in rows:
-            if any(cell is not None for cell in row):
-                yield tuple(
-                    row[place] if place is not None and place < len(row) else None for place in places
-                )
+        filled = (row for row in rows if any(cell is not None for cell in row))
+        for number, row in enumerate(filled):
+            cells = (row[place] if place is not None and place < len(row) else None for place in places)
+            yield (*cells, partition.value, number)
 
 
 def _header(rows: Iterator[list[str | None]]) -> list[str]:
