@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from gleaner.session import shared_folder
@@ -57,12 +58,42 @@ def map_rows(
     return given.mapInArrow(run, schema)
 
 
+#: Spark's setting by which a query removes its shuffle files when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _tidy(spark) -> Iterator[None]:
+    """What is computed meanwhile leaves no shuffle files behind."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, its lineage cut.
 
-    The files stay there, like those of ``checkpoint()``.
+    Its shuffle files go when it is written. The files written stay, like
+    those of ``checkpoint()``, unless they are given to :func:`discard`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a stored table that nothing reads any more, neither now nor after the loss of an executor."""
+    spark = table.sparkSession
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for parent in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = folder(parent)
+        path.getFileSystem(hadoop).delete(path, True)
