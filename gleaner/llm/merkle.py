@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ARITY = 2
+#: Levels joined in one query: a tree's height does not make a plan that the driver cannot hold.
+PLANNED = 6
 #: The columns that a leaf is made of, in this order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -123,7 +125,7 @@ def paths(tree: list[DataFrame], arity: int = ARITY) -> DataFrame:
     From the top down: a node's path is its own siblings and its parent's
     path, so each level is joined once with the one above, of half its size.
     """
-    above = None
+    above, height = None, 0
     for level in reversed(tree):
         own = F.array(F.struct("slot", "others"))
         ended = F.array().cast(_ENTRY)
@@ -134,6 +136,8 @@ def paths(tree: list[DataFrame], arity: int = ARITY) -> DataFrame:
             met = met.withColumn("path", F.when(F.col("size") > 1, F.concat(own, "_path")).otherwise(ended))
             met = met.drop("_path", "_up")
         above = met.select("group", F.col("idx").alias("_up"), F.col("path").alias("_path"))
+        if (height := height + 1) % PLANNED == 0 and level is not tree[0]:
+            above = stored(above, "paths")
     return met
 
 
