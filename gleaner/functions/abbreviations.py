@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ def expand_abbreviations(
         return text
     if all(_is_single_word(key) for key in abbreviations):
         return _replace_words(text, _resolve_chains(abbreviations), lowered, controls_removed)
-    return _replace_in_turn(text, abbreviations)
+    for entries in passes(abbreviations):
+        text = _replace_at_once(text, entries)
+    return text
 
 
 def _is_single_word(key: str) -> bool:
@@ -76,12 +79,62 @@ def _replace_words(
     return F.array_join(F.transform(pieces, expand), "")
 
 
-def _replace_in_turn(text: Column, abbreviations: Mapping[str, str]) -> Column:
-    """General case (keys with several words or symbols): one pass per entry."""
+def passes(abbreviations: Mapping[str, str]) -> list[dict[str, str]]:
+    """The entries (lower-case keys) in groups; those of a group can be applied in one pass.
+
+    An entry joins the group of the ones before it unless their order can
+    matter: their keys can overlap in a text, an earlier expansion can form
+    the later key, alone or with its neighbours, or an earlier expansion can
+    change what stands at the edge of a word.
+    """
+    groups: list[dict[str, str]] = []
+    held: list[list[str]] = []
     for key, value in abbreviations.items():
+        key, value = key.lower(), str(value)
         if not key:
             continue
+        own = _runs(key)
+        if not groups or any(_meet(other, own) for other in held):
+            groups.append({})
+            held = []
+        groups[-1][key] = value
+        held += [own, _runs(value.lower())]
+        if not value or not _same_edges(key, value):
+            held.append([])  # meets any key
+    return groups
+
+
+def _runs(text: str) -> list[str]:
+    """Runs of word characters and of others, by turns."""
+    return ["".join(run) for _, run in groupby(text, is_word_char)]
+
+
+def _same_edges(key: str, value: str) -> bool:
+    return all(is_word_char(key[i]) is is_word_char(value[i]) for i in (0, -1))
+
+
+def _meet(a: list[str], b: list[str]) -> bool:
+    """Whether two sequences of runs can lie over each other in a text; an empty one meets all."""
+    if not a or not b:
+        return True
+    for shift in range(1 - len(b), len(a)):
+        first, last = max(0, shift), min(len(a), shift + len(b))
+        if a[first:last] == b[first - shift : last - shift]:
+            return True
+    return False
+
+
+def _replace_at_once(text: Column, entries: Mapping[str, str]) -> Column:
+    """All entries of one group: what lies between the hits, and the expansions of the hits."""
+    if len(entries) == 1:
+        ((key, value),) = entries.items()
         pattern = "(?iu)" + edge_before(key[0]) + quote(key) + edge_after(key[-1])
-        replacement = str(value).replace("\\", "\\\\").replace("$", "\\$")
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+        return F.regexp_replace(text, pattern, value.replace("\\", "\\\\").replace("$", "\\$"))
+    pattern = "(?iu)" + terms_regex(entries)
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    find = literal_lookup(dict(entries))
+
+    def expanded(gap: Column, hit: Column) -> Column:
+        return F.concat(gap, F.coalesce(find(F.lower(hit)), hit, F.lit("")))
+
+    return F.array_join(F.zip_with(F.split(text, pattern, -1), hits, expanded), "")

@@ -987,16 +987,14 @@ def csv_mixed_headers(spark, folder):
     )
 
 
-@query
-def run_extraction_roundtrip(spark, folder):
-    """The whole run from documents to files, and the result read back."""
-    path = fresh_path(spark, "run")
-    written = extraction.run_extraction(
+def whole_run(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The whole run from documents to files; the paths by kind."""
+    return extraction.run_extraction(
         documents(spark, folder),
         "text",
         document_dictionary(spark),
         document_variations(spark),
-        path,
+        fresh_path(spark, "run"),
         columns=("job_id", "job_title", "processed_text", "extracted_skills", "skill_count"),
         title_column="source",
         role_column="source",
@@ -1004,6 +1002,12 @@ def run_extraction_roundtrip(spark, folder):
         analytics=True,
         make_rules=True,
     )
+
+
+@query
+def run_extraction_roundtrip(spark, folder):
+    """The result that a whole run has written, read back."""
+    written = whole_run(spark, folder)
     schema = "job_id string, processed_text string, extracted_skills array<string>, skill_count int"
     json = spark.read.schema(schema).json(written["json"])
     csv = sources.read_csv(spark, written["csv"], na_values=("",))
@@ -1011,3 +1015,28 @@ def run_extraction_roundtrip(spark, folder):
         "job_id", "job_title", F.col("skill_count").cast("int").alias("csv_count")
     )
     return shown(json.join(csv, "job_id"), "job_id", "job_title", "processed_text", "csv_count")
+
+
+@query
+def run_extraction_rules(spark, folder):
+    """The rules that a whole run has written, of all documents and per role, read back."""
+    written = whole_run(spark, folder)
+    overall = spark.read.schema(RULE_SCHEMA).json(written["global_rules"]).withColumn("role", F.lit("all"))
+    per_role = spark.read.schema(RULE_SCHEMA + ", for_role string").json(written["role_rules"])
+    return rules_shown(overall.unionByName(per_role.drop("for_role")))
+
+
+@query
+def run_extraction_analytics(spark, folder):
+    """The analytics that a whole run has written, of all documents and per role, read back."""
+    written = whole_run(spark, folder)
+    ranking = "array<struct<skill:string,count:bigint,percentage:double>>"
+    totals = "total_jds_processed:bigint, unique_skills_extracted:bigint, avg_skills_per_jd:double"
+    overall = spark.read.schema(f"summary struct<{totals}>, skill_rankings {ranking}").json(written["dataset_analytics"])
+    overall = overall.select(F.lit("all").alias("role"), "summary.*", "skill_rankings")
+    fields = f"role string, total_jds bigint, unique_skills bigint, avg_skills_per_jd double, top_skills {ranking}"
+    per_role = spark.read.schema(fields).json(written["role_analytics"])
+    names = ["role", "total_jds", "unique_skills", "avg_skills_per_jd", "top_skills"]
+    both = overall.toDF(*names).unionByName(per_role.select(*names))
+    listed = F.transform("top_skills", lambda t: F.concat_ws(":", t["skill"], t["count"], t["percentage"].cast("decimal(20,2)")))
+    return both.withColumn("top_skills", F.array_join(listed, "|"))

@@ -507,6 +507,19 @@ ORACLE: dict[str, str] = {
         '  ' || substr(text, 1, 20) || ' ' || chr(9) || ' ' AS job_title FROM ({DOCUMENTS})""",
     "csv_mixed_headers": """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS lang, source,
         CASE WHEN doc_id % 2 = 1 THEN n_chars END AS n_chars FROM documents""",
+    "run_extraction_rules": f"""
+        SELECT * FROM ({rules(DOCUMENTS, repr("all"), frequency=2, core=0.5, top=20)})
+        UNION ALL SELECT * FROM ({rules(DOCUMENTS, "source", frequency=2, core=0.5, top=20)})""",
+    "run_extraction_analytics": f"""
+        SELECT role, total_jds, unique_skills, avg_skills_per_jd, coalesce(top_skills, '') AS top_skills
+        FROM (
+            SELECT 'all' AS role, * FROM ({summary(DOCUMENTS)})
+            UNION ALL SELECT * FROM ({summary(DOCUMENTS, "source")})
+        ) LEFT JOIN (
+            SELECT role, string_agg(skill || ':' || count || ':' || CAST(round_even(percentage, 2) AS DECIMAL(20, 2)),
+                '|' ORDER BY place) AS top_skills
+            FROM (SELECT * FROM ({stats(DOCUMENTS, repr("all"))}) UNION ALL SELECT * FROM ({stats(DOCUMENTS, "source")}))
+            WHERE place <= 20 GROUP BY role) USING (role)""",
     "run_extraction_roundtrip": shown(
         f"""job_id, source AS job_title, {cleaned("text")} AS processed_text,
             CAST(skill_count AS INTEGER) AS csv_count""",

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from gleaner.functions.abbreviations import expand_abbreviations
+from gleaner.functions.abbreviations import expand_abbreviations, passes
 from gleaner.functions.cleaning import clean_text, has_text, strip
 from pyspark.sql import functions as F
 from tests import model
@@ -113,3 +113,34 @@ def test_abbreviations(texts, abbreviations):
     )
     found = [row.out for row in expanded.orderBy("id").collect()]
     assert found == [model.abbreviate(text, abbreviations) for text in values]
+
+
+KEYS = st.text(alphabet="ab. +", min_size=1, max_size=5).filter(lambda key: key == key.strip())
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.dictionaries(KEYS, st.text(alphabet="abC. +", max_size=5), min_size=1, max_size=8),
+    st.lists(st.text(alphabet="ab.+ AB", max_size=25), min_size=1, max_size=25),
+)
+def test_entries_in_groups_are_the_same_as_in_turn(texts, abbreviations, values):
+    df = texts(*values).select(
+        "id", expand_abbreviations(F.col("text"), abbreviations, lowered=False, controls_removed=False).alias("out")
+    )
+    found = [row.out for row in df.orderBy("id").collect()]
+    # Keys that differ only in case are one key.
+    assert found == [model.abbreviate(text, abbreviations) for text in values]
+
+
+def test_many_mixed_entries_take_few_passes(texts):
+    """Two hundred entries: single words, several words, symbols, and some that build on others."""
+    entries = {f"abbr{i}": f"abbreviation {i}" for i in range(100)}
+    entries |= {f"key {i} of": f"the key no {i} out of" for i in range(60)}
+    entries |= {f"c{i}++": f"cplus{i}#" for i in range(20)} | {f".x{i}": f".xml{i}" for i in range(18)}
+    entries |= {"abbreviation 7": "seventh", "no 3": "third"}
+    assert len(entries) == 200 and len(passes(entries)) <= 3
+    values = ["abbr1 ABBR7, abbr99x key 3 of key 59 of", "c1++ c19++x a.x1 b.x17c abbr7.x2 ok", ""]
+    df = texts(*values).select("id", expand_abbreviations(F.col("text"), entries, lowered=False).alias("out"))
+    found = [row.out for row in df.orderBy("id").collect()]
+    assert found == [model.abbreviate(text, entries) for text in values]
+    assert found[0].startswith("abbreviation 1 seventh, abbr99x the key third out of")

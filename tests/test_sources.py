@@ -1,9 +1,14 @@
+import csv
+import io
+import random
 import zipfile
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
 import pytest
 
+from gleaner.operators import rows as rows_of_files
+from gleaner.sinks.workbooks import write_workbooks
 from gleaner.sources import dictionaries, documents
 from gleaner.sources.workbook import _rich_text, read_excel
 from gleaner.streaming import extraction as streaming
@@ -234,3 +239,82 @@ def test_phonetic_readings_are_no_text():
         f'<si xmlns="{name[1:-1]}"><r><t>a</t></r><r><t>b</t></r><rPh sb="0" eb="1"><t>x</t></rPh></si>'
     )
     assert _rich_text(item) == "ab"
+
+
+def test_many_workbooks(spark, tmp_path):
+    """The headers of fifty workbooks are read by the tasks; their rows are numbered without being written."""
+    (tmp_path / "many").mkdir()
+    for i in range(50):
+        header = ["id", "text"] if i % 2 else ["text", f"own{i // 20}", "id"]
+        rows = [[f"{i}-{k}", f"t{k}"] if i % 2 else [f"t{k}", None, f"{i}-{k}"] for k in range(i % 4)]
+        workbook(tmp_path / "many" / f"b{i:02d}.xlsx", {"s": [header, *rows, [None, None]]})
+    df = read_excel(spark, str(tmp_path / "many"), places=True)
+    assert [c for c in df.columns if not c.startswith("_")] == ["text", "own0", "id", "own1", "own2"]
+    numbered = rows_of_files.add_row_ids(df, file_order=True)
+    wanted = {f"{i}-{k}" for i in range(50) for k in range(i % 4)}
+    found = [r.id for r in sorted(numbered.collect(), key=lambda r: int(r.job_id[3:]))]
+    assert found == [f"{i}-{k}" for i in range(50) for k in range(i % 4)] and set(found) == wanted
+    assert "checkpoint" not in numbered._jdf.queryExecution().optimizedPlan().toString().lower()
+    named = read_excel(spark, str(tmp_path / "many"), columns=["id"])
+    assert named.columns == ["id"] and named.count() == len(wanted)
+
+
+@pytest.mark.parametrize("split", ["300", "128m"])
+def test_ids_in_the_order_of_json_lines(spark, write, tmp_path, split):
+    for name, size in (("a", 30), ("b", 0), ("c", 90)):
+        write(f"lines/{name}.json", "".join(f'{{"text": "{name} é {i}", "n": {i}}}\n' for i in range(size)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = documents.read_documents(spark, str(tmp_path / "lines"), "json", places=True)
+        numbered = rows_of_files.add_row_ids(df, file_order=True)
+        found = [r.text for r in sorted(numbered.collect(), key=lambda r: int(r.job_id[3:]))]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [f"{name} é {i}" for name, size in (("a", 30), ("c", 90)) for i in range(size)]
+
+
+def test_written_workbooks(spark, tmp_path):
+    rows = [(i, f" <{i}> & ü ", None if i % 3 else "x") for i in range(40)]
+    df = spark.createDataFrame(rows, "n long, text string, note string").repartition(5)
+    write_workbooks(df, str(tmp_path / "out"), 3, ["n"])
+    back = read_excel(spark, str(tmp_path / "out"), places=True, na_values=())
+    numbered = rows_of_files.add_row_ids(back, file_order=True).orderBy("job_id").collect()
+    assert [(int(r.n), r.text, r.note) for r in numbered] == rows
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("split", ["500", "128m"])
+def test_a_folder_of_many_kinds_of_csv_files(spark, tmp_path, monkeypatch, split, broadcast):
+    """Encodings, headers, quotes, line breaks in fields, blank lines and empty files, in one plan."""
+    if not broadcast:
+        monkeypatch.setattr(documents, "BROADCAST_PARTS", 0)
+    draw, wanted, folder = random.Random(3), [], tmp_path / "kinds"
+    folder.mkdir()
+    for i in range(24):
+        header = draw.choice([["id", "text"], ["text", "id", "more"], ["id", "naïve", "text"]])
+        spanning, encoding = draw.random() < 0.3, draw.choice(["utf-8", "latin-1"])
+        out = io.StringIO()
+        out.write("\n" * (i % 3))
+        writer = csv.writer(out, lineterminator=draw.choice(["\n", "\r\n"]))
+        writer.writerow(header)
+        for k in range(draw.choice([0, 3, 40])):
+            parts = ["plain", "a, b", 'say ""so""', "café", " edge "] + (["two\nlines", 'x\n\n"y",z'] if spanning else [])
+            row = {"id": f"{i}-{k}", "text": draw.choice(parts), "more": "m", "naïve": draw.choice(["n", ""])}
+            writer.writerow([row[name] for name in header])
+            wanted.append((row["id"], row["text"], "m" if "more" in header else None, (row["naïve"] or None) if "naïve" in header else None))
+            if not spanning and draw.random() < 0.1:
+                out.write("\n")
+        (folder / f"f{i:02d}.csv").write_bytes(out.getvalue().encode(encoding))
+    (folder / "f99.csv").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        df = documents.read_csv(spark, str(folder), na_values=(), places=True)
+        numbered = rows_of_files.add_row_ids(df, file_order=True)
+        found = sorted(numbered.select("job_id", "id", "text", "more", "naïve").collect(), key=lambda r: int(r.job_id[3:]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r)[1:] for r in found] == wanted
+
+
+def test_names_of_a_header():
+    assert documents.header_names('id,"a, b",,ID,x') == ["id0", "a, b", "_c2", "ID3", "x"]
