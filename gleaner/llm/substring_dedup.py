@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from gleaner.llm.tasks import SLICE_ROWS, bounded_batches, map_rows, stored
+from gleaner.llm.tasks import SLICE_ROWS, bounded_batches, map_rows, stored, without_repeats
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,12 +17,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 MIN_WORDS = 50
 
 #: Words whose hashes a task remembers.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 250_000
 _ODD = (
     (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD),
     (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xC4CEB9FE1A85EC53),
 )
-_TOP = np.uint64(2**64 - 1)
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
+#: The first level is the half of a half ... of the length that has at most so many words.
+FIRST_LEVEL = 16
 
 
 class WordHashes(dict):
@@ -69,82 +71,84 @@ def window_hashes(words: np.ndarray, length: int, lane: int = 0) -> np.ndarray:
     return _doubled(words, length, lambda a, b: _join(a, b, lane))
 
 
-def _extreme(h: np.ndarray, length: int, of: Callable) -> np.ndarray:
-    """The extreme value of each window of ``length`` values."""
-    size, power = 1, h
-    while 2 * size <= length:
-        power, size = of(power[:-size], power[size:]), 2 * size
-    rest = length - size
-    return of(power[: len(power) - rest], power[rest:]) if rest else power
+def levels(length: int) -> list[int]:
+    """The lengths of the levels below ``length``, each at most twice the one before."""
+    made = [(length + 1) // 2]
+    while made[0] > FIRST_LEVEL:
+        made.insert(0, (made[0] + 1) // 2)
+    return made
 
 
 class Windows:
-    """The windows of one text's words: half-length grams, and which of them stand for a window.
+    """The windows of one text's words and what stands for them at each level.
 
-    Each window of ``length`` words is stood for by the grams with the least
-    hash in it. Equal windows have equal grams, so a window can only repeat if
-    the grams that stand for it do.
+    A window of ``length`` words is stood for by the shortest gram in it that
+    has the least hash (the first of these), and at the next level by that gram
+    extended to twice its length: forward, or backward where it would leave the
+    window. Equal windows are stood for by equal grams at equal places in them,
+    so a window can only repeat if these do, at each level.
     """
 
     def __init__(self, words: list[bytes], length: int, hashes: WordHashes):
-        self.half, self.length = (length + 1) // 2, length
+        self.length, self.levels = length, levels(length)
         self.words = hashes.of(words)
-        self.grams = window_hashes(self.words, self.half)
-        self.span = length - self.half + 1
-        self.least = _extreme(self.grams, self.span, np.minimum)
-
-    def standing(self) -> np.ndarray:
-        """The distinct grams that stand for a window."""
-        pad = np.zeros(self.span - 1, np.uint64)
-        most = _extreme(np.concatenate([pad, self.least, pad]), self.span, np.maximum)
-        return np.unique(self.grams[most == self.grams])
-
-    def extended(self, shared: list[int]) -> np.ndarray:
-        """Places of the windows that the grams ``shared`` stand for."""
-        known = np.where(np.isin(self.grams, np.array(shared, np.int64).view(np.uint64)), self.grams, _TOP)
-        return np.flatnonzero(_extreme(known, self.span, np.minimum) == self.least)
-
-    def hashes(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of the windows at ``places``."""
+        self.count = max(0, len(words) - length + 1)
+        self.alive = np.arange(self.count)
+        if self.count:
+            grams = window_hashes(self.words, self.levels[0])
+            key = (grams & _HIGH) | np.arange(len(grams), dtype=np.uint64)
+            self.standing = (_least(key, length - self.levels[0] + 1) & _LOW).astype(np.int64)
+
+    def grams(self, level: int) -> np.ndarray:
+        """The grams that stand for the windows left, at a level."""
+        if not len(self.alive):
+            return np.zeros(0, np.uint64)
+        size, place = self.levels[level], self.standing[self.alive]
+        fits = place + size <= self.alive + self.length
+        return window_hashes(self.words, size)[np.where(fits, place, place + self.levels[0] - size)]
+
+    def keep(self, level: int, shared: list[int]) -> None:
+        """Only the windows whose gram of a level is among ``shared`` are left."""
+        known = np.array(shared, np.int64).view(np.uint64)
+        self.alive = self.alive[np.isin(self.grams(level), known)]
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of the windows left, each once."""
         second = self.words ^ np.uint64(_ODD[1][2])
-        return tuple(
-            window_hashes(words, self.length, lane)[places] for lane, words in enumerate((self.words, second))
+        one, two = (
+            window_hashes(words, self.length, lane)[self.alive] for lane, words in enumerate((self.words, second))
         )
+        one, places = np.unique(one, return_index=True)
+        return one, two[places]
 
 
-def _content(raw: bytes) -> int:
-    return int.from_bytes(raw[:8], "little", signed=True)
+def _least(h: np.ndarray, length: int) -> np.ndarray:
+    """The least value of each window of ``length`` values."""
+    size = 1
+    while 2 * size <= length:
+        h, size = np.minimum(h[:-size], h[size:]), 2 * size
+    rest = length - size
+    return np.minimum(h[:-rest], h[rest:]) if rest else h
 
 
-def _map_many(df: DataFrame, schema: T.StructType, function: Callable) -> DataFrame:
-    """``function(rows as lists of columns)`` gives arrays for ``schema``, any number of rows."""
-    bounded_batches(df.sparkSession)
-    arrow, names = to_arrow_schema(schema), df.columns
+def _standing(docs: DataFrame, min_words: int) -> DataFrame:
+    """Each document's number of words, their digest, and the grams that stand for its windows at the first level."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         hashes = WordHashes()
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE_ROWS // 4):
-                part = batch.slice(start, SLICE_ROWS // 4)
-                made = function(hashes, *(part.column(n).to_pylist() for n in names))
-                columns = [pa.array(c, f.type) for c, f in zip(made, arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
 
-def _sequences(docs: DataFrame) -> DataFrame:
-    """Each document's number of words and the digest of its words."""
-
-    def make():
         def run(texts: list) -> dict[str, list]:
-            words = [(t or "").encode().split() for t in texts]
-            digests = [hashlib.sha256(b" ".join(w)).digest() for w in words]
-            return {
-                "n_words": [len(w) for w in words],
-                "digest": digests,
-                "content": [_content(d) for d in digests],
-            }
+            out: dict[str, list] = {"n_words": [], "digest": [], "content": [], "grams": []}
+            for text in texts:
+                words = (text or "").encode().split()
+                digest = hashlib.sha256(b" ".join(words)).digest()
+                out["n_words"].append(len(words))
+                out["digest"].append(digest)
+                out["content"].append(int.from_bytes(digest[:8], "little", signed=True))
+                short = len(words) < min_words
+                grams = words[:0] if short else np.unique(Windows(words, min_words, hashes).grams(0)).view(np.int64)
+                out["grams"].append(grams)
+            return out
 
         return run
 
@@ -152,68 +156,76 @@ def _sequences(docs: DataFrame) -> DataFrame:
         T.StructField("n_words", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("content", T.LongType()),
+        T.StructField("grams", T.ArrayType(T.LongType())),
     ]
-    return map_rows(docs, ["id"], ["text"], fields, make)
-
-
-def _grams(docs: DataFrame, min_words: int) -> DataFrame:
-    """The half-length grams that stand for the documents' windows, each once for a document: (gram, id, content)."""
-
-    def run(hashes, ids, texts):
-        out = ([], [], [])
-        for i, text in zip(ids, texts, strict=True):
-            words = (text or "").encode().split()
-            if len(words) < min_words:
-                continue
-            windows = Windows(words, min_words, hashes)
-            grams = windows.standing()
-            content = _content(hashlib.sha256(b" ".join(words)).digest())
-            out[0].append(grams.view(np.int64))
-            out[1].extend([i] * len(grams))
-            out[2].append(np.full(len(grams), content, np.int64))
-        return [_flat(out[0]), out[1], _flat(out[2])]
-
-    schema = T.StructType(
-        [
-            T.StructField("gram", T.LongType()),
-            docs.schema["id"],
-            T.StructField("content", T.LongType()),
-        ]
-    )
-    return _map_many(docs.select("id", "text"), schema, run)
-
-
-def _flat(arrays: list[np.ndarray]) -> np.ndarray | list:
-    return np.concatenate(arrays) if arrays else []
-
-
-def _windows(candidates: DataFrame, min_words: int) -> DataFrame:
-    """The windows that repeated grams stand for, each once for a document: (one, two, id, content)."""
-
-    def run(hashes, ids, contents, texts, grams):
-        out = ([], [], [], [])
-        for i, content, text, found in zip(ids, contents, texts, grams, strict=True):
-            words = text.encode().split()
-            if _content(hashlib.sha256(b" ".join(words)).digest()) != content:
-                continue  # another text with the same id
-            windows = Windows(words, min_words, hashes)
-            one, two = windows.hashes(windows.extended(found))
-            one, places = np.unique(one, return_index=True)
-            out[0].append(one.view(np.int64))
-            out[1].append(two[places].view(np.int64))
-            out[2].extend([i] * len(one))
-            out[3].append(np.full(len(one), content, np.int64))
-        return [_flat(out[0]), _flat(out[1]), out[2], _flat(out[3])]
-
-    schema = T.StructType(
-        [
-            T.StructField("one", T.LongType()),
-            T.StructField("two", T.LongType()),
-            candidates.schema["id"],
-            T.StructField("content", T.LongType()),
-        ]
-    )
-    return _map_many(candidates.select("id", "content", "text", "grams"), schema, run)
+    return map_rows(docs, ["id", "key"], ["text"], fields, make)
+
+
+def _left(words: list[bytes], min_words: int, hashes: WordHashes, shared: tuple) -> Windows:
+    windows = Windows(words, min_words, hashes)
+    for level, known in enumerate(shared):
+        windows.keep(level, known)
+    return windows
+
+
+def _extended(docs: DataFrame, min_words: int, level: int) -> DataFrame:
+    """``docs`` with the grams of the next level that stand for what is left of their windows."""
+
+    def make():
+        hashes = WordHashes()
+
+        def run(texts: list, *shared: list) -> dict[str, list]:
+            left = (_left(t.encode().split(), min_words, hashes, known) for t, *known in zip(texts, *shared, strict=True))
+            return {"grams": [np.unique(windows.grams(level)).view(np.int64) for windows in left]}
+
+        return run
+
+    fields = [T.StructField("grams", T.ArrayType(T.LongType()))]
+    return map_rows(docs, docs.columns, ["text", *_shared_columns(level)], fields, make)
+
+
+def _shared_columns(count: int) -> list[str]:
+    return [f"shared{level}" for level in range(count)]
+
+
+def _shared(grams: DataFrame, level: int) -> DataFrame:
+    """(doc, shared): the grams that another text has too."""
+    rows = grams.select("doc", "content", F.explode("grams").alias("gram"))
+    known = rows.groupBy("gram").agg(F.min("content").alias("low"), F.max("content").alias("high"))
+    found = rows.select("doc", "gram").join(known.filter("low < high").select("gram"), "gram")
+    return found.groupBy("doc").agg(F.collect_list("gram").alias(f"shared{level}"))
+
+
+def _windows(docs: DataFrame, min_words: int) -> DataFrame:
+    """The windows left after all levels, each once for a document: (one, two, id, doc)."""
+    bounded_batches(docs.sparkSession)
+    names = ["doc", "id", "text", *_shared_columns(len(levels(min_words)))]
+    schema = T.StructType.fromDDL("one long, two long, id long, doc long")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS // 4):
+                part = batch.slice(start, SLICE_ROWS // 4)
+                out: list[list[np.ndarray]] = [[], [], [], []]
+                for doc, own, text, *shared in zip(*(part.column(n).to_pylist() for n in names), strict=True):
+                    one, two = _left(text.encode().split(), min_words, hashes, shared).hashes()
+                    columns = one.view(np.int64), two.view(np.int64), np.full(len(one), own), np.full(len(one), doc)
+                    for column, more in zip(out, columns, strict=True):
+                        column.append(more)
+                arrays = [pa.array(np.concatenate(column), pa.int64()) for column in out]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return docs.select(*names).mapInArrow(run, schema)
+
+
+def repeated_windows(windows: DataFrame) -> DataFrame:
+    """Hashes of the windows that also start in a document with a smaller id: (doc, repeated)."""
+    firsts = windows.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    firsts = firsts.filter("least < most").drop("most")
+    found = windows.join(firsts, ["one", "two"]).filter("id > least")
+    return found.groupBy("doc").agg(F.collect_list("one").alias("repeated"))
 
 
 def removed_mask(words: np.ndarray, repeated: list[int], length: int) -> np.ndarray:
@@ -226,59 +238,26 @@ def removed_mask(words: np.ndarray, repeated: list[int], length: int) -> np.ndar
     return np.cumsum(marks[:-1]) > 0
 
 
-def _kept(candidates: DataFrame, min_words: int) -> DataFrame:
-    """Digests, removed words and the digest of what is kept, of the texts that lose words."""
+def _kept(losing: DataFrame, min_words: int) -> DataFrame:
+    """Removed words and the digest of what is kept, of the texts that lose words: (digest, lost, rest)."""
 
     def make():
         hashes = WordHashes()
 
         def run(texts: list, repeated: list) -> dict[str, list]:
-            out = {"digest": [], "lost": [], "rest": []}
+            out: dict[str, list] = {"lost": [], "rest": []}
             for text, own in zip(texts, repeated, strict=True):
                 words = text.encode().split()
                 gone = removed_mask(hashes.of(words), own, min_words)
                 rest = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                out["digest"].append(hashlib.sha256(b" ".join(words)).digest())
                 out["lost"].append(len(words) - len(rest))
                 out["rest"].append(hashlib.sha256(b" ".join(rest)).hexdigest())
             return out
 
         return run
 
-    fields = [
-        T.StructField("digest", T.BinaryType()),
-        T.StructField("lost", T.LongType()),
-        T.StructField("rest", T.StringType()),
-    ]
-    return map_rows(candidates, [], ["text", "repeated"], fields, make)
-
-
-def _candidates(docs: DataFrame, sequences: DataFrame, min_words: int) -> DataFrame:
-    """The texts with grams that another text has too, and these: (id, content, text, grams)."""
-    grams = _grams(docs, min_words)
-    shared = (
-        grams.groupBy("gram")
-        .agg(F.min("content").alias("low"), F.max("content").alias("high"))
-        .filter("low < high")
-        .select("gram")
-    )
-    found = grams.join(shared, "gram").groupBy("id", "content").agg(F.collect_list("gram").alias("grams"))
-    firsts = sequences.groupBy("digest", "content").agg(F.min("id").alias("id"))
-    found = found.join(firsts, ["id", "content"], "left_semi")
-    return docs.select("id", "text").join(found, "id").select("id", "content", "text", "grams")
-
-
-def repeated_windows(candidates: DataFrame, min_words: int) -> DataFrame:
-    """Hashes of the windows that also start in a document with a smaller id: (id, content, repeated)."""
-    windows = _windows(candidates, min_words)
-    firsts = windows.groupBy("one", "two").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    firsts = firsts.filter("least < most").drop("most")
-    return (
-        windows.join(firsts, ["one", "two"])
-        .filter("id > least")
-        .groupBy("id", "content")
-        .agg(F.collect_list("one").alias("repeated"))
-    )
+    fields = [T.StructField("lost", T.LongType()), T.StructField("rest", T.StringType())]
+    return map_rows(losing, ["digest"], ["text", "repeated"], fields, make)
 
 
 def substring_dedup(
@@ -290,42 +269,53 @@ def substring_dedup(
     in the input, also starts in a document with a smaller id. Words are runs
     without ASCII white space.
 
-    Level-wise doubling: windows of half the length stand for the longer
-    ones; those that two different texts have are extended to twice their
-    length; of these, each window is compared by 128 bits. A gram or window
-    that stands many times in a text is compared once. Longer ones could
-    not remove more, so the doubling ends there. Texts with equal words are
-    settled by their digest: all but the first lose all their words, if they
-    have ``min_words``.
+    Level-wise doubling: grams of a quarter of the length (13 words for 50)
+    stand for the windows; where two different texts have the same, they are
+    extended to twice the length, and again, until the windows themselves are
+    compared, by 128 bits. Each level sees only what the level before has left.
+    Longer windows could not remove more, so the doubling ends at ``min_words``. A gram or window that stands
+    many times in a text is compared once. Texts with equal words are settled
+    by their digest: all but the first lose all their words, if they have
+    ``min_words``.
 
     Ids are whole numbers. Null texts have no words, null ids come after all others. Rows that share
-    an id do not remove each other's words; equal rows have equal results.
+    an id do not remove each other's words, whatever their texts; equal rows have equal results.
     Other columns do not matter; an empty table gives an empty result.
     """
     last = F.lit((1 << 63) - 1)
-    whole = F.col(id_column).cast("long")
-    named = docs.select(F.coalesce(whole, last).alias("id"), F.col(text).alias("text"))
-    sequences = stored(_sequences(named), "sequences")
-    candidates = stored(_candidates(named, sequences, min_words), "candidates")
-    repeated = repeated_windows(candidates, min_words)
-    losing = candidates.select("id", "content", "text").join(repeated, ["id", "content"])
-    kept = stored(_kept(losing, min_words).distinct(), "kept")
-    firsts = sequences.groupBy("digest").agg(F.min("id").alias("first"))
+    named = docs.select(
+        F.coalesce(F.col(id_column).cast("long"), last).alias("id"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+    ).withColumn("key", F.xxhash64("text"))
+    # The label is fixed when the table is written; texts are met again by id and key.
+    whole = stored(_standing(named, min_words).withColumn("doc", F.monotonically_increasing_id()), "sequences")
+    firsts = whole.groupBy("digest").agg(F.min("id").alias("first"))
+
+    # Of texts with equal words the first one stands for all.
+    chosen = whole.select("digest", "content", "id", "key", "doc")
+    chosen = chosen.join(firsts.withColumnRenamed("first", "id"), ["digest", "id"], "left_semi")
+    chosen = chosen.groupBy("digest", "id", "content").agg(F.min(F.struct("doc", "key")).alias("row"))
+    chosen = chosen.select("digest", "id", "content", "row.*")
+    texts = without_repeats(named, whole, ["id", "key"])
+    left = chosen.join(_shared(whole, 0), "doc").join(texts, ["id", "key"])
+    for level in range(1, len(levels(min_words))):
+        met = stored(_extended(left, min_words, level), "candidates")
+        left = met.join(_shared(met, level), "doc").drop("grams")
+    if len(levels(min_words)) == 1:
+        met = left = stored(left, "candidates")
+    windows = stored(_windows(left, min_words), "windows")
+    losing = met.select("doc", "digest", "text").join(repeated_windows(windows), "doc")
+    kept = stored(_kept(losing, min_words), "kept")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    again = (F.col("id") > F.col("first")) & (F.col("n_words") >= min_words)
+    own, copy = F.lower(F.hex("digest")), F.col("id") > F.col("first")
+    again = copy & (F.col("n_words") >= min_words)
     return (
-        sequences.join(firsts.join(kept, "digest", "left"), "digest", "left")
+        whole.drop("grams")
+        .join(firsts.join(kept, "digest", "left"), "digest")
         .select(
             F.nullif(F.col("id"), last).alias(id_column),
             "n_words",
-            F.when(again, F.col("n_words"))
-            .when(F.col("id") > F.col("first"), 0)
-            .otherwise(F.coalesce("lost", F.lit(0)))
-            .cast("long")
-            .alias("n_removed"),
-            F.when(again, empty)
-            .when(F.col("id") > F.col("first"), F.lower(F.hex("digest")))
-            .otherwise(F.coalesce("rest", F.lower(F.hex("digest"))))
-            .alias("kept_sha256"),
+            F.when(again, F.col("n_words")).when(copy, 0).otherwise(F.coalesce("lost", F.lit(0))).cast("long").alias("n_removed"),
+            F.when(again, empty).when(copy, own).otherwise(F.coalesce("rest", own)).alias("kept_sha256"),
         )
     )

@@ -89,6 +89,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without_repeats(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with one row for each of ``keys``; they move for that only if ``known``, their keys, repeat at all."""
+    repeated = known.groupBy(*keys).count().filter("count > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(keys)
+
+
 def discard(table: DataFrame) -> None:
     """Remove the files of a stored table that nothing reads any more, neither now nor after the loss of an executor."""
     spark = table.sparkSession

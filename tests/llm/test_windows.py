@@ -1,0 +1,65 @@
+"""Substring dedup by levels, against a walk over all windows of words."""
+
+import random
+from collections import Counter
+
+import pytest
+from gleaner.llm import substring_dedup
+from tests.llm.brute import words
+from tests.llm.test_tables import brute_substrings
+
+
+def planted(seed: int) -> list[tuple]:
+    """Passages pasted with edits, copies with other white space, and ids that are shared or null."""
+    draw = random.Random(seed)
+    passages = [" ".join(draw.choice("abcd") for _ in range(draw.randrange(3, 70))) for _ in range(6)]
+    rows = []
+    for i in range(80):
+        text = " ".join(draw.choice([*passages, draw.choice("xyz") * 3]) for _ in range(4))
+        if draw.random() < 0.4:
+            own = text.split()
+            own[draw.randrange(len(own))] = "edit"
+            text = "\n".join(own)
+        rows.append((draw.choice([i, i, 7, 8, None]), text))
+    same = [(i, text.replace(" ", "  ")) for i, text in rows[:6]]
+    return rows + rows[:4] + same + [(2, None), (None, ""), (500, "one " * 300), (501, "one " * 49), (-3, "one " * 51)]
+
+
+@pytest.mark.parametrize(("seed", "length"), [(1, 50), (2, 50), (3, 5), (4, 33), (5, 1), (6, 70)])
+def test_planted_passages(spark, seed, length):
+    rows = planted(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = substring_dedup.substring_dedup(docs, min_words=length).collect()
+    assert Counter(map(tuple, made)) == brute_substrings(rows, length)
+
+
+def test_texts_that_share_an_id(spark):
+    """Each row is judged by its own text, though its id is that of another one."""
+    first, second = " ".join(f"a{i}" for i in range(70)), " ".join(f"b{i}" for i in range(80))
+    rows = [(1, f"{first[:200]} {second}"), (1, first), (2, f"{first} tail"), (2, second), (2, second), (None, second)]
+    made = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(made) == len(rows)
+    assert Counter(map(tuple, made)) == brute_substrings(rows, 50)
+
+
+def test_levels():
+    assert substring_dedup.levels(50) == [13, 25]
+    assert substring_dedup.levels(100) == [13, 25, 50]
+    assert substring_dedup.levels(5) == [3] and substring_dedup.levels(1) == [1]
+    for length in range(1, 300):
+        made = [*substring_dedup.levels(length), length]
+        assert all(a <= b <= 2 * a for a, b in zip(made[:-1], made[1:], strict=True))
+
+
+def test_equal_windows_are_stood_for_by_equal_grams():
+    draw = random.Random(1)
+    shared = [draw.choice("abcdef") * draw.randrange(1, 4) for _ in range(60)]
+    hashes, stands = substring_dedup.WordHashes(), {}
+    for _ in range(40):
+        own = [*("x" * draw.randrange(5)), *shared, *("y" * draw.randrange(5))]
+        own = [w.encode() for w in own]
+        windows = substring_dedup.Windows(own, 50, hashes)
+        for level in range(2):
+            for start, gram in zip(windows.alive.tolist(), windows.grams(level).tolist(), strict=True):
+                assert stands.setdefault((level, tuple(own[start : start + 50])), gram) == gram
+    assert words("a b") == ["a", "b"]
