@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from gleaner.llm.tasks import SLICE_ROWS, bounded_batches, stored
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 1
 
-#: Words whose ids a task remembers, and pieces that are packed together.
+#: Words whose ids a task remembers, and pieces and tokens that are packed together.
 KNOWN_WORDS = 300_000
 GROUP_PIECES = 20_000
+GROUP_TOKENS = 8_000_000
 
 #: Symbols that may follow a word and are split from it by the vocabulary's splitter.
 TAIL = ".,;:!?&%$#*|"
@@ -36,7 +38,9 @@ def byte_characters() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """The ids of words as little-endian 32-bit numbers, kept for a bounded number of words.
+    """The ids of words as little-endian numbers, kept for a bounded number of words.
+
+    Of 16 bits (``kind`` <u2), or of 32 (<u4) for a vocabulary of more than 65,536 ids.
 
     The vocabulary's splitter never joins characters across white space, so
     a text's ids are those of the parts between its blanks, one after the
@@ -47,6 +51,8 @@ class WordIds(dict):
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.merges, self.characters = self.tokenizer.model, byte_characters()
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.letter = "H" if self.kind == "<u2" else "I"
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KNOWN_WORDS:
@@ -63,20 +69,21 @@ class WordIds(dict):
         self[word] = made
         return made
 
-    @staticmethod
-    def bytes_of(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def bytes_of(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         return [b"".join(map(self.__getitem__, t.replace("\n", " ").split(" "))) for t in texts]
 
 
+_KNOWN: dict[str, WordIds] = {}
+
+
 def words_of_worker(path: str) -> WordIds:
     """What this worker process knows of the vocabulary: loaded once, not again for each of its tasks."""
-    held = vars(public_tokenizers).setdefault("_word_ids", {})
-    if path not in held:
-        held[path] = WordIds(path)
-    return held[path]
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
 
 
 def pieces(
@@ -86,9 +93,8 @@ def pieces(
     capacity: int = CAPACITY,
     end: int = END,
     vocabulary: str = VOCABULARY,
-    with_ids: bool = False,
 ) -> DataFrame:
-    """The pieces of each document's ids: (id, piece, start, length, ids_crc32), with ``ids`` if asked for."""
+    """The pieces of each document's ids: (id, piece, start, length, ids), ids as :class:`WordIds` has them."""
     spark = docs.sparkSession
     bounded_batches(spark)
     path = public_tokenizers.path(vocabulary)
@@ -96,14 +102,15 @@ def pieces(
     schema = T.StructType(
         [
             given.schema["id"],
-            *(T.StructField(n, T.LongType()) for n in ("piece", "start", "length", "ids_crc32")),
-            *([T.StructField("ids", T.BinaryType())] if with_ids else []),
+            *(T.StructField(n, T.LongType()) for n in ("piece", "start", "length")),
+            T.StructField("ids", T.BinaryType()),
         ]
     )
-    arrow, last = to_arrow_schema(schema), np.array([end], "<u4").tobytes()
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of_worker(path)
+        last, width = words.bytes_of([end]), len(words.bytes_of([end]))
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
@@ -111,9 +118,9 @@ def pieces(
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for i, ids in zip(part.column("id").to_pylist(), words(texts), strict=True):
                     ids += last
-                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[start : start + 4 * capacity]
-                        rows.append((i, piece, start // 4, len(own) // 4, zlib.crc32(own), own)[: len(schema)])
+                    for piece, start in enumerate(range(0, len(ids), width * capacity)):
+                        own = ids[start : start + width * capacity]
+                        rows.append((i, piece, start // width, len(own) // width, own))
                 columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
@@ -153,60 +160,117 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
     return bins, places
 
 
-def packed(
-    found: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES
+def sequences(
+    found: DataFrame,
+    capacity: int = CAPACITY,
+    group_pieces: int = GROUP_PIECES,
+    group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
-    """``found`` (id, piece, length, ids_crc32, ...) with ``sequence_id`` and ``offset``.
+    """The sequences that ``found`` (id, piece, start, length, ids) is packed into.
+
+    (sequence_id, ids, pieces): the tokens, and what lies in them, each piece with its ``offset``.
 
-    Pieces are dealt by a hash into groups of about ``group_pieces``, whatever
-    their number; each group is packed on its own, longest pieces first, so
-    that no more than one group is ever in one task. Full pieces need no
-    packing. Equal rows cannot be told apart by a hash: they are counted
-    first and dealt one by one.
+    Pieces are dealt by a hash into groups of bounded pieces and tokens,
+    whatever their number; each group is packed on its own, longest pieces
+    first, so that no more than one group is ever in one task. The hash takes
+    in a piece's place in the stored table, so that equal rows are dealt one by one.
     """
-    columns = found.columns
-    counted = found.groupBy(*columns).agg(F.count("*").alias("copies"))
-    single = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    mixed = single.drop("copies")
-    total = found.count()
-    groups = max(1, -(-total // group_pieces))
-    drawn = F.pmod(F.xxhash64("id", "piece", "ids_crc32", "copy"), F.lit(groups))
-    dealt = mixed.withColumn("group", drawn)
+    placed = stored(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    total, tokens = placed.agg(F.count("*"), F.sum("length")).first()
+    groups = max(1, -(-total // group_pieces), -(-(tokens or 0) // group_tokens))
+    dealt = placed.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
+    columns = ["id", "piece", "start", "length"]
+    piece = T.StructType([found.schema[c] for c in columns] + [T.StructField("offset", T.LongType())])
     schema = T.StructType(
-        [found.schema[c] for c in columns]
-        + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
+        [
+            T.StructField("sequence_id", T.LongType()),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("pieces", T.ArrayType(piece)),
+        ]
     )
     arrow = to_arrow_schema(schema)
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by(
-            [("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending"), ("copy", "ascending")]
-        )
-        bins, places = sum_of_squares(table.column("length").to_numpy(), capacity)
-        group = table.column("group")[0].as_py()
-        made = table.select(columns).append_column("sequence_id", pa.array(bins * groups + group))
-        return made.append_column("offset", pa.array(places)).cast(arrow)
+        order = pc.sort_indices(table.select(["length", "row"]), [("length", "descending"), ("row", "ascending")])
+        lengths = table.column("length").to_numpy()[order]
+        bins, places = sum_of_squares(lengths, capacity)
+        # Sequence by sequence, in each by offset.
+        lying = np.lexsort((places, bins))
+        whole = table.take(pa.array(order.to_numpy()[lying])).combine_chunks()
+        bins, places = bins[lying], places[lying]
+        starts = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+        ids = whole.column("ids").to_pylist()
+        joined = [b"".join(part) for part in _cut(ids, starts)]
+        offsets = pa.array(np.append(starts, len(ids)), pa.int32())
+        fields = [whole.column(c).combine_chunks() for c in columns] + [pa.array(places)]
+        lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, names=[*columns, "offset"]))
+        numbers = pa.array(bins[starts] * groups + table.column("group")[0].as_py())
+        made = pa.table([numbers, pa.array(joined, pa.binary()), lists], names=["sequence_id", "ids", "pieces"])
+        return made.cast(arrow)
 
     return dealt.groupBy("group").applyInArrow(run, schema)
 
 
-def pack(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    capacity: int = CAPACITY,
-    with_ids: bool = False,
+def _cut(values: list, starts: np.ndarray) -> Iterator[list]:
+    ends = [*starts[1:].tolist(), len(values)]
+    for a, b in zip(starts.tolist(), ends, strict=True):
+        yield values[a:b]
+
+
+def pack_sequences(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY
 ) -> DataFrame:
-    """All documents as pieces in sequences of at most ``capacity`` tokens.
+    """All documents packed into sequences of at most ``capacity`` tokens: (sequence_id, ids, pieces).
 
-    One row for each piece: (id, piece, start, length, ids_crc32, sequence_id,
-    offset), with ``ids`` (little-endian 32-bit) if asked for. A document is
-    its ids and an end mark; only longer ones are cut, into full pieces and a
-    rest. Pieces of a sequence lie one after the other from offset 0.
+    A document is its ids and an end mark; only longer ones are cut, into full
+    pieces and a rest. ``ids`` are a sequence's tokens (little-endian, of 16 bits for
+    a vocabulary of at most 65,536 ids, else of 32), ``pieces`` what they are:
+    (id, piece, start, length, offset), gapless from offset 0.
 
     A null text is empty: one piece with the end mark alone. Repeated rows
     and rows that share an id are packed each on its own; other columns do
     not matter; an empty table gives an empty result.
     """
-    found = stored(pieces(docs, id_column, text, capacity, with_ids=with_ids), "pieces")
-    return packed(found, capacity).withColumnRenamed("id", id_column)
+    return sequences(pieces(docs, id_column, text, capacity), capacity)
+
+
+def described(written: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """One row for each piece of sequences: (id, piece, start, length, ids_crc32, sequence_id, offset).
+
+    ``ids_crc32`` is that of the tokens at its place, as 32-bit numbers.
+    """
+    piece = written.schema["pieces"].dataType.elementType
+    bounded_batches(written.sparkSession)
+    schema = T.StructType(
+        [
+            T.StructField(id_column, piece["id"].dataType),
+            *(T.StructField(n, T.LongType()) for n in ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")),
+        ]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for number, ids, own in zip(*(batch.column(c).to_pylist() for c in ("sequence_id", "ids", "pieces")), strict=True):
+                total = sum(p["length"] for p in own)
+                tokens = np.frombuffer(ids, f"<u{len(ids) // total}").astype("<u4")
+                for p in own:
+                    part = tokens[p["offset"] : p["offset"] + p["length"]]
+                    rows.append((p["id"], p["piece"], p["start"], p["length"], zlib.crc32(part), number, p["offset"]))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
+            )
+
+    return written.mapInArrow(run, schema)
+
+
+def pack(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY
+) -> DataFrame:
+    """All documents as pieces of sequences, which are written, and described as read again.
+
+    See :func:`pack_sequences` for the sequences and :func:`described` for the rows.
+    """
+    return described(stored(pack_sequences(docs, id_column, text, capacity), "sequences"), id_column)

@@ -171,13 +171,38 @@ def test_packing_of_whole_tables(spark, docs, awkward):
     assert packing.pack(awkward.limit(0)).collect() == []
 
 
+def test_sequences_hold_the_tokens(spark, docs):
+    """What is written are the ids of the documents, and all of them can be put together again."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found, sizes = defaultdict(dict), []
+    for r in packing.pack_sequences(docs).collect():
+        ids = np.frombuffer(r.ids, "<u2").tolist()
+        sizes.append(len(ids))
+        assert len(ids) == sum(p.length for p in r.pieces) <= 4096
+        for p in r.pieces:
+            found[p.id][p.start] = ids[p.offset : p.offset + p.length]
+    for r in docs.collect():
+        whole = [i for _, part in sorted(found[r.doc_id].items()) for i in part]
+        assert whole == [*tokenizer.encode(r.text, add_special_tokens=False).ids, 1]
+    assert len(sizes) <= sum(sizes) / 4096 * 1.02 + 1
+
+
+def test_packing_in_many_groups(spark, docs):
+    found = packing.pieces(docs, "doc_id", "text")
+    made = packing.sequences(found, group_pieces=30, group_tokens=20_000).collect()
+    assert len({r.sequence_id for r in made}) == len(made)
+    assert Counter((p.id, p.start, p.length) for r in made for p in r.pieces) == Counter(
+        (r.id, r.start, r.length) for r in found.collect()
+    )
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(st.sampled_from("aB'stéßÉ.,!&\u0301 \n\t\u00a0\u2003\x1c9日<|endoftext|>İΣ.!"), max_size=40))
 def test_ids_by_words_are_those_of_the_text(text):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = TOKENIZERS.setdefault("t", Tokenizer.from_file(path)).encode(text, add_special_tokens=False).ids
-    made = TOKENIZERS.setdefault("w", packing.WordIds(path))([text])[0]
-    assert np.frombuffer(made, "<u4").tolist() == whole
+    made = TOKENIZERS.setdefault("w", packing.WordIds(path))
+    assert np.frombuffer(made([text])[0], made.kind).tolist() == whole
 
 
 TOKENIZERS: dict = {}
