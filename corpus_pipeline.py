@@ -23,8 +23,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: that with its smallest id.
 
-    Rows without an id come last. Of rows that share the id one stays, so that
-    of repeated rows there is one left.
+    Rows without an id come last. Of rows that share id and text the smallest one
+    stays, so that of repeated rows there is one left.
     """
     known = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
     keyed = docs.select(
@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = simhash_components(named, "id")
     first = found.filter("id = component_id").select("id.key").distinct()
     chosen = keyed.select("key", "row").join(first, "key", "left_semi")
-    return chosen.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return chosen.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences; a repeated document is packed each time."""
+    """The token sequences of all documents, written, and the pieces and places that they hold.
+
+    A repeated document is packed each time.
+    """
     return pack(docs)
 
 
