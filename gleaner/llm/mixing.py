@@ -28,28 +28,32 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, 13), 16, 10).cast("long").cast("double") / F.lit(float(1 << 52))
 
 
-def poisson(mean: Column, drawn: Column) -> Column:
-    """The Poisson count at the quantile ``drawn``: how many of the distribution's sums it reaches."""
-    start = F.struct(
-        F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("long").alias("count")
-    )
+def cumulative(mean: Column) -> Column:
+    """The Poisson distribution's sums from 0 on, as far as they are below 1."""
+    start = F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.array(F.exp(-mean)).alias("sums"))
 
     def step(state: Column, k: Column) -> Column:
         term = state["term"] * mean / k
+        total = state["total"] + term
         return F.struct(
-            term.alias("term"),
-            (state["total"] + term).alias("total"),
-            (state["count"] + F.when(drawn >= state["total"], 1).otherwise(0)).alias("count"),
+            term.alias("term"), total.alias("total"), F.concat(state["sums"], F.array(total)).alias("sums")
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST)), start, step, lambda s: s["count"])
+    sums = F.aggregate(F.sequence(F.lit(1), F.lit(MOST - 1)), start, step, lambda state: state["sums"])
+    return F.filter(sums, lambda total: total < 1)
+
+
+def poisson(sums: Column, drawn: Column) -> Column:
+    """The Poisson count at the quantile ``drawn``: how many of the distribution's sums it reaches."""
+    return F.size(F.filter(sums, lambda total: drawn >= total)).cast("long")
 
 
 def rates(docs: DataFrame, source: str, weights: dict[str, float], default: float, epochs: float) -> DataFrame:
-    """The mean repetitions of each source's rows: (source, rate).
+    """The mean repetitions of each source's rows, and their distribution: (source, rate, parts, sums).
 
     The source's part of the weights, times the rows drawn in all, over its
-    rows. Sources that do not occur take no part of the weights.
+    rows. Sources that do not occur take no part of the weights. A mean above
+    32 is drawn in equal parts; ``sums`` are the cumulative sums of one part.
     """
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("rows"))
     given = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair)) if weights else None
@@ -58,7 +62,9 @@ def rates(docs: DataFrame, source: str, weights: dict[str, float], default: floa
     whole = sizes.agg(F.sum("rows").alias("all_rows"), F.sum("weight").alias("all_weights"))
     total = whole.first()
     share = F.col("weight") / F.lit(total["all_weights"] or 1.0) * F.lit(float(total["all_rows"] or 0)) * F.lit(epochs)
-    return sizes.select("source", (share / F.col("rows")).alias("rate"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
+    known = sizes.select("source", (share / F.col("rows")).alias("rate")).withColumn("parts", parts)
+    return stored(known.withColumn("sums", cumulative(F.col("rate") / F.col("parts"))), "rates")
 
 
 def _numbered(docs: DataFrame, id_column: str) -> DataFrame:
@@ -108,17 +114,16 @@ def mixed(
     # A few rows per source: a null-safe lookup whose large side adaptive execution may split.
     keyed = packed.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col(f"row.{source}")), F.lit("")))
     found = keyed.join(
-        own.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("key"), "rate"), "key"
+        own.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("key"), "rate", "parts", "sums"), "key"
     )
     identity = F.concat_ws(
         ":", F.coalesce(F.col(f"row.{id_column}").cast("string"), F.lit("null")), F.col("number")
     )
-    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
-    mean = F.col("rate") / parts
-    draws = F.transform(
-        F.sequence(F.lit(1), parts),
-        lambda part: poisson(mean, uniform(F.lit(seed), F.lit("draw"), identity, part)),
+    # The quantiles first, each made once, not again for each of the sums.
+    quantiles = F.transform(
+        F.sequence(F.lit(1), "parts"), lambda part: uniform(F.lit(seed), F.lit("draw"), identity, part)
     )
+    draws = F.transform(quantiles, lambda drawn: poisson(F.col("sums"), drawn))
     copies = F.aggregate(draws, F.lit(0).cast("long"), lambda total, x: total + x)
     repeated = found.withColumn("copies", copies).filter("copies > 0")
     repeated = repeated.select(
