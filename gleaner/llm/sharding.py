@@ -16,8 +16,9 @@ SEED = 20240229
 #: Rows and bytes of one bucket, which is shuffled in the memory of one task.
 BUCKET_ROWS = 16_384
 BUCKET_BYTES = 32 << 20
-#: Hashes of rows with many copies are broadcast up to so many.
+#: Hashes of rows with many copies, and the offsets of buckets, are broadcast up to so many.
 BROADCAST_HASHES = 100_000
+BROADCAST_BUCKETS = 100_000
 
 
 def _drawn(seed: int, columns: list[str]) -> Column:
@@ -81,10 +82,13 @@ def shuffled(
     sizes = stored(scattered.groupBy("bucket").agg(F.count("*").alias("n")), "bucket-sizes")
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    dealt = scattered.repartition(buckets, "bucket")
+    # One bucket, one task: its number is the partition's.
+    dealt = scattered.repartitionById(buckets, "bucket")
     gathered = dealt.groupBy("bucket").agg(F.sort_array(F.collect_list("record")).alias("records"))
+    # A row for each bucket: broadcast for fewer than some terabytes of rows.
+    offsets = F.broadcast(offsets) if buckets <= BROADCAST_BUCKETS else offsets
     # The seed is joined with the partition's number: the order within it must be fixed.
-    ordered = gathered.join(F.broadcast(offsets), "bucket").sortWithinPartitions("bucket")
+    ordered = gathered.join(offsets, "bucket").sortWithinPartitions("bucket")
     return ordered.select("offset", F.shuffle("records", F.lit(seed)).alias("records")).select(
         "offset", F.posexplode("records").alias("place", "record")
     ).select("record.row.*", (F.col("offset") + F.col("place")).cast("long").alias("position"))
