@@ -29,12 +29,12 @@ def quantised(vector: str, scale: int = SCALE) -> Column:
     return F.when(F.coalesce(fine, F.lit(False)), F.transform(components, lambda x: F.floor(x * scale)))
 
 
-def _postings(vectors: list[list[int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _postings(vectors: pa.ListArray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each term (a component's place), the rows that have it and their weights."""
-    lengths = np.fromiter(map(len, vectors), np.int64, len(vectors))
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    weights = vectors.flatten().to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(len(vectors)), lengths)
     terms = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    weights = np.concatenate([np.asarray(v, np.int64) for v in vectors]) if len(rows) else np.zeros(0, np.int64)
     there = weights != 0
     rows, terms, weights = rows[there], terms[there], weights[there]
     order = np.argsort(terms, kind="stable")
@@ -46,7 +46,7 @@ def _largest(postings: list[tuple[np.ndarray, np.ndarray]]) -> int:
     return max((max(abs(int(w.max())), abs(int(w.min()))) for _, w in postings if len(w)), default=0)
 
 
-def scores(queries: list[list[int]], postings: list, count: int, exact: bool) -> np.ndarray:
+def scores(queries: pa.ListArray, postings: list, count: int, exact: bool) -> np.ndarray:
     """Dense scores of all queries and ``count`` candidates, gathered term by term."""
     kind = object if exact else np.int64
     made = np.zeros((len(queries), count), kind)
@@ -121,13 +121,13 @@ def exact_topk(
     arrow = to_arrow_schema(schema)
 
     def run(candidates: pa.Table, asking: pa.Table) -> pa.Table:
-        ids = candidates.column("id").to_numpy()
-        postings = _postings(candidates.column("v").to_pylist()) if len(ids) else []
-        query_ids, query_vectors = asking.column("id").to_pylist(), asking.column("v").to_pylist()
+        ids, query_ids = candidates.column("id").to_numpy(), asking.column("id").to_pylist()
+        held, query_vectors = (table.column("v").combine_chunks() for table in (candidates, asking))
+        postings = _postings(held) if len(ids) else []
         top = _largest(postings) * _largest(_postings(query_vectors)) * max(1, len(postings))
         found: list[list[np.ndarray]] = [[], [], []]
         for at in range(0, len(query_ids) if len(ids) else 0, ROWS):
-            part = scores(query_vectors[at : at + ROWS], postings, len(ids), top > MOST)
+            part = scores(query_vectors.slice(at, ROWS), postings, len(ids), top > MOST)
             part = np.clip(part, LEAST, MOST).astype(np.int64) if top > MOST else part
             for own, row in zip(query_ids[at : at + ROWS], part, strict=True):
                 near, values = best(row, ids, own, k)
