@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from gleaner.llm.tasks import map_rows
+from gleaner.llm.tasks import map_rows, stored
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,9 +220,10 @@ def fit(
     """A model of the labelled documents that are not held out.
 
     It learns from at most ``sample_documents`` of them, drawn by a hash of
-    the id, and at most ``sample_passages`` passages: these bound what reaches
-    the driver, at any size of the tables. Documents with contradicting
-    labels count as of low quality.
+    the id, and at most ``sample_passages`` passages: in that order, each
+    document whose passages fit into what is left of these, whatever its
+    length. These two bound what reaches the driver, at any size of the tables.
+    Documents with contradicting labels count as of low quality.
     """
     known = labels.filter(F.col(quality).isNotNull() & F.col(id_column).isNotNull() & ~held_out(id_column))
     known = known.groupBy(F.col(id_column).alias("id")).agg(F.min(quality).cast("double").alias("label"))
@@ -241,18 +242,18 @@ def fit(
 
     fields = [T.StructField("passages", T.LongType()), T.StructField("features", T.BinaryType())]
     encoded = map_rows(sample, ["id", "label"], ["text"], fields, make)
-    # The shortest bags first, and one row for an id: what comes to the driver is bounded before it is sent.
+    # One row for an id: of rows that share it, that with the fewest passages.
     single = encoded.groupBy("id", "label").agg(F.min(F.struct("passages", "features")).alias("bag"))
-    short = single.filter(F.col("bag")["passages"] <= max(1, sample_passages // max(1, sample_documents)) * 8)
-    rows = short.select("id", "label", "bag.features").collect()
-    bags, marks, total = [], [], 0
-    for row in sorted(rows, key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"])):
-        bag = np.frombuffer(row["features"], np.float32).reshape(-1, FEATURES)
-        if total + len(bag) <= sample_passages:
-            bags.append(bag)
-            marks.append(row["label"])
-            total += len(bag)
-    return fitted(bags, np.array(marks))
+    single = stored(single.select("id", "label", "bag.*"), "labelled-passages")
+    sizes = {row["id"]: row["passages"] for row in single.select("id", "passages").collect()}
+    chosen, left = [], sample_passages
+    for i in sorted(sizes, key=lambda i: (zlib.crc32(str(i).encode()), i)):
+        if sizes[i] <= left:
+            chosen.append(i)
+            left -= sizes[i]
+    rows = {row["id"]: row for row in single.filter(F.col("id").isin(chosen)).collect()}
+    bags = [np.frombuffer(rows[i]["features"], np.float32).reshape(-1, FEATURES) for i in chosen]
+    return fitted(bags, np.array([rows[i]["label"] for i in chosen]))
 
 
 def _score(model: Model) -> Callable:
