@@ -10,10 +10,13 @@ keep documents without any term in the denominators.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.scalars import percentage, round2
+from gleaner.session import shared_folder
 
 SINGLE_GROUP = "all"
 
@@ -48,6 +51,14 @@ def all_groups(tallied: DataFrame) -> DataFrame:
     )
 
 
+def _once(tallied: DataFrame) -> DataFrame:
+    """The tally, written to the shared folder: rankings use it more than once, and the documents are not to be read again."""
+    spark = tallied.sparkSession
+    path = f"{shared_folder(spark)}/tally-{uuid.uuid4().hex}"
+    tallied.write.parquet(path)
+    return spark.read.schema(tallied.schema).parquet(path)
+
+
 def _totals(tallied: DataFrame) -> DataFrame:
     """``(role, total_jds)``: the documents of each role."""
     return tallied.groupBy("role").agg(_documents().alias("total_jds"))
@@ -59,7 +70,7 @@ def _ranks(tallied: DataFrame, top_n: int) -> DataFrame:
     Each partition of the tally keeps its own first rows only, and these are
     merged: no task sees the whole tally, also when there is one group.
     """
-    # Marker rows sort behind all terms; a filter in front would be another tally.
+    # Marker rows sort behind all terms.
     is_term = F.col("skill").isNotNull()
     place = F.row_number().over(Window.partitionBy("role").orderBy(is_term.desc(), F.desc("docs"), "skill"))
     ranked = tallied.select("role", "skill", "docs", place.alias("place"))
@@ -73,6 +84,7 @@ def _with_totals(rows: DataFrame, tallied: DataFrame) -> DataFrame:
 
 def _placed(tallied: DataFrame, top_n: int) -> DataFrame:
     """The tally with the documents of the role (``total_jds``) and the ``place`` of its first terms."""
+    tallied = _once(tallied)
     ranks = _ranks(tallied, top_n).select(F.col("role").alias("_role"), F.col("skill").alias("_skill"), "place")
     same = F.col("role").eqNullSafe(F.col("_role")) & (F.col("skill") == F.col("_skill"))
     return _with_totals(tallied, tallied).join(ranks, same, "left").drop("_role", "_skill")
@@ -84,18 +96,14 @@ def term_stats(tallied: DataFrame, top_n: int = 20) -> DataFrame:
     ``percentage`` is unrounded.  ``rank`` is null outside the first ``top_n``;
     ties rank in term order.
     """
-    # Marker rows count below zero: a filter on the term alone would move into the tally,
-    # which then were no longer one and the same for all its uses.
-    count = F.when(F.col("skill").isNull(), -F.col("docs")).otherwise(F.col("docs"))
     return (
         _placed(tallied, top_n)
-        .withColumn("count", count)
-        .filter(F.col("count") > 0)
+        .filter("skill is not null")
         .select(
             "role",
             "skill",
-            "count",
-            percentage(F.col("count"), F.col("total_jds")).alias("percentage"),
+            F.col("docs").alias("count"),
+            percentage(F.col("docs"), F.col("total_jds")).alias("percentage"),
             F.col("place").alias("rank"),
             "total_jds",
         )
@@ -114,6 +122,7 @@ def document_frequency(df: DataFrame) -> DataFrame:
 def top_terms(tallied: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` terms of each role with count, rounded percentage and rank."""
     share = percentage(F.col("docs"), F.col("total_jds"))
+    tallied = _once(tallied)
     return _with_totals(_ranks(tallied, n), tallied).select(
         "role",
         F.col("place").alias("rank"),
