@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -873,6 +873,16 @@ def stream_extract_join(spark, folder):
     return shown(spark.read.parquet(path), "job_id")
 
 
+#: Bytes of text in a file that arrives, about.
+FILE_BYTES = 16 << 20
+
+
+def files_each(docs: DataFrame, chunks: int) -> int:
+    """How many files each of so many chunks of the documents has: more for more text, so that files stay small."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-total // (chunks * FILE_BYTES)))
+
+
 @query
 def stream_document_frequency(spark, folder):
     path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
@@ -886,37 +896,43 @@ def stream_document_frequency(spark, folder):
     return streaming.read_running_table(spark, path)
 
 
-def arriving_documents(spark: SparkSession, folder: str, files: int) -> str:
-    """The documents as so many files in the order of their ids, which arrive one after the other."""
-    arriving, whole = fresh_path(spark, "arriving"), fresh_path(spark, "parts")
-    ranged = table(spark, folder, "documents").repartitionByRange(files, "doc_id")
-    ranged.withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(whole)
-    for part in range(files):
-        rows = spark.read.schema(f"{DOCUMENTS}, part int").parquet(whole).filter(F.col("part") == part)
-        rows.drop("part").coalesce(1).sortWithinPartitions("doc_id").write.mode("append").parquet(arriving)
-    return arriving
+def in_files(docs: DataFrame, number: int, path: str) -> None:
+    """Append the documents to a folder in the order of their ids, as ``number`` files at most."""
+    ranged = docs.repartitionByRange(number, "doc_id").sortWithinPartitions("doc_id")
+    ranged.write.mode("append").parquet(path)
+
+
+def arriving_documents(spark: SparkSession, folder: str, chunks: int, path: str) -> Iterator[int]:
+    """The documents in so many chunks in the order of their ids, which arrive in ``path`` one after the other.
+
+    A chunk has many files, each of bounded bytes; their number comes when a chunk has arrived.
+    """
+    docs, key = table(spark, folder, "documents"), F.col("doc_id")
+    files = files_each(docs, chunks)
+    shares = [n / chunks for n in range(1, chunks)]
+    bounds = docs.agg(F.percentile_approx(key, shares).alias("bounds")).first().bounds or []
+    number = sum((F.coalesce((key > bound).cast("int"), F.lit(0)) for bound in bounds), F.lit(0))
+    for chunk in range(chunks):
+        in_files(docs.filter(number == chunk), files, path)
+        yield files
 
 
 @query
 def stream_row_ids(spark, folder):
-    """Ids that go on over micro-batches of one file each."""
-    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
-    stream = streaming.read_document_stream(
-        spark, arriving_documents(spark, folder, 5), DOCUMENTS, max_files=1, places=True
-    )
-    streaming.write_numbered_stream(
-        stream.drop("text"), path, state, order_by=["doc_id"]
-    ).awaitTermination()
+    """Ids that go on over micro-batches of one chunk each."""
+    path, state, arriving = (fresh_path(spark, kind) for kind in ("stream", "state", "arriving"))
+    for _ in arriving_documents(spark, folder, 5, arriving):
+        stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, places=True)
+        streaming.write_numbered_stream(
+            stream.drop("text"), path, state, order_by=["doc_id"]
+        ).awaitTermination()
     return streaming.read_numbered_stream(spark, path).select("doc_id", "job_id")
 
 
 @query
 def stream_extract_numbered(spark, folder):
     """Extraction from chunks, whose generated ids go on from chunk to chunk."""
-    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
-    stream = streaming.read_document_stream(
-        spark, arriving_documents(spark, folder, 3), DOCUMENTS, max_files=1, places=True
-    )
+    path, state, arriving = (fresh_path(spark, kind) for kind in ("stream", "state", "arriving"))
 
     def plan(batch: DataFrame) -> DataFrame:
         result = extraction.extraction_result(
@@ -924,17 +940,19 @@ def stream_extract_numbered(spark, folder):
         )
         return result.select("row_number", "job_id", "doc_id", "extracted_skills", "skill_count")
 
-    streaming.write_numbered_stream(stream, path, state, plan=plan).awaitTermination()
+    for _ in arriving_documents(spark, folder, 3, arriving):
+        stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, places=True)
+        streaming.write_numbered_stream(stream, path, state, plan=plan).awaitTermination()
     return shown(streaming.read_numbered_stream(spark, path), "job_id", "doc_id")
 
 
 @query
 def stream_top_terms(spark, folder):
     """The ranking of all documents that have arrived, each of them twice."""
-    path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
-    arriving = arriving_documents(spark, folder, 3)
-    spark.read.parquet(arriving).write.mode("append").parquet(arriving)
-    stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=2)
+    path, state, arriving = (fresh_path(spark, kind) for kind in ("stream", "state", "arriving"))
+    files = list(arriving_documents(spark, folder, 3, arriving))
+    in_files(spark.read.schema(DOCUMENTS).parquet(arriving), sum(files), arriving)
+    stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=2 * files[0])
     stream = stream.withColumn("seen", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000))
     found = extraction.extraction_result(
         stream, "text", document_dictionary(spark), document_variations(spark), id_column="doc_id"

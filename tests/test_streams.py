@@ -4,6 +4,7 @@ import pytest
 
 from gleaner.operators import frequencies
 from gleaner.operators.extraction import extract_terms
+from gleaner.plans import catalog
 from gleaner.plans.extraction import extraction_result
 from gleaner.streaming import extraction as streaming
 from gleaner.operators.vocabulary import dictionary_from_lists
@@ -114,3 +115,38 @@ def test_running_frequency_within_a_time(spark, tmp_path):
     table = streaming.running_document_frequency(found, distinct_ids=True, event_time="seen", delay="1 day")
     streaming.write_running_table(table, path, f"{path}.state").awaitTermination()
     assert {r.skill: r["count"] for r in streaming.read_running_table(spark, path).collect()} == {"python": 10}
+
+
+def own_documents(spark, folder):
+    """800 documents in four files, ids out of order and one of them twice; (id, text) of each."""
+    rows = [(n * 37 % 800, f"ertion {n} " + "of the word " * (n % 50)) for n in range(800)] + [(5, "ertion again")]
+    made = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("src1"), "n_chars": F.length("text").cast("long")}
+    )
+    made.repartition(4).write.parquet(f"{folder}/documents.parquet")
+    return rows
+
+
+def files_written(spark, monkeypatch, query, folder):
+    """What a query returns where a file has 20,000 bytes, and the bytes of text in each file it lets arrive."""
+    paths = []
+
+    def fresh(session, name, made=catalog.fresh_path):
+        paths.append((name, made(session, name)))
+        return paths[-1][1]
+
+    monkeypatch.setattr(catalog, "fresh_path", fresh)
+    monkeypatch.setattr(catalog, "FILE_BYTES", 20_000, raising=False)
+    found = catalog.QUERIES[query](spark, folder).collect()
+    arriving = spark.read.parquet(dict(paths)["arriving"])
+    sizes = arriving.groupBy(F.input_file_name()).agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    return found, [row["bytes"] for row in sizes]
+
+
+def test_files_that_arrive_for_a_ranking_stay_small(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    rows = own_documents(spark, folder)
+    found, sizes = files_written(spark, monkeypatch, "stream_top_terms", folder)
+    assert sum(sizes) == 2 * sum(len(text) for _, text in rows)
+    assert max(sizes) <= 2 * 20_000
+    assert {r["skill"]: (r["rank"], r["count"]) for r in found}["ertion"] == (1, 800)  # the repeated id counts once
