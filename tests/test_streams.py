@@ -150,3 +150,26 @@ def test_files_that_arrive_for_a_ranking_stay_small(spark, tmp_path, monkeypatch
     assert sum(sizes) == 2 * sum(len(text) for _, text in rows)
     assert max(sizes) <= 2 * 20_000
     assert {r["skill"]: (r["rank"], r["count"]) for r in found}["ertion"] == (1, 800)  # the repeated id counts once
+
+
+@pytest.mark.parametrize("query", ["stream_extract_numbered", "stream_row_ids"])
+def test_files_that_arrive_for_numbers_stay_small(spark, tmp_path, monkeypatch, query):
+    folder = str(tmp_path)
+    rows = own_documents(spark, folder)
+    found, sizes = files_written(spark, monkeypatch, query, folder)
+    assert sum(sizes) == sum(len(text) for _, text in rows)
+    assert max(sizes) <= 2 * 20_000
+    expected = sorted(doc_id for doc_id, _ in rows)
+    assert sorted((r.job_id, r.doc_id) for r in found) == [(f"jd_{n:03d}", i) for n, i in enumerate(expected, 1)]
+
+
+@pytest.mark.parametrize("ids", [[], [7] * 30, [None, None, 3, 3, 3, 9]])
+def test_chunks_of_few_ids(spark, tmp_path, ids):
+    """No documents, equal ids and no ids: every row arrives once, and is numbered."""
+    folder = str(tmp_path)
+    spark.createDataFrame(
+        [(i, f"ertion {n}", "en", "src1", 8) for n, i in enumerate(ids)], catalog.DOCUMENTS
+    ).write.parquet(f"{folder}/documents.parquet")
+    found = catalog.QUERIES["stream_extract_numbered"](spark, folder).collect()
+    assert sorted(r.job_id for r in found) == [f"jd_{n:03d}" for n in range(1, len(ids) + 1)]
+    assert sorted(str(r.doc_id) for r in found) == sorted(map(str, ids))
