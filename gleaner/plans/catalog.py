@@ -886,10 +886,11 @@ def files_each(docs: DataFrame, chunks: int) -> int:
 @query
 def stream_document_frequency(spark, folder):
     path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
-    arriving = fresh_path(spark, "arriving")
-    table(spark, folder, "documents").repartition(4).write.parquet(arriving)
+    arriving, docs = fresh_path(spark, "arriving"), table(spark, folder, "documents")
+    files = files_each(docs, 4)
+    docs.repartition(4 * files).write.parquet(arriving)
     seen = stream_plan(spark)(
-        streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=1)
+        streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=files)
     )
     running = streaming.running_document_frequency(seen, distinct_ids=True)
     streaming.write_running_table(running, path, state).awaitTermination()

@@ -163,6 +163,15 @@ def test_files_that_arrive_for_numbers_stay_small(spark, tmp_path, monkeypatch,
     assert sorted((r.job_id, r.doc_id) for r in found) == [(f"jd_{n:03d}", i) for n, i in enumerate(expected, 1)]
 
 
+def test_files_that_arrive_for_frequencies_stay_small(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    rows = own_documents(spark, folder)
+    found, sizes = files_written(spark, monkeypatch, "stream_document_frequency", folder)
+    assert sum(sizes) == sum(len(text) for _, text in rows)
+    assert max(sizes) <= 2 * 20_000
+    assert {r["skill"]: r["count"] for r in found}["ertion"] == 800
+
+
 @pytest.mark.parametrize("ids", [[], [7] * 30, [None, None, 3, 3, 3, 9]])
 def test_chunks_of_few_ids(spark, tmp_path, ids):
     """No documents, equal ids and no ids: every row arrives once, and is numbered."""
