@@ -21,8 +21,9 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 1
 
-#: Words whose ids a task remembers, and pieces and tokens that are packed together.
-KNOWN_WORDS = 300_000
+#: Words whose ids a worker remembers (those of at most so many characters), and pieces and tokens that are packed together.
+KNOWN_WORDS = 1_000_000
+KNOWN_LENGTH = 64
 GROUP_PIECES = 20_000
 GROUP_TOKENS = 8_000_000
 
@@ -38,7 +39,7 @@ def byte_characters() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """The ids of words as little-endian numbers, kept for a bounded number of words.
+    """The ids of words as little-endian numbers, kept for a bounded number of words of bounded length.
 
     Of 16 bits (``kind`` <u2), or of 32 (<u4) for a vocabulary of more than 65,536 ids.
 
@@ -66,7 +67,8 @@ class WordIds(dict):
             made = self.bytes_of([t.id for t in self.merges.tokenize(letters)])
         else:
             made = self[low] + (self[word[len(core) :]] if word != core else b"")
-        self[word] = made
+        if len(word) <= KNOWN_LENGTH:
+            self[word] = made
         return made
 
     def bytes_of(self, ids: list[int]) -> bytes:

@@ -5,7 +5,9 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+from gleaner.llm import packing
 from gleaner.llm.personal_data import Finder, personal_data, redact, redacted
 from gleaner.llm.quality_classifier import FEATURES, Model, Passages, fit, fitted, quality_scores
 from gleaner.llm.quality_rules import cleaned, quality_rules, repeated_words
@@ -217,3 +219,27 @@ def test_passages_of_texts():
     assert encode("").shape == (1, FEATURES)
     assert len(encode("a " * 63)) == 1 and len(encode("a " * 200)) == 3
     assert re.fullmatch(r"\S+", "x") and words("a\tb") == ["a", "b"]
+
+
+def test_words_are_merged_once_and_long_ones_not_kept():
+    """400,000 different words, twice: no word goes through the merges again. Long words take no memory."""
+    words = packing.WordIds(public_tokenizers.path(packing.VOCABULARY))
+    merged, merges = [], words.merges
+
+    class Counted:
+        def tokenize(self, letters):
+            merged.append(letters)
+            return merges.tokenize(letters)
+
+    words.merges = Counted()
+    letters = "abcdefghijklmnopqrst"
+    different = ["".join(letters[n // 20**k % 20] for k in range(5)) for n in range(400_000)]
+    first = words([" ".join(different)])
+    assert len(merged) == len(set(different)) == 400_000
+    assert words([" ".join(different)]) == first
+    assert len(merged) == 400_000
+    known = len(words)
+    long = "".join(different[:100])
+    alone = words.bytes_of(words.tokenizer.encode(long, add_special_tokens=False).ids)
+    assert words([long]) == [alone]
+    assert len(words) == known
