@@ -877,17 +877,17 @@ def stream_extract_join(spark, folder):
 FILE_BYTES = 16 << 20
 
 
-def files_each(docs: DataFrame, chunks: int) -> int:
-    """How many files each of so many chunks of the documents has: more for more text, so that files stay small."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, -(-total // (chunks * FILE_BYTES)))
+def files_for(text_bytes: int) -> int:
+    """How many files so many bytes of text have: more for more text, so that files stay small."""
+    return max(1, -(-text_bytes // FILE_BYTES))
 
 
 @query
 def stream_document_frequency(spark, folder):
     path, state = fresh_path(spark, "stream"), fresh_path(spark, "state")
     arriving, docs = fresh_path(spark, "arriving"), table(spark, folder, "documents")
-    files = files_each(docs, 4)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = files_for(-(-total // 4))
     docs.repartition(4 * files).write.parquet(arriving)
     seen = stream_plan(spark)(
         streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=files)
@@ -898,22 +898,29 @@ def stream_document_frequency(spark, folder):
 
 
 def in_files(docs: DataFrame, number: int, path: str) -> None:
-    """Append the documents to a folder in the order of their ids, as ``number`` files at most."""
-    ranged = docs.repartitionByRange(number, "doc_id").sortWithinPartitions("doc_id")
+    """Append the documents to a folder in the order of their ids, as ``number`` files at most.
+
+    Documents of one id, or without ids, keep their order, and many of them can be split up.
+    """
+    order = ["doc_id", "_arrival"]
+    placed = docs.withColumn("_arrival", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(number, *order).sortWithinPartitions(*order).drop("_arrival")
     ranged.write.mode("append").parquet(path)
 
 
 def arriving_documents(spark: SparkSession, folder: str, chunks: int, path: str) -> Iterator[int]:
     """The documents in so many chunks in the order of their ids, which arrive in ``path`` one after the other.
 
-    A chunk has many files, each of bounded bytes; their number comes when a chunk has arrived.
+    A chunk has as many files as its own text needs; their number comes when a chunk has arrived.
     """
     docs, key = table(spark, folder, "documents"), F.col("doc_id")
-    files = files_each(docs, chunks)
     shares = [n / chunks for n in range(1, chunks)]
     bounds = docs.agg(F.percentile_approx(key, shares).alias("bounds")).first().bounds or []
     number = sum((F.coalesce((key > bound).cast("int"), F.lit(0)) for bound in bounds), F.lit(0))
+    size = F.sum(F.octet_length("text"))
+    sizes = {row.chunk: row.size or 0 for row in docs.groupBy(number.alias("chunk")).agg(size.alias("size")).collect()}
     for chunk in range(chunks):
+        files = files_for(sizes.get(chunk, 0))
         in_files(docs.filter(number == chunk), files, path)
         yield files
 
@@ -953,7 +960,7 @@ def stream_top_terms(spark, folder):
     path, state, arriving = (fresh_path(spark, kind) for kind in ("stream", "state", "arriving"))
     files = list(arriving_documents(spark, folder, 3, arriving))
     in_files(spark.read.schema(DOCUMENTS).parquet(arriving), sum(files), arriving)
-    stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=2 * files[0])
+    stream = streaming.read_document_stream(spark, arriving, DOCUMENTS, max_files=-(-2 * sum(files) // 3))
     stream = stream.withColumn("seen", F.timestamp_seconds(F.col("doc_id") + 1_700_000_000))
     found = extraction.extraction_result(
         stream, "text", document_dictionary(spark), document_variations(spark), id_column="doc_id"

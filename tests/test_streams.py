@@ -182,3 +182,31 @@ def test_chunks_of_few_ids(spark, tmp_path, ids):
     found = catalog.QUERIES["stream_extract_numbered"](spark, folder).collect()
     assert sorted(r.job_id for r in found) == [f"jd_{n:03d}" for n in range(1, len(ids) + 1)]
     assert sorted(str(r.doc_id) for r in found) == sorted(map(str, ids))
+
+
+@pytest.mark.parametrize("query", ["stream_extract_numbered", "stream_row_ids"])
+@pytest.mark.parametrize("key", [None, 7])
+def test_files_that_arrive_stay_small_without_different_ids(spark, tmp_path, monkeypatch, query, key):
+    """No ids, or one id for all: the documents of a chunk still are many files, in their order."""
+    folder = str(tmp_path)
+    texts = [f"ertion {n} " + "of the word " * (n % 50) for n in range(800)]
+    spark.createDataFrame(
+        [(key, text, "en", "src1", len(text)) for text in texts], catalog.DOCUMENTS
+    ).repartition(4).write.parquet(f"{folder}/documents.parquet")
+    found, sizes = files_written(spark, monkeypatch, query, folder)
+    assert sum(sizes) == sum(map(len, texts))
+    assert max(sizes) <= 2 * 20_000
+    assert sorted((r.job_id, r.doc_id) for r in found) == [(f"jd_{n:03d}", key) for n in range(1, 801)]
+
+
+def test_files_that_arrive_stay_small_where_a_chunk_is_long(spark, tmp_path, monkeypatch):
+    """A chunk that has nearly all of the text has more files than the others."""
+    folder = str(tmp_path)
+    texts = [f"ertion {n} " + "of the word " * (50 if n < 250 else 0) for n in range(800)]
+    spark.createDataFrame(
+        [(n, text, "en", "src1", len(text)) for n, text in enumerate(texts)], catalog.DOCUMENTS
+    ).repartition(4).write.parquet(f"{folder}/documents.parquet")
+    found, sizes = files_written(spark, monkeypatch, "stream_extract_numbered", folder)
+    assert sum(sizes) == sum(map(len, texts))
+    assert max(sizes) <= 2 * 20_000
+    assert sorted((r.job_id, r.doc_id) for r in found) == [(f"jd_{n + 1:03d}", n) for n in range(800)]
